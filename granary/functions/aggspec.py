@@ -22,10 +22,15 @@ AGGREGATES = {
     "median": F.median,
     # distinct values of a small non-negative integer (date parts, ratings: below 63) as a bit
     # set: one pass and eight bytes of state instead of a shuffle per distinct column
-    "nunique_small": lambda c: F.bit_count(F.bit_or(F.shiftleft(F.lit(1).cast("long"), c.cast("int")))).cast("long"),
+    "nunique_small": lambda c: F.bit_count(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), c.cast("int")))
+    ).cast("long"),
+    # distinct values of a column of bounded range (regions, categories): one pass, the state
+    # never exceeds the range of the column
+    "nunique_bounded": lambda c: F.size(F.collect_set(c)).cast("long"),
 }
 
-_SUFFIX = {"nunique_small": "nunique"}
+_SUFFIX = {"nunique_small": "nunique", "nunique_bounded": "nunique"}
 
 
 def aggregate_columns(

@@ -28,24 +28,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS)
     return big.orderBy(F.col("count").desc()).limit(MAX_HOT_KEYS).collect()
 
 
-def _position(cuts: Sequence, value: Column) -> Column:
+def _position(cuts: Sequence[Column], value: Column) -> Column:
     """Number of cut points not above ``value``, by a two-step search."""
     step = max(1, math.isqrt(len(cuts)))
-    coarse = F.array(*[F.lit(c) for c in cuts[::step]])
-    every = F.array(*[F.lit(c) for c in cuts])
+    coarse = F.array(*cuts[::step])
+    every = F.array(*cuts)
     block = F.size(F.filter(coarse, lambda c: c <= value)) - 1
     inside = F.filter(F.slice(every, F.greatest(block, F.lit(0)) * step + 1, F.lit(step)), lambda c: c <= value)
-    return F.when(value.isNull() | (block < 0), F.lit(0)).otherwise(block * step + F.size(inside))
+    return F.when(block < 0, F.lit(0)).otherwise(block * step + F.size(inside))
 
 
 def with_pieces(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
     name: str = "_piece",
 ) -> tuple[DataFrame, bool]:
-    """Add a piece number that grows with ``order`` inside hot keys and is 0 elsewhere.
+    """Add a piece number that grows along ``order`` inside hot keys and is 0 elsewhere.
 
     The cut points come from a bounded sample and enter the plan as literals, so every
     branch that uses the pieces agrees on them. They only balance the work: any cut
@@ -58,22 +58,32 @@ def with_pieces(
     rows = sum(r["count"] for r in hot)
     if keys:
         schema = df.select(*keys).schema
-        marked = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema).withColumn("_hot", F.lit(True))
+        marked = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
+        marked = marked.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"))
+        same = None
+        for k in keys:
+            term = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+            same = term if same is None else same & term
         # at most MAX_HOT_KEYS rows, so the broadcast has a fixed bound
-        same = [df[k].eqNullSafe(marked[k]) for k in keys]
-        df = df.join(F.broadcast(marked), same, "left").select(df["*"], F.coalesce("_hot", F.lit(False)).alias("_hot"))
+        df = df.join(F.broadcast(marked), same, "left").drop(*[f"_h_{k}" for k in keys])
+        df = df.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     else:
         df = df.withColumn("_hot", F.lit(True))
     share = min(1.0, _CUT_SAMPLE / rows)
-    sample = df.filter("_hot").select(order).dropna()
+    sample = df.filter("_hot").select(*order).dropna()
     if share < 1.0:
         sample = sample.sample(share, seed=11)
-    values = sorted(r[0] for r in sample.collect())
+    values = sorted(tuple(r) for r in sample.collect())
     pieces = min(MAX_PIECES, math.ceil(rows / max_rows) + 1)
     cuts = sorted({values[len(values) * i // pieces] for i in range(1, pieces)}) if values else []
     if not cuts:
         return df.drop("_hot").withColumn(name, F.lit(0)), False
-    piece = F.when(F.col("_hot"), _position(cuts, F.col(order))).otherwise(F.lit(0))
+    types = [df.schema[o].dataType for o in order]
+    at = [
+        F.struct(*[F.lit(v).cast(t).alias(f"o{i}") for i, (v, t) in enumerate(zip(cut, types))]) for cut in cuts
+    ]
+    here = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
+    piece = F.when(F.col("_hot"), _position(at, here)).otherwise(F.lit(0))
     return df.withColumn(name, piece.cast("int")).drop("_hot"), True
 
 
@@ -86,7 +96,7 @@ def running_sums(
 ) -> DataFrame:
     """Running sums within ``keys`` along the ascending, unique ``order`` columns."""
     staged = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()])
-    staged, split = with_pieces(staged, keys, order[0], max_rows)
+    staged, split = with_pieces(staged, keys, order, max_rows)
     values = {n: f"_v_{n}" for n in sums}
     window = (
         Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
