@@ -106,10 +106,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def classify_columns(df: DataFrame, columns: Sequence[str], limit: int = 25) -> DataFrame:
-    """Categorical below ``limit`` distinct values, else continuous; from mergeable sketches."""
-    one = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns])
-    kind = lambda c: F.when(F.col(c) < limit, "categorical").otherwise("continuous")
-    return _stack(one, [{"column": F.lit(c), "kind": kind(c)} for c in columns])
+    """Categorical below ``limit`` distinct values, else continuous.
+
+    A mergeable sketch rules out the wide columns; only the narrow ones, whose value sets
+    are small, are counted exactly.
+    """
+    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    narrow = [c for c in columns if rough[c] < 2 * limit]
+    exact = df.agg(F.count(F.lit(1)).alias("_n"), *[F.size(F.collect_set(c)).alias(c) for c in narrow])
+    kind = {c: F.when(F.col(c) < limit, "categorical").otherwise("continuous") for c in narrow}
+    return _stack(exact, [{"column": F.lit(c), "kind": kind.get(c, F.lit("continuous"))} for c in columns])
 
 
 def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -196,8 +202,8 @@ def narrow_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         [
             {
                 "column": F.lit(c),
-                "min_value": F.col(f"{c}__lo"),
-                "max_value": F.col(f"{c}__hi"),
+                "min_value": F.col(f"{c}__lo") + F.lit(0.0),
+                "max_value": F.col(f"{c}__hi") + F.lit(0.0),
                 "suggested_type": suggestion(c),
             }
             for c in columns

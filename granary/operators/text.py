@@ -25,7 +25,10 @@ def term_counts(df: DataFrame, ids: Sequence[str], words: Column) -> DataFrame:
 
 def ngram_frequencies(df: DataFrame, words: Column, n: int, top: int | None = None) -> DataFrame:
     """Occurrences of each n-gram over all documents, most frequent first."""
-    counts = df.select(F.explode(ngrams(words, n)).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+    # the words are a column of their own, so that they are split once per text and not once per n-gram
+    staged = df.select(words.alias("_w"))
+    grams = staged.select(F.explode(ngrams(F.col("_w"), n)).alias("ngram"))
+    counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.col("n").desc(), "ngram").limit(top) if top else counts
 
 
@@ -124,10 +127,11 @@ def tf_idf(counts: DataFrame, id_col: str, documents: Column) -> DataFrame:
 
 def hashed_counts(df: DataFrame, id_col: str, words: Column, sizes: Sequence[int], buckets: int) -> DataFrame:
     """Counts of n-grams in hash buckets, scaled to unit length per document."""
-    grams = F.concat(*[ngrams(words, n) for n in sizes])
+    grams = F.concat(*[ngrams(F.col("_w"), n) for n in sizes])
     bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).alias("bucket")
     counts = (
-        df.select(id_col, F.explode(grams).alias("gram"))
+        df.select(id_col, words.alias("_w"))
+        .select(id_col, F.explode(grams).alias("gram"))
         .select(id_col, bucket)
         .groupBy(id_col, "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
