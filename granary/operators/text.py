@@ -125,19 +125,34 @@ def tf_idf(counts: DataFrame, id_col: str, documents: Column) -> DataFrame:
     return raw.select(id_col, "term", "tf", (F.col("_w") / norm).alias("weight"))
 
 
-def hashed_counts(df: DataFrame, id_col: str, words: Column, sizes: Sequence[int], buckets: int) -> DataFrame:
-    """Counts of n-grams in hash buckets, scaled to unit length per document."""
+def largest_vocabulary(counts: DataFrame, size: int) -> DataFrame:
+    """Keep the ``size`` terms with the most occurrences overall."""
+    totals = counts.groupBy("term").agg(F.sum("tf").alias("_all"))
+    kept = totals.orderBy(F.col("_all").desc(), "term").limit(size).select("term")
+    return counts.join(kept, "term", "left_semi")
+
+
+def hashed_counts(
+    df: DataFrame, id_col: str, words: Column, sizes: Sequence[int], buckets: int, signed: bool = True
+) -> DataFrame:
+    """Counts of n-grams in hash buckets, scaled to unit length per document.
+
+    With ``signed`` the sign of the hash decides whether a gram counts up or down, so that
+    colliding grams cancel instead of adding up.
+    """
     grams = F.concat(*[ngrams(F.col("_w"), n) for n in sizes])
-    bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).alias("bucket")
+    h = F.xxhash64("gram")
+    sign = F.when(h >= 0, F.lit(1)).otherwise(F.lit(-1)) if signed else F.lit(1)
     counts = (
         df.select(id_col, words.alias("_w"))
         .select(id_col, F.explode(grams).alias("gram"))
-        .select(id_col, bucket)
+        .select(id_col, F.pmod(h, F.lit(buckets)).alias("bucket"), sign.alias("_s"))
         .groupBy(id_col, "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_s").alias("n"))
     )
+    # one document's buckets: bounded by its text
     norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(id_col)))
-    return counts.select(id_col, "bucket", "n", (F.col("n") / norm).alias("weight"))
+    return counts.select(id_col, "bucket", "n", (F.col("n") / F.nullif(norm, F.lit(0.0))).alias("weight"))
 
 
 def bm25(

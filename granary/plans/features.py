@@ -1 +1,193 @@
-"""Queries."""
+"""Text features, vectors and retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from granary.functions import text as tf
+from granary.functions.numeric import arithmetic_hash, arithmetic_hash_sql, fixed
+from granary.operators import listing, text as textops, vectors
+from granary.plans.aggregates import rounded
+from granary.plans.registry import fx, query
+from granary.plans.tables import ITEMS_SQL, items, table
+from granary.plans.texts import TOKENS_SQL, WORDS, WORDS_SQL, docs
+
+_COUNTS_SQL = f"""w AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
+t AS (SELECT count(*) AS total FROM documents)"""
+
+
+def _counts(spark, sf):
+    return textops.term_counts(docs(spark, sf), ["doc_id"], tf.tokens(F.col("text")))
+
+
+def _total(spark, sf):
+    return table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
+
+
+def _listing_words():
+    return F.filter(
+        F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]{2,})"), 1),
+        lambda w: ~w.isin(*tf.LISTING_STOP_WORDS),
+    )
+
+
+@query("f01_hashed_ngrams")
+def f01_hashed_ngrams(spark, sf):
+    return textops.hashed_counts(docs(spark, sf), "doc_id", _listing_words(), (1, 2), 2**27, signed=True)
+
+
+@query(
+    "f01b_hashed_ngram_totals",
+    r"""WITH w AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}'),
+ lambda w: w NOT IN ('the', 'a', 'an', 'is', 'it', 'this'))) AS n FROM documents)
+SELECT doc_id, CAST(n + greatest(n - 1, 0) + greatest(n - 2, 0) AS BIGINT) AS grams, CAST(1 AS DOUBLE) AS squared_length FROM w WHERE n > 0""",
+)
+def f01b_hashed_ngram_totals(spark, sf):
+    """What the hash function cannot change: the grams of a document and its unit length."""
+    h = textops.hashed_counts(docs(spark, sf), "doc_id", _listing_words(), (1, 2, 3), 2**27, signed=False)
+    return rounded(
+        h.groupBy("doc_id").agg(
+            F.sum("n").alias("grams"), F.sum(F.col("weight") * F.col("weight")).alias("squared_length")
+        )
+    )
+
+
+@query(
+    "f02_count_vectors",
+    f"WITH {_COUNTS_SQL} SELECT doc_id, term, tf FROM c WHERE term IN (SELECT term FROM d, t WHERE df >= 10 AND df <= total * 0.5)",
+)
+def f02_count_vectors(spark, sf):
+    return textops.prune_by_document_frequency(_counts(spark, sf), _total(spark, sf), min_df=10, max_df=0.5)
+
+
+@query(
+    "f02b_largest_vocabulary",
+    f"""WITH {_COUNTS_SQL}, v AS (SELECT term FROM c GROUP BY 1 ORDER BY sum(tf) DESC, term LIMIT 500)
+SELECT doc_id, term, tf FROM c WHERE term IN (SELECT term FROM v)""",
+)
+def f02b_largest_vocabulary(spark, sf):
+    """Count vectors over the most frequent terms only."""
+    return textops.largest_vocabulary(_counts(spark, sf), 500)
+
+
+@query(
+    "f03_tf_idf",
+    f"""WITH {_COUNTS_SQL}, x AS (SELECT doc_id, term, tf, tf * (ln((1 + total) / (1 + df)) + 1) AS raw FROM c JOIN d USING (term), t)
+SELECT doc_id, term, tf, {fx("raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))", 6)} AS weight FROM x""",
+)
+def f03_tf_idf(spark, sf):
+    return rounded(textops.tf_idf(_counts(spark, sf), "doc_id", _total(spark, sf)), 6)
+
+
+@query(
+    "f04_idf_extremes",
+    f"""WITH {_COUNTS_SQL}, i AS (SELECT term, df, {fx("ln((1 + total) / (1 + df)) + 1", 6)} AS idf FROM d, t)
+(SELECT *, 'lowest' AS side FROM i ORDER BY idf, term LIMIT 10) UNION ALL (SELECT *, 'highest' FROM i ORDER BY idf DESC, term LIMIT 10)""",
+)
+def f04_idf_extremes(spark, sf):
+    idf = rounded(textops.inverse_document_frequencies(_counts(spark, sf), _total(spark, sf)), 6)
+    low = idf.orderBy("idf", "term").limit(10).withColumn("side", F.lit("lowest"))
+    return low.unionAll(idf.orderBy(F.col("idf").desc(), "term").limit(10).withColumn("side", F.lit("highest")))
+
+
+@query(
+    "f05_prune_terms",
+    f"WITH {_COUNTS_SQL} SELECT term, df FROM d, t WHERE df >= 3 AND df <= total * 0.2",
+)
+def f05_prune_terms(spark, sf):
+    kept = textops.prune_by_document_frequency(_counts(spark, sf), _total(spark, sf), min_df=3, max_df=0.2)
+    return textops.document_frequencies(kept)
+
+
+@query(
+    "f06_shared_terms",
+    f"""WITH {_COUNTS_SQL}, s AS (SELECT c.*, {arithmetic_hash_sql('doc_id', 5)} < 600000 AS train FROM c),
+k AS (SELECT term FROM s GROUP BY 1 HAVING count(*) FILTER (train) >= 2 AND count(*) FILTER (NOT train) >= 2)
+SELECT doc_id, term, tf, CASE WHEN train THEN 'train' ELSE 'test' END AS side FROM s WHERE term IN (SELECT term FROM k)""",
+)
+def f06_shared_terms(spark, sf):
+    counts = _counts(spark, sf)
+    train = arithmetic_hash(F.col("doc_id"), 5) < 600_000
+    a, b = textops.shared_terms(counts.filter(train), counts.filter(~train), min_df=2)
+    return a.withColumn("side", F.lit("train")).unionAll(b.withColumn("side", F.lit("test")))
+
+
+@query(
+    "f07_feature_union",
+    f"""WITH {ITEMS_SQL}, l AS (SELECT *, string_split(category, '/') AS p, string_split(name, ' ') AS w FROM items),
+f AS (SELECT item_id, 'name=' || unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM l
+ UNION ALL SELECT item_id, unnest(CASE WHEN len(p) >= 3 THEN ['category=' || p[1], 'category=' || p[2], 'category=' || p[3], 'category=' || p[1] || '/' || p[2]]
+   ELSE ['category=other', 'category=other', 'category=other', 'category=other/other'] END) FROM l
+ UNION ALL SELECT item_id, 'brand=' || brand FROM l WHERE brand IS NOT NULL
+ UNION ALL SELECT item_id, 'general_condition=' || CASE WHEN len(p) >= 3 THEN p[1] ELSE 'other' END || '_' || condition FROM l
+ UNION ALL SELECT item_id, 'has_brand=' || CAST(brand IS NOT NULL AS INT) FROM l
+ UNION ALL SELECT item_id, 'shipping=' || shipping FROM l UNION ALL SELECT item_id, 'condition=' || condition FROM l),
+c AS (SELECT item_id, feature, count(*) AS n FROM f GROUP BY 1, 2)
+SELECT * FROM c WHERE feature IN (SELECT feature FROM c GROUP BY 1 HAVING count(*) >= 2)""",
+)
+def f07_feature_union(spark, sf):
+    return listing.feature_table(items(spark, sf), "item_id", min_df=2)
+
+
+@query("f08_truncated_svd")
+def f08_truncated_svd(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return vectors.truncated_svd(e, "vec_id", "embedding", 5)
+
+
+@query("f09_kmeans")
+def f09_kmeans(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    return vectors.kmeans(e, "vec_id", "embedding", 10, seed=7)
+
+
+@query(
+    "f09b_nearest_centroid",
+    f"""WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(1, 65)) AS i FROM embeddings),
+m AS (SELECT label AS c, i, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY 1, 2),
+s AS (SELECT vec_id, c, sum((v - m) ** 2) AS dist FROM x JOIN m USING (i) GROUP BY 1, 2)
+SELECT vec_id, c AS centroid, {fx("sqrt(dist)", 5)} AS distance FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(dist, 9), c) = 1""",
+)
+def f09b_nearest_centroid(spark, sf):
+    """Assignment to given centres, here the mean vector of each label."""
+    e = table(spark, sf, "embeddings")
+    centres = vectors.group_means(e, "label", "embedding", 64)
+    return rounded(vectors.nearest_centroid(e, "vec_id", "embedding", centres), 5)
+
+
+@query("f09c_cluster_terms")
+def f09c_cluster_terms(spark, sf):
+    """K-means on hashed TF-IDF vectors of the documents and the heaviest terms of each cluster."""
+    counts = _counts(spark, sf)
+    weights = textops.tf_idf(counts, "doc_id", _total(spark, sf))
+    clusters = vectors.text_clusters(docs(spark, sf), "doc_id", tf.tokens(F.col("text")), 8, seed=7)
+    return vectors.cluster_terms(weights, clusters, "doc_id", 10)
+
+
+@query("f10_lda_topics")
+def f10_lda_topics(spark, sf):
+    topics, _ = vectors.lda(docs(spark, sf), "doc_id", tf.tokens(F.col("text")), 8, seed=7)
+    return topics
+
+
+@query("f10b_lda_documents")
+def f10b_lda_documents(spark, sf):
+    _, dominant = vectors.lda(docs(spark, sf), "doc_id", tf.tokens(F.col("text")), 8, seed=7)
+    return dominant
+
+
+@query(
+    "f11_bm25",
+    f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), n AS (SELECT count(*) AS total, avg(len(w)) AS avgdl FROM d),
+q AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({WORDS_SQL}) AS term FROM benchmark) GROUP BY 1, 2),
+p AS (SELECT doc_id, dl, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS dl, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+s AS (SELECT item_id, doc_id, sum(qtf * ln(1 + (total - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS score
+ FROM q JOIN p USING (term) JOIN f USING (term), n GROUP BY 1, 2)
+SELECT item_id, doc_id, {fx("score", 5)} AS score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS INT) AS rank
+FROM s QUALIFY rank <= 10""",
+)
+def f11_bm25(spark, sf):
+    q = table(spark, sf, "benchmark")
+    return rounded(textops.bm25(docs(spark, sf), "doc_id", WORDS, q, "item_id", WORDS, 10), 5)
