@@ -8,6 +8,7 @@ small row per model; the solves are on matrices the size of the feature list.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,35 +17,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _moment_columns(features: Sequence[str], target: str) -> tuple[list[Column], int]:
-    names = [*features, target]
-    columns = [F.col(n).cast("double") for n in names]
-    products = [F.sum(a * b) for i, a in enumerate(columns) for b in columns[i:]]
-    sums = [F.sum(c) for c in columns]
-    return [F.count(F.lit(1)).cast("double"), *sums, *products], len(names)
-
-
 def moments(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Count, sums and sums of products of complete rows as one array per group."""
-    complete = df.dropna(subset=[*features, target])
-    columns, _ = _moment_columns(features, target)
-    return complete.groupBy(*keys).agg(F.array(*columns).alias("moments"))
+    """Count, means and covariances of the complete rows as one array per group.
+
+    The built-in moments are centred while they are merged, so large tables keep their precision.
+    """
+    columns = [F.col(n).cast("double") for n in (*features, target)]
+    spread = [F.covar_pop(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    parts = [F.count(F.lit(1)).cast("double"), *[F.avg(c) for c in columns], *spread]
+    return df.dropna(subset=[*features, target]).groupBy(*keys).agg(F.array(*parts).alias("moments"))
 
 
-def _unpack(m: np.ndarray, p: int) -> tuple[float, np.ndarray, np.ndarray]:
+def _unpack(m: Sequence[float], p: int) -> tuple[float, np.ndarray, np.ndarray]:
     """Count, means and centred product matrix over p features and the target."""
-    size = p + 1
-    n, sums = m[0], m[1 : 1 + size]
+    m, size = np.asarray(m, dtype=float), p + 1
     table = np.zeros((size, size))
     table[np.triu_indices(size)] = m[1 + size :]
     table = table + table.T - np.diag(np.diag(table))
-    mean = sums / n if n else sums
-    return n, mean, table - n * np.outer(mean, mean)
+    return m[0], m[1 : 1 + size], m[0] * table
+
+
+def _merge(a, b):
+    """Moments of two disjoint sets of rows together."""
+    n = a[0] + b[0]
+    gap = b[1] - a[1]
+    return n, a[1] + gap * b[0] / n, a[2] + b[2] + np.outer(gap, gap) * a[0] * b[0] / n
 
 
-def solve_ridge(m: Sequence[float], p: int, alpha: float = 0.0) -> tuple[float, np.ndarray, float]:
+def solve_ridge(parts, p: int, alpha: float = 0.0) -> tuple[float, np.ndarray, float]:
     """Intercept (not penalised), coefficients and residual sum of squares."""
-    n, mean, c = _unpack(np.asarray(m, dtype=float), p)
+    n, mean, c = parts
     xx, xy, yy = c[:p, :p], c[:p, p], c[p, p]
     weights = np.linalg.lstsq(xx + alpha * np.eye(p), xy, rcond=None)[0]
     rss = yy - 2 * weights @ xy + weights @ xx @ weights
@@ -54,7 +56,7 @@ def solve_ridge(m: Sequence[float], p: int, alpha: float = 0.0) -> tuple[float,
 def ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.0) -> dict[str, float]:
     """Ridge (or plain least squares) over the whole table."""
     row = moments(df, features, target).first()
-    intercept, weights, _ = solve_ridge(row["moments"], len(features), alpha)
+    intercept, weights, _ = solve_ridge(_unpack(row["moments"], len(features)), len(features), alpha)
     return {"intercept": intercept, **dict(zip(features, weights.tolist()))}
 
 
@@ -63,18 +65,17 @@ def ridge_by_cross_validation(
 ) -> tuple[DataFrame, dict[str, float]]:
     """Penalty chosen by k-fold error, with one pass over the data for all folds and penalties.
 
-    The moments of the training part of a fold are the total minus the fold's own, and the
-    fold's error follows from its moments as well.
+    The moments of a training part are those of the other folds merged, and a fold's error
+    follows from its own moments as well.
     """
     p = len(features)
-    parts = [np.asarray(r["moments"], dtype=float) for r in moments(df, features, target, [fold]).collect()]
-    total = np.sum(parts, axis=0)
+    parts = [_unpack(r["moments"], p) for r in moments(df, features, target, [fold]).collect()]
+    total = reduce(_merge, parts)
     scores = []
     for alpha in alphas:
         error = 0.0
-        for part in parts:
-            intercept, w, _ = solve_ridge(total - part, p, alpha)
-            n, mean, c = _unpack(part, p)
+        for i, (n, mean, c) in enumerate(parts):
+            intercept, w, _ = solve_ridge(reduce(_merge, parts[:i] + parts[i + 1 :]), p, alpha)
             bias = mean[p] - intercept - w @ mean[:p]
             error += c[p, p] - 2 * w @ c[:p, p] + w @ c[:p, :p] @ w + n * bias * bias
         scores.append((float(alpha), float(np.sqrt(error / total[0]))))
@@ -98,7 +99,7 @@ def series_models(df: DataFrame, keys: Sequence[str], features: Sequence[str], t
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def solve(m: pd.Series) -> pd.Series:
         def one(v):
-            intercept, weights, rss = solve_ridge(v, p, alpha)
+            intercept, weights, rss = solve_ridge(_unpack(v, p), p, alpha)
             return [intercept, *weights.tolist(), rss]
 
         return m.map(one)
@@ -116,7 +117,7 @@ def series_models(df: DataFrame, keys: Sequence[str], features: Sequence[str], t
 def regression_diagnostics(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Sums of squares, F, R squared, adjusted R squared, t values and variance inflation per coefficient."""
     p = len(features)
-    n, _, c = _unpack(np.asarray(moments(df, features, target).first()["moments"], dtype=float), p)
+    n, _, c = _unpack(moments(df, features, target).first()["moments"], p)
     xx, xy, tss = c[:p, :p], c[:p, p], c[p, p]
     inverse = np.linalg.pinv(xx)
     weights = inverse @ xy
