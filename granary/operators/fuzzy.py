@@ -9,7 +9,10 @@ from granary.functions.distance import edit_distance
 
 
 def deletions(word: Column, k: int) -> Column:
-    """The word and every string left after deleting up to ``k`` of its characters."""
+    """The word and every string left after deleting up to ``k`` of its characters.
+
+    The last character is never deleted, so two one-letter words share nothing.
+    """
     found = F.array(word)
     level = F.array(word)
     for _ in range(k):
@@ -29,7 +32,7 @@ def deletions(word: Column, k: int) -> Column:
 
 
 def fuzzy_candidates(words: DataFrame, word: str, dictionary: DataFrame, entry: str, k: int) -> DataFrame:
-    """Pairs that share a deletion string: a superset of all pairs within distance ``k``.
+    """Pairs that share a deletion string, among them the pairs within distance ``k``.
 
     Both sides are distinct words. A deletion string is shared by the words that come from
     it by at most ``k`` insertions, a number set by the alphabet and not by the data.

@@ -114,6 +114,16 @@ def series_models(df: DataFrame, keys: Sequence[str], features: Sequence[str], t
     )
 
 
+def _inflation(correlation: np.ndarray, i: int) -> float:
+    """Variance inflation of one feature: 1 / (1 - R squared) against the others."""
+    rest = [j for j in range(len(correlation)) if j != i]
+    if not rest:
+        return 1.0
+    link = correlation[i, rest]
+    unexplained = 1.0 - float(link @ np.linalg.pinv(correlation[np.ix_(rest, rest)]) @ link)
+    return 1.0 / unexplained if unexplained > 1e-12 else float("inf")
+
+
 def regression_diagnostics(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Sums of squares, F, R squared, adjusted R squared, t values and variance inflation per coefficient."""
     p = len(features)
@@ -127,7 +137,7 @@ def regression_diagnostics(df: DataFrame, features: Sequence[str], target: str)
     r2 = ssr / tss
     deviation = np.sqrt(np.diag(xx))
     correlation = xx / np.outer(deviation, deviation)
-    vif = np.diag(np.linalg.pinv(correlation))
+    vif = [_inflation(correlation, i) for i in range(p)]
     t = weights / np.sqrt(sse / dof * np.diag(inverse))
     rows = [
         (

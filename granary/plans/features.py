@@ -10,7 +10,7 @@ from granary.operators import listing, text as textops, vectors
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
-from granary.plans.texts import TOKENS_SQL, WORDS, WORDS_SQL, docs
+from granary.plans.texts import TOKENS_SQL, WORDS_SQL, docs, words
 
 _COUNTS_SQL = f"""w AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents),
 c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
@@ -190,4 +190,4 @@ FROM s QUALIFY rank <= 10""",
 )
 def f11_bm25(spark, sf):
     q = table(spark, sf, "benchmark")
-    return rounded(textops.bm25(docs(spark, sf), "doc_id", WORDS, q, "item_id", WORDS, 10), 5)
+    return rounded(textops.bm25(docs(spark, sf), "doc_id", words(), q, "item_id", words(), 10), 5)

@@ -27,7 +27,12 @@ def clean_sql(least):
 
 
 TOKENS_SQL = f"list_filter({clean_sql(3)}, lambda w: regexp_matches(w, '[a-z]'))"
-WORDS = F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ÿ]+)"), 1)
+
+
+def words():
+    return F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ÿ]+)"), 1)
+
+
 WORDS_SQL = "regexp_extract_all(lower(text), '[a-zà-ÿ]+')"
 
 
@@ -155,10 +160,10 @@ def t10_citation_year(spark, sf):
  CAST(damerau_levenshtein(lower(p_type), lower(p_brand)) AS INT) AS type_from_brand FROM part""",
 )
 def t11_edit_distance(spark, sf):
-    words = F.split("p_name", " ")
+    parts = F.split("p_name", " ")
     return table(spark, sf, "part").select(
         "p_partkey",
-        edit_distance(words[0], words[1]).alias("words_apart"),
+        edit_distance(parts[0], parts[1]).alias("words_apart"),
         edit_distance(F.lower("p_type"), F.lower("p_brand")).alias("type_from_brand"),
     )
 
@@ -187,7 +192,7 @@ SELECT doc_id, CAST(i AS INT) AS position, array_to_string(t[greatest(i - 5, 1):
  array_to_string(t[i + 2:i + 6], ' ') AS after FROM p WHERE t[i] = 'of' AND t[i + 1] = 'the'""",
 )
 def t13_keyword_in_context(spark, sf):
-    return textops.keyword_in_context(docs(spark, sf), "doc_id", WORDS, ["of", "the"], 5)
+    return textops.keyword_in_context(docs(spark, sf), "doc_id", words(), ["of", "the"], 5)
 
 
 @query(
@@ -200,8 +205,8 @@ SELECT doc_id, CAST(m AS INT) AS full_length, repeat('0 ', 20 - len(s)) || array
 )
 def t14_id_sequences(spark, sf):
     d = docs(spark, sf)
-    ids = textops.vocabulary_ids(d, WORDS)
-    seq = textops.id_sequences(d, "doc_id", WORDS, ids, 20)
+    ids = textops.vocabulary_ids(d, words())
+    seq = textops.id_sequences(d, "doc_id", words(), ids, 20)
     return seq.withColumn("sequence", F.array_join("sequence", " "))
 
 
@@ -211,7 +216,7 @@ def t14_id_sequences(spark, sf):
 SELECT term, row_number() OVER (ORDER BY n DESC, term) AS word_id, n FROM v""",
 )
 def t14b_vocabulary_ids(spark, sf):
-    return textops.vocabulary_ids(docs(spark, sf), WORDS)
+    return textops.vocabulary_ids(docs(spark, sf), words())
 
 
 @query(
@@ -219,7 +224,7 @@ def t14b_vocabulary_ids(spark, sf):
     f"SELECT lang, CAST(max(len({WORDS_SQL})) AS INT) AS longest FROM documents GROUP BY 1",
 )
 def t14c_longest_sequence(spark, sf):
-    return docs(spark, sf).groupBy("lang").agg(F.max(F.size(WORDS)).alias("longest"))
+    return docs(spark, sf).groupBy("lang").agg(F.max(F.size(words())).alias("longest"))
 
 
 @query(
