@@ -29,6 +29,13 @@ def wrap_degrees(angle: Column) -> Column:
     return F.pmod(angle, F.lit(360))
 
 
+def correlation(left: Column, right: Column) -> Column:
+    """Pearson correlation of the complete pairs as an aggregate; NULL when a side is constant."""
+    a = F.when(right.isNotNull(), left.cast("double"))
+    b = F.when(left.isNotNull(), right.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def flag_map(value: Column, mapping: dict[str, int]) -> Column:
     """Map listed codes to numbers, everything else to NULL."""
     chain = None

@@ -102,5 +102,5 @@ def model_matrix(df: DataFrame, categorical: str, numeric: Sequence[str], share:
     out = coded
     for c in numeric:
         mean, std = df.agg(F.avg(c)).scalar(), df.agg(F.stddev_samp(c)).scalar()
-        out = out.withColumn(c, (F.col(c) - mean) / std)
+        out = out.withColumn(c, (F.col(c) - mean) / F.nullif(std, F.lit(0.0)))
     return out

@@ -123,4 +123,4 @@ def mean_precision_over_iou(df: DataFrame, group: str, truth: str, predicted: st
 def hamming_loss(df: DataFrame, truth: Sequence[Column], predicted: Sequence[Column]) -> DataFrame:
     """Share of label cells that differ."""
     wrong = sum(((t != p).cast("int") for t, p in zip(truth, predicted)), F.lit(0))
-    return df.agg((F.sum(wrong) / (F.count(F.lit(1)) * len(truth))).alias("hamming_loss"))
+    return df.agg(F.try_divide(F.sum(wrong), F.count(F.lit(1)) * len(truth)).alias("hamming_loss"))

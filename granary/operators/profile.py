@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.numeric import fixed
+from granary.functions.numeric import correlation, fixed
 from granary.operators.quantiles import exact_quantiles
 
 
@@ -59,9 +59,8 @@ def drop_constant_columns(df: DataFrame, null_is_value: bool = True, keep: Seque
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max and missing share of numeric columns."""
-    quartiles = exact_quantiles(
-        df, [], {c: {f"{c}__q{i}": i / 4 for i in (1, 2, 3)} for c in columns}
-    )
+    wanted = {c: {f"{c}__q{i}": i / 4 for i in (1, 2, 3)} for c in columns}
+    quartiles = exact_quantiles(df, [], wanted).first()
     aggs = []
     for c in columns:
         aggs += [
@@ -71,22 +70,19 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(c).cast("double").alias(f"{c}__min"),
             F.max(c).cast("double").alias(f"{c}__max"),
         ]
-    basics = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    # both sides are single rows
-    one = basics.withColumn("__one", F.lit(1)).join(quartiles.withColumn("__one", F.lit(1)), "__one")
-    fields = ("mean", "std", "min", "q1", "q2", "q3", "max")
-    return _stack(
-        one,
-        [
-            {
-                "column": F.lit(c),
-                "count": F.col(f"{c}__n"),
-                **{f: fixed(F.col(f"{c}__{f}"), 3) for f in fields},
-                "missing_share": fixed(1 - F.col(f"{c}__n") / F.col("__rows")),
-            }
-            for c in columns
-        ],
-    )
+    one = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
+
+    def entry(c: str) -> dict[str, Column]:
+        known = {f"q{i}": F.lit(quartiles[f"{c}__q{i}"]).cast("double") for i in (1, 2, 3)}
+        measured = {f: F.col(f"{c}__{f}") for f in ("mean", "std", "min", "max")}
+        return {
+            "column": F.lit(c),
+            "count": F.col(f"{c}__n"),
+            **{f: fixed(v, 3) for f, v in {**measured, **known}.items()},
+            "missing_share": fixed(1 - F.col(f"{c}__n") / F.nullif(F.col("__rows"), F.lit(0))),
+        }
+
+    return _stack(one, [entry(c) for c in columns])
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -167,7 +163,7 @@ def box_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """Pearson correlation of every pair of columns (pairwise complete), one pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in pairs])
+    one = df.agg(*[correlation(F.col(a), F.col(b)).alias(f"{a}~{b}") for a, b in pairs])
     return _stack(
         one,
         [{"left": F.lit(a), "right": F.lit(b), "corr": fixed(F.col(f"`{a}~{b}`"), digits)} for a, b in pairs],

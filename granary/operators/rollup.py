@@ -246,8 +246,9 @@ def shared_histogram(df: DataFrame, population: str, value: str, bins: int) -> D
     present = df.filter(F.col(value).isNotNull())
     low = present.agg(F.min(value)).scalar()
     high = present.agg(F.max(value)).scalar()
-    width = (high - low) / F.lit(bins)
-    position = F.floor((F.col(value) - low) / width)
+    width = F.nullif((high - low) / F.lit(bins), F.lit(0.0))
+    # all values equal: a single bin
+    position = F.coalesce(F.floor((F.col(value) - low) / width), F.lit(0))
     counted = (
         present.withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
         .groupBy(population, "bin")
@@ -258,7 +259,7 @@ def shared_histogram(df: DataFrame, population: str, value: str, bins: int) -> D
         population,
         "bin",
         "n",
-        (low + F.col("bin") * width).alias("left_edge"),
+        (low + F.col("bin") * F.coalesce(width, F.lit(0.0))).alias("left_edge"),
         (F.col("n") / F.col("_all") / width).alias("density"),
     )
 
@@ -275,18 +276,18 @@ def intraclass_correlation(df: DataFrame, group: str, value: str) -> DataFrame:
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("n")).alias("n2"),
         F.sum(F.col("n") * F.col("v")).alias("ssw"),
-        (F.sum(F.col("n") * F.col("m") * F.col("m")) - F.pow(F.sum(F.col("n") * F.col("m")), 2) / F.sum("n")).alias("ssb"),
+        (F.sum(F.col("n") * F.col("m") * F.col("m")) - F.try_divide(F.pow(F.sum(F.col("n") * F.col("m")), F.lit(2)), F.sum("n"))).alias("ssb"),
     )
-    msb = F.col("ssb") / (F.col("k") - 1)
-    msw = F.col("ssw") / (F.col("n") - F.col("k"))
-    n0 = (F.col("n") - F.col("n2") / F.col("n")) / (F.col("k") - 1)
-    between = (msb - msw) / n0
+    msb = F.try_divide(F.col("ssb"), F.col("k") - 1)
+    msw = F.try_divide(F.col("ssw"), F.col("n") - F.col("k"))
+    n0 = F.try_divide(F.col("n") - F.try_divide(F.col("n2"), F.col("n")), F.col("k") - 1)
+    between = F.try_divide(msb - msw, n0)
     return stats.select(
         "k",
         "n",
         msb.alias("ms_between"),
         msw.alias("ms_within"),
-        (between / (between + msw)).alias("icc"),
+        F.try_divide(between, between + msw).alias("icc"),
     )
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from granary.functions.numeric import fixed
+from granary.functions.numeric import correlation, fixed
 from granary.operators import encode, profile, rollup
 from granary.operators.quantiles import exact_quantiles
 from granary.plans.registry import fx, query
@@ -382,7 +382,7 @@ def a19_correlation_pairs(spark, sf):
 )
 def a19b_onehot_target_correlation(spark, sf):
     e = table(spark, sf, "events")
-    one = e.agg(*[F.corr((F.col("event_type") == t).cast("double"), F.col("value")).alias(t) for t in EVENT_TYPES])
+    one = e.agg(*[correlation(F.col("event_type") == t, F.col("value")).alias(t) for t in EVENT_TYPES])
     return rounded(one.unpivot([], EVENT_TYPES, "level", "corr"))
 
 

@@ -331,7 +331,8 @@ def l13b_permutation_importances(spark, sf):
 l AS (SELECT *, lag(y) OVER (PARTITION BY nation ORDER BY d) AS y_lag1 FROM s), k AS (SELECT * FROM l WHERE y_lag1 IS NOT NULL),
 m AS (SELECT nation, count(*) AS n, var_pop(y_lag1) AS a, covar_pop(y_lag1, orders) AS b, var_pop(orders) AS c, covar_pop(y_lag1, y) AS p,
  covar_pop(orders, y) AS q, avg(y_lag1) AS mx, avg(orders) AS mz, avg(y) AS my FROM k GROUP BY 1),
-w AS (SELECT *, (c * p - b * q) / (a * c - b * b) AS wx, (a * q - b * p) / (a * c - b * b) AS wz FROM m)
+w AS (SELECT *, CASE WHEN c < 1e-9 THEN p / a ELSE (c * p - b * q) / (a * c - b * b) END AS wx,
+ CASE WHEN c < 1e-9 THEN 0 ELSE (a * q - b * p) / (a * c - b * b) END AS wz FROM m)
 SELECT nation, n, {fx("my - wx * mx - wz * mz", 3)} AS intercept, {fx("wx")} AS b_y_lag1, {fx("wz")} AS b_orders FROM w""",
 )
 def l17_exogenous_forecast(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as tf
 from granary.functions.distance import edit_distance
-from granary.functions.numeric import fixed
+from granary.functions.numeric import correlation, fixed
 from granary.operators import profile
 from granary.operators import text as textops
 from granary.operators.skew import attach
@@ -105,8 +105,9 @@ def t06_token_lengths(spark, sf):
 
 @query(
     "t07_length_correlation",
-    f"""SELECT lang, {fx("corr(length(CASE WHEN source <> 'src3' THEN text END), quality)")} AS corr, count(CASE WHEN source <> 'src3' THEN 1 END) AS n
-FROM documents JOIN labels USING (doc_id) GROUP BY lang""",
+    f"""WITH d AS (SELECT lang, CASE WHEN source <> 'src3' THEN length(text) END AS x, CASE WHEN source <> 'src3' THEN quality END AS y
+ FROM documents JOIN labels USING (doc_id))
+SELECT lang, {fx("covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0)")} AS corr, count(x) AS n FROM d GROUP BY lang""",
 )
 def t07_length_correlation(spark, sf):
     """Texts of one source stand for "no description" and become missing first."""
@@ -114,7 +115,7 @@ def t07_length_correlation(spark, sf):
     j = d.join(table(spark, sf, "labels"), "doc_id")
     length = F.when(F.col("source") != "src3", F.col("chars"))
     return j.groupBy("lang").agg(
-        fixed(F.corr(length.cast("double"), F.col("quality").cast("double"))).alias("corr"), F.count(length).alias("n")
+        fixed(correlation(length, F.col("quality"))).alias("corr"), F.count(length).alias("n")
     )
 
 

@@ -159,3 +159,10 @@ def test_scaling_round_trip_and_constant_column(spark):
     assert [r["x"] for r in scaled.collect()] == [-1.0, 1.0, None]
     assert all(r["c"] is None for r in scaled.collect())
     assert [r["x"] for r in clean.min_max_unscale(df, scaled, ["x"], -1.0, 1.0).collect()] == [1.0, 3.0, None]
+
+
+def test_constant_columns_do_not_divide_by_zero(spark):
+    df = spark.createDataFrame([("g", 2.0, 1.0), ("g", 2.0, 5.0)], "g STRING, x DOUBLE, y DOUBLE")
+    assert profile.correlation_pairs(df, ["x", "y"]).first()["corr"] is None
+    assert [(r["bin"], r["n"]) for r in R.shared_histogram(df, "g", "x", 4).collect()] == [(0, 2)]
+    assert R.intraclass_correlation(df, "g", "y").first()["icc"] is None
