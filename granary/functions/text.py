@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ASCII punctuation, digits and line controls (fixed value)
@@ -32,6 +32,16 @@ UNITS = r"(\d+)[\s-]([a-z]{2})(\s)"
 SENTINELS = ["(not set)", "(none)", "unknown.unknown", "(not provided)", "not available in demo dataset"]
 
 
+def exploded(df: DataFrame, keep: Sequence[str], array: Column, name: str) -> DataFrame:
+    """One row per array element beside the kept columns; empty arrays give none.
+
+    The plain ``explode`` lets the optimiser infer a filter on the array size and push it
+    to the scan, which computes the array once more per row (and the steps of a staged array
+    many times). The outer form with a filter on its result does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def compose(*parts: Column) -> Column:
     """Lower-case parts joined by blanks; a missing part leaves its separator."""
     pieces = [F.coalesce(F.lower(p), F.lit("")) for p in parts]
@@ -73,13 +83,16 @@ def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Runs of ``n`` neighbouring words, joined by blanks."""
+    """Runs of ``n`` neighbouring words, joined by blanks.
+
+    Pass a column that already exists: the words are looked up once per position.
+    """
     if n == 1:
         return words
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(
         F.array().cast("array<int>")
     )
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
 
 
 def blank_token_count(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.distance import edit_distance
+from granary.functions.text import exploded
 
 
 def deletions(word: Column, k: int) -> Column:
@@ -37,8 +38,8 @@ def fuzzy_candidates(words: DataFrame, word: str, dictionary: DataFrame, entry:
     Both sides are distinct words. A deletion string is shared by the words that come from
     it by at most ``k`` insertions, a number set by the alphabet and not by the data.
     """
-    left = words.select(F.col(word)).distinct().select(word, F.explode(deletions(F.col(word), k)).alias("_d"))
-    right = dictionary.select(F.col(entry)).distinct().select(entry, F.explode(deletions(F.col(entry), k)).alias("_d"))
+    left = exploded(words.select(word).distinct(), [word], deletions(F.col(word), k), "_d")
+    right = exploded(dictionary.select(entry).distinct(), [entry], deletions(F.col(entry), k), "_d")
     close = F.abs(F.length(word) - F.length(entry)) <= k
     return left.join(right, "_d").filter(close).select(word, entry).distinct()
 

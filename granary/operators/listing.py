@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.text import LISTING_STOP_WORDS, compose, ngrams, normalise_units, path_levels, path_pair
+from granary.functions.text import LISTING_STOP_WORDS, compose, exploded, ngrams, normalise_units, path_levels, path_pair
 
 
 def _named(block: str, values: Column) -> Column:
@@ -45,7 +45,7 @@ def with_features(df: DataFrame) -> DataFrame:
 
 def feature_table(df: DataFrame, item: str, min_df: int = 2) -> DataFrame:
     """(item, feature, count) rows of features seen in at least ``min_df`` items."""
-    long = with_features(df).select(item, F.explode("features").alias("feature"))
+    long = exploded(with_features(df), [item], F.col("features"), "feature")
     counts = long.groupBy(item, "feature").agg(F.count(F.lit(1)).alias("n"))
     kept = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df).select("feature")
     return counts.join(kept, "feature", "left_semi")

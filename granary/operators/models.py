@@ -175,6 +175,7 @@ def permuted(df: DataFrame, key: str, column: str, seed: int) -> DataFrame:
 def permutation_importances(model, df: DataFrame, key: str, features: Sequence[str], target: str, seed: int, cut: float = 0.0) -> DataFrame:
     """Loss of accuracy when a feature is shuffled; features above ``cut`` are marked as kept."""
     hit = F.avg((F.col("prediction") == F.col(target)).cast("double"))
+    df = durable(df.select(key, target, *features))
     base = model.transform(assemble(df, features)).agg(hit.alias("a")).first()[0]
 
     def drop(f: str) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.functions.text import exploded
 from granary.operators.skew import attach
 
 
@@ -96,7 +97,7 @@ def fill_from_dictionary(
         F.array(entry(i, F.lit(0), F.regexp_extract(t, f"^{word}\\s{word}", 0))) for i, t in enumerate(sources)
     ]
     candidates += [every_word(len(sources) + i, t) for i, t in enumerate(sources)]
-    offered = gaps.select(item, F.explode(F.concat(*candidates)).alias("c")).select(item, "c.*").filter("text <> ''")
+    offered = exploded(gaps, [item], F.concat(*candidates), "c").select(item, "c.*").filter("text <> ''")
     found = (
         offered.join(known, F.col("text") == F.col("_brand"))
         .groupBy(item)

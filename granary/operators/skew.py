@@ -29,12 +29,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS)
 
 
 def _position(cuts: Sequence[Column], value: Column) -> Column:
-    """Number of cut points not above ``value``, by a two-step search."""
+    """Number of cut points not above ``value``: first the block of cut points, then inside it."""
     step = max(1, math.isqrt(len(cuts)))
-    coarse = F.array(*cuts[::step])
-    every = F.array(*cuts)
-    block = F.size(F.filter(coarse, lambda c: c <= value)) - 1
-    inside = F.filter(F.slice(every, F.greatest(block, F.lit(0)) * step + 1, F.lit(step)), lambda c: c <= value)
+    blocks = [F.array(*cuts[i : i + step]) for i in range(0, len(cuts), step)]
+    block = F.size(F.filter(F.array(*cuts[::step]), lambda c: c <= value)) - 1
+    inside = F.filter(F.get(F.array(*blocks), block), lambda c: c <= value)
     return F.when(block < 0, F.lit(0)).otherwise(block * step + F.size(inside))
 
 

@@ -2,32 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.functions.text import ngrams
+from granary.functions.text import exploded, ngrams
 from granary.operators.skew import MAX_GROUP_ROWS, number_rows
 
 
 def vocabulary(df: DataFrame, text: str, pattern: str = r"[\p{L}]+") -> DataFrame:
     """Distinct lower-case words with their number of occurrences."""
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({pattern})"), 1)
-    return df.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return exploded(df, [], words, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def term_counts(df: DataFrame, ids: Sequence[str], words: Column) -> DataFrame:
-    """Occurrences of each term in each document."""
-    return df.select(*ids, F.explode(words).alias("term")).groupBy(*ids, "term").agg(F.count(F.lit(1)).alias("tf"))
+def _run_starts(sorted_values: Column) -> Column:
+    """Positions in a sorted array where a new value begins."""
+    places = F.transform(
+        sorted_values, lambda v, i: F.when((i == 0) | (v != F.get(sorted_values, i - 1)), i)
+    )
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _counted(df: DataFrame, id_col: str, values: Column) -> DataFrame:
+    """Per row the distinct values of an array with their counts, as ``_r`` array of (value, count).
+
+    Each step is a column of its own, so that no step is computed once per element.
+    """
+    staged = df.select(id_col, F.sort_array(values).alias("_s"))
+    staged = staged.select(id_col, "_s", _run_starts(F.col("_s")).alias("_b"))
+    ends = lambda j: F.coalesce(F.get(F.col("_b"), j + 1), F.size("_s"))
+    runs = F.transform(
+        "_b", lambda b, j: F.struct(F.get(F.col("_s"), b).alias("value"), (ends(j) - b).cast("long").alias("count"))
+    )
+    return staged.select(id_col, runs.alias("_r"))
+
+
+def term_counts(df: DataFrame, id_col: str, words: Column) -> DataFrame:
+    """Occurrences of each term in each document, one document per row of ``df``.
+
+    The words of a row are sorted and counted inside the row, so nothing is shuffled.
+    """
+    rows = exploded(_counted(df, id_col, words).withColumnRenamed("_r", "_a"), [id_col], F.col("_a"), "_r")
+    return rows.select(id_col, F.col("_r.value").alias("term"), F.col("_r.count").alias("tf"))
+
+
+def group_term_counts(df: DataFrame, groups: Sequence[str], words: Column) -> DataFrame:
+    """Occurrences of each term in each group of documents."""
+    long = exploded(df, groups, words, "term")
+    return long.groupBy(*groups, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ngram_frequencies(df: DataFrame, words: Column, n: int, top: int | None = None) -> DataFrame:
     """Occurrences of each n-gram over all documents, most frequent first."""
     # the words are a column of their own, so that they are split once per text and not once per n-gram
     staged = df.select(words.alias("_w"))
-    grams = staged.select(F.explode(ngrams(F.col("_w"), n)).alias("ngram"))
+    grams = exploded(staged, [], ngrams(F.col("_w"), n), "ngram")
     counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.col("n").desc(), "ngram").limit(top) if top else counts
 
@@ -37,8 +70,12 @@ def keyword_in_context(df: DataFrame, id_col: str, words: Column, phrase: Sequen
     m = len(phrase)
     staged = df.select(id_col, words.alias("w"))
     starts = F.when(F.size("w") >= m, F.sequence(F.lit(1), F.size("w") - (m - 1))).otherwise(F.array().cast("array<int>"))
-    hits = F.filter(starts, lambda i: F.slice(F.col("w"), i, F.lit(m)) == F.array(*[F.lit(p) for p in phrase]))
-    at = staged.select(id_col, "w", F.explode(hits).alias("position"))
+
+    def matches(i: Column) -> Column:
+        return reduce(lambda a, b: a & b, [F.get(F.col("w"), i + (j - 1)) == F.lit(p) for j, p in enumerate(phrase)])
+
+    hits = F.filter(starts, matches)
+    at = exploded(staged, [id_col, "w"], hits, "position")
     first = F.greatest(F.col("position") - window, F.lit(1))
     return at.select(
         id_col,
@@ -51,7 +88,7 @@ def keyword_in_context(df: DataFrame, id_col: str, words: Column, phrase: Sequen
 
 def vocabulary_ids(df: DataFrame, words: Column, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Word ids 1, 2, ... by falling frequency, ties by the alphabet."""
-    counts = df.select(F.explode(words).alias("term")).groupBy("term").agg((-F.count(F.lit(1))).alias("_neg"))
+    counts = exploded(df, [], words, "term").groupBy("term").agg((-F.count(F.lit(1))).alias("_neg"))
     numbered = number_rows(counts, ["_neg", "term"], "word_id", max_rows=max_rows)
     return numbered.select("term", "word_id", (-F.col("_neg")).alias("n"))
 
@@ -141,18 +178,30 @@ def hashed_counts(
     colliding grams cancel instead of adding up.
     """
     grams = F.concat(*[ngrams(F.col("_w"), n) for n in sizes])
-    h = F.xxhash64("gram")
-    sign = F.when(h >= 0, F.lit(1)).otherwise(F.lit(-1)) if signed else F.lit(1)
-    counts = (
-        df.select(id_col, words.alias("_w"))
-        .select(id_col, F.explode(grams).alias("gram"))
-        .select(id_col, F.pmod(h, F.lit(buckets)).alias("bucket"), sign.alias("_s"))
-        .groupBy(id_col, "bucket")
-        .agg(F.sum("_s").alias("n"))
-    )
-    # one document's buckets: bounded by its text
-    norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(id_col)))
-    return counts.select(id_col, "bucket", "n", (F.col("n") / F.nullif(norm, F.lit(0.0))).alias("weight"))
+
+    def code(gram: Column) -> Column:
+        # bucket in the upper bits, direction in the lowest
+        h = F.xxhash64(gram)
+        up = F.when(h >= 0, F.lit(1)).otherwise(F.lit(0)) if signed else F.lit(1)
+        return F.pmod(h, F.lit(buckets)) * 2 + up
+
+    words_of = df.select(id_col, words.alias("_w"))
+    runs = _counted(words_of, id_col, F.transform(grams, code))
+    bucket = lambda r: F.shiftright(r["value"], 1)
+    signed_count = lambda r: F.when(r["value"] % 2 == 1, r["count"]).otherwise(-r["count"])
+
+    def merged(r: Column, j: Column) -> Column:
+        # the two directions of one bucket are neighbours; the first of them carries both
+        before, after = F.get(F.col("_r"), j - 1), F.get(F.col("_r"), j + 1)
+        opens = (j == 0) | (bucket(before) != bucket(r))
+        other = F.when(bucket(after) == bucket(r), signed_count(after)).otherwise(F.lit(0))
+        return F.when(opens, F.struct(bucket(r).alias("bucket"), (signed_count(r) + other).alias("n")))
+
+    counted = runs.select(id_col, F.filter(F.transform("_r", merged), lambda r: r.isNotNull()).alias("_r"))
+    square = F.aggregate("_r", F.lit(0).cast("long"), lambda acc, r: acc + r["n"] * r["n"])
+    measured = counted.select(id_col, F.sqrt(square).alias("_norm"), F.col("_r").alias("_a"))
+    rows = exploded(measured, [id_col, "_norm"], F.col("_a"), "_r")
+    return rows.select(id_col, "_r.bucket", "_r.n", (F.col("_r.n") / F.nullif(F.col("_norm"), F.lit(0.0))).alias("weight"))
 
 
 def bm25(
@@ -174,24 +223,23 @@ def bm25(
     staged = documents.select(id_col, words.alias("_w")).withColumn("_len", F.size("_w"))
     total = staged.agg(F.count(F.lit(1))).scalar()
     mean_length = staged.agg(F.avg("_len")).scalar()
-    asked = term_counts(questions, [question_id], question_words).withColumnRenamed("tf", "_qtf")
+    asked = term_counts(questions, question_id, question_words).withColumnRenamed("tf", "_qtf")
     used = asked.select("term").distinct()
-    postings = (
-        staged.select(id_col, "_len", F.explode("_w").alias("term"))
-        .join(used, "term", "left_semi")
-        .groupBy(id_col, "_len", "term")
-        .agg(F.count(F.lit(1)).alias("_tf"))
-    )
+    # by document: the scores of a document then add up without moving a row per question
+    by_document = staged.select(F.struct(id_col, "_len").alias("_d"), "_w").repartition(F.col("_d"))
+    counts = term_counts(by_document, "_d", F.col("_w"))
+    postings = counts.join(used, "term", "left_semi").withColumnRenamed("tf", "_tf")
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     weighted = asked.join(df, "term").select(
         question_id, "term", (F.col("_qtf") * F.ln(1 + (total - F.col("_df") + 0.5) / (F.col("_df") + 0.5))).alias("_idf")
     )
-    saturation = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / mean_length))
+    saturation = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_d._len") / mean_length))
     scored = (
         postings.withColumn("_sat", saturation)
         .join(weighted, "term")
-        .groupBy(question_id, id_col)
+        .groupBy(question_id, "_d")
         .agg(F.sum(F.col("_idf") * F.col("_sat")).alias("score"))
+        .select(question_id, F.col(f"_d.{id_col}").alias(id_col), "score")
     )
     w = Window.partitionBy(question_id).orderBy(F.round("score", 9).desc(), id_col)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)

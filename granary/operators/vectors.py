@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators.text import top_terms
+from granary.session import durable
 
 
 def _dot(vector: str, weights: Sequence[float]) -> Column:
@@ -101,8 +102,10 @@ def text_clusters(df: DataFrame, id_col: str, words: Column, k: int, seed: int,
             Normalizer(inputCol="_idf", outputCol="_x"),
         ]
     ).fit(staged).transform(staged)
-    model = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="cluster", maxIter=10).fit(prepared)
-    return model.transform(prepared).select(id_col, "cluster")
+    # the passes of the clustering read the finished vectors, not the texts
+    table = durable(prepared.select(id_col, "_x"))
+    model = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="cluster", maxIter=10).fit(table)
+    return model.transform(table).select(id_col, "cluster")
 
 
 def cluster_terms(weights: DataFrame, clusters: DataFrame, id_col: str, k: int) -> DataFrame:
@@ -122,7 +125,7 @@ def lda(
     """
     staged = df.select(id_col, words.alias("_w"))
     vectoriser = CountVectorizer(inputCol="_w", outputCol="_x", vocabSize=vocabulary, minDF=2).fit(staged)
-    counted = vectoriser.transform(staged)
+    counted = durable(vectoriser.transform(staged).select(id_col, "_x"))
     model = LDA(k=k, seed=seed, optimizer="online", maxIter=10, featuresCol="_x").fit(counted)
     terms = F.array(*[F.lit(w) for w in vectoriser.vocabulary])
     described = model.describeTopics(top).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("p", "t"))

@@ -18,7 +18,7 @@ t AS (SELECT count(*) AS total FROM documents)"""
 
 
 def _counts(spark, sf):
-    return textops.term_counts(docs(spark, sf), ["doc_id"], tf.tokens(F.col("text")))
+    return textops.term_counts(docs(spark, sf), "doc_id", tf.tokens(F.col("text")))
 
 
 def _total(spark, sf):

@@ -9,6 +9,7 @@ from granary.operators import fuzzy, relational, rollup, windowing
 from granary.operators.text import vocabulary
 from granary.plans.aggregates import PREPARED_SQL, _spec_sql, rounded
 from granary.plans.registry import fx, query
+from granary.plans.texts import docs
 from granary.plans.tables import AS_OF, DAILY_SQL, ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, TXNS_SQL, daily, items, panel, sessions, table, txns
 
 
@@ -255,7 +256,7 @@ r AS (SELECT word, term AS suggestion, n AS frequency, CAST(dist AS INT) AS dist
 )
 def j13_fuzzy_pairs(spark, sf):
     """Words of the questions against the vocabulary of all documents, one edit apart at most."""
-    v = vocabulary(table(spark, sf, "documents"), "text", r"[a-zà-ÿ]+")
+    v = vocabulary(docs(spark, sf), "text", r"[a-zà-ÿ]+")
     q = vocabulary(table(spark, sf, "benchmark"), "text", r"[a-zà-ÿ]+").select(F.col("term").alias("word"))
     pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 1)
     return pairs.join(v, "term").select("word", F.col("term").alias("suggestion"), F.col("n").alias("frequency"), "distance")
@@ -272,7 +273,7 @@ QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, frequency DESC,
 )
 def j13b_best_suggestion(spark, sf):
     """Best correction of misspelt words: the last letter of each question word is replaced."""
-    v = vocabulary(table(spark, sf, "documents"), "text", r"[a-zà-ÿ]+")
+    v = vocabulary(docs(spark, sf), "text", r"[a-zà-ÿ]+")
     q = vocabulary(table(spark, sf, "benchmark"), "text", r"[a-zà-ÿ]+")
     q = q.select(F.concat(F.substring("term", F.lit(1), F.length("term") - 1), F.lit("x")).alias("word")).distinct()
     pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 1).join(v.withColumnRenamed("n", "frequency"), "term")

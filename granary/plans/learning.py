@@ -13,6 +13,8 @@ from granary.operators import linear, listing, metrics, models, splits, windowin
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import PANEL_SQL, items, panel, table
+from granary.plans.texts import docs
+from granary.session import durable
 
 
 @query(
@@ -242,7 +244,7 @@ def customer_features(spark, sf):
         F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("double").alias("nation"), F.col("c_acctbal").alias("target")
     )
     joined = c.join(sums, "id", "left").fillna(0.0, subset=["orders", "total", "mean_price", "largest", "urgent"])
-    return joined.withColumn("outlier", (F.col("target") < -500).cast("double"))
+    return durable(joined.withColumn("outlier", (F.col("target") < -500).cast("double")))
 
 
 DOCUMENT_FEATURES = ["chars", "words", "blank_tokens", "english", "digits"]
@@ -250,7 +252,7 @@ DOCUMENT_FEATURES = ["chars", "words", "blank_tokens", "english", "digits"]
 
 def document_features(spark, sf):
     """Labelled documents with simple text measures; the label itself is not among the features."""
-    d = table(spark, sf, "documents").select(
+    d = docs(spark, sf).select(
         "doc_id",
         F.col("n_chars").cast("double").alias("chars"),
         word_count(F.col("text")).cast("double").alias("words"),
@@ -258,7 +260,9 @@ def document_features(spark, sf):
         (F.col("lang") == "en").cast("double").alias("english"),
         F.regexp_count("text", F.lit(r"\d")).cast("double").alias("digits"),
     )
-    return d.join(table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality")), "doc_id")
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
+    # training passes over the few measures many times, so the texts are read only once
+    return durable(d.join(labels, "doc_id"))
 
 
 @query("l08_boosted_regression")

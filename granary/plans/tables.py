@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.session import spread
+
 AS_OF = "2001-08-02 00:00:00"  # reference instant of the card features, one day past the last order
 
 
@@ -19,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per visit; ``totals`` is parsed once for all of its fields."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     parsed = e.withColumn("j", F.from_json("props", "k INT"))
     return parsed.select(
         F.col("user_id").alias("visitor"),
@@ -51,7 +53,7 @@ sessions AS (
 
 def txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per purchase. No join hint: the sizes of the sides decide."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax", "l_shipdate"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -13,6 +13,7 @@ from granary.operators.skew import attach
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
+from granary.session import spread
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in tf.STOP_WORDS)
 _NOISE = tf.NOISE.replace("'", "''")
@@ -37,7 +38,8 @@ WORDS_SQL = "regexp_extract_all(lower(text), '[a-zà-ÿ]+')"
 
 
 def docs(spark, sf, *columns):
-    return table(spark, sf, "documents").select(*(columns or ("doc_id", "text", "lang", "source", "n_chars")))
+    d = spread(table(spark, sf, "documents"), "doc_id")
+    return d.select(*(columns or ("doc_id", "text", "lang", "source", "n_chars")))
 
 
 @query(
@@ -234,7 +236,7 @@ def t14c_longest_sequence(spark, sf):
 SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INT) AS rank FROM c QUALIFY rank <= 20""",
 )
 def t15_common_words(spark, sf):
-    counts = textops.term_counts(docs(spark, sf), ["lang"], tf.tokens(F.col("text"))).withColumnRenamed("tf", "n")
+    counts = textops.group_term_counts(docs(spark, sf), ["lang"], tf.tokens(F.col("text")))
     return textops.top_terms(counts, ["lang"], "n", 20)
 
 
@@ -308,7 +310,7 @@ def label_sets(df):
     + ", CASE WHEN length(text) > 2000 THEN 1 ELSE 0 END AS is_long FROM documents",
 )
 def v01_label_one_hot(spark, sf):
-    d = table(spark, sf, "documents")
+    d = docs(spark, sf)
     d = d.select("doc_id", label_sets(d).alias("labels"))
     return d.select(
         "doc_id",

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from granary.functions.text import tokens
 from granary.operators import text as textops
 from granary.operators import windowing
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
-from granary.plans.tables import DAILY_SQL, ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, TXNS_SQL, daily, items, panel, sessions, table, txns
+from granary.plans.tables import ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, TXNS_SQL, items, panel, sessions, table, txns
+from granary.plans.texts import docs, words
 
 
 @query(
@@ -164,8 +164,7 @@ SELECT doc_id, term, tf, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY tf
 QUALIFY rank <= 3""",
 )
 def w12_top_terms_per_document(spark, sf):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ÿ]+)"), 1)
-    return textops.top_terms(textops.term_counts(table(spark, sf, "documents"), ["doc_id"], words), ["doc_id"], "tf", 3)
+    return textops.top_terms(textops.term_counts(docs(spark, sf), "doc_id", words()), ["doc_id"], "tf", 3)
 
 
 @query(

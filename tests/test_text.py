@@ -161,7 +161,7 @@ def split_words():
 
 
 def test_tf_idf(docs):
-    counts = T.term_counts(docs, ["id"], split_words())
+    counts = T.term_counts(docs, "id", split_words())
     got = {(r["id"], r["term"]): r["weight"] for r in T.tf_idf(counts, "id", F.lit(4)).collect()}
     df = Counter(t for _, x in DOCS for t in set(x.split()))
     for i, x in DOCS:
@@ -173,7 +173,7 @@ def test_tf_idf(docs):
 
 
 def test_prune_and_vocabulary(docs):
-    counts = T.term_counts(docs, ["id"], split_words())
+    counts = T.term_counts(docs, "id", split_words())
     kept = T.prune_by_document_frequency(counts, F.lit(4), min_df=2, max_df=0.5)
     assert {r["term"] for r in kept.collect()} == {"b", "c", "d"}
     with pytest.raises(ValueError):
@@ -194,7 +194,7 @@ def test_keyword_in_context(docs):
 
 
 def test_shared_terms(docs):
-    counts = T.term_counts(docs, ["id"], split_words())
+    counts = T.term_counts(docs, "id", split_words())
     a, b = T.shared_terms(counts.filter("id = 1"), counts.filter("id > 1"))
     assert {r["term"] for r in a.collect()} == {"b", "c"} == {r["term"] for r in b.collect()}
 
@@ -206,6 +206,16 @@ def test_hashed_counts_have_unit_length(docs):
     assert {r["bucket"] >= 0 and r["bucket"] < 2**27 for r in h.collect()} == {True}
 
 
+@pytest.mark.parametrize("signed", [True, False])
+def test_hashed_counts_with_collisions(spark, docs, signed):
+    got = {(r["id"], r["bucket"]): r["n"] for r in T.hashed_counts(docs, "id", split_words(), (1, 2), 3, signed).collect()}
+    grams = docs.select("id", F.explode(F.concat(split_words(), text.ngrams(split_words(), 2))).alias("g"))
+    h = F.xxhash64("g")
+    sign = F.when(h >= 0, 1).otherwise(-1) if signed else F.lit(1)
+    want = grams.groupBy("id", F.pmod(h, F.lit(3)).alias("b")).agg(F.sum(sign).alias("n")).collect()
+    assert got == {(r["id"], r["b"]): r["n"] for r in want}
+
+
 def test_bm25_against_the_formula(spark, docs):
     q = spark.createDataFrame([("q1", "b d d"), ("q2", "zzz")], "qid STRING, text STRING")
     got = {(r["qid"], r["id"]): r["score"] for r in T.bm25(docs, "id", split_words(), q, "qid", split_words(), 10).collect()}
