@@ -30,10 +30,11 @@ def exact_quantiles(
     sizes = df.groupBy(*keys).count() if keys else df.groupBy().count()
     largest = sizes.agg(F.max("count")).first()[0] or 0
     if largest <= max_values:
-        exprs = [
-            F.percentile(F.col(c), F.lit(p)).alias(name) for c, named in wanted.items() for name, p in named.items()
-        ]
-        return df.groupBy(*keys).agg(*exprs) if keys else df.agg(*exprs)
+        # one state per column serves all its quantiles
+        exprs = [F.percentile(F.col(c), [float(p) for p in named.values()]).alias(f"_q_{c}") for c, named in wanted.items()]
+        out = df.groupBy(*keys).agg(*exprs)
+        names = [F.col(f"_q_{c}")[i].alias(name) for c, named in wanted.items() for i, name in enumerate(named)]
+        return out.select(*keys, *names)
     parts = [_refined(df, keys, c, named) for c, named in wanted.items()]
     if not keys:
         parts = [p.withColumn("_one", F.lit(1)) for p in parts]
