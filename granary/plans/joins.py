@@ -9,8 +9,8 @@ from granary.operators import fuzzy, relational, rollup, windowing
 from granary.operators.text import vocabulary
 from granary.plans.aggregates import PREPARED_SQL, _spec_sql, rounded
 from granary.plans.registry import fx, query
+from granary.plans.tables import AS_OF, DAILY_SQL, ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, daily, items, panel, table, txns
 from granary.plans.texts import docs
-from granary.plans.tables import AS_OF, DAILY_SQL, ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, TXNS_SQL, daily, items, panel, sessions, table, txns
 
 
 def _side_sql(name, flag):
@@ -39,12 +39,14 @@ def j01_card_features(spark, sf):
     entity = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("card"), F.col("c_mktsegment").alias("feature"), F.col("c_acctbal").alias("target")
     )
-    mean = facts.groupBy("card").agg(F.avg("authorized").alias("authorized_mean"))
     sides = rollup.aggregate_split(facts, F.col("authorized") == 1, ("auth", "denied"))
+    yes, no = (F.coalesce(f"{side}_transactions_count", F.lit(0)) for side in ("auth", "denied"))
+    # the share of approved purchases follows from the two counts, without another pass
+    sides = sides.withColumn("authorized_mean", yes / (yes + no))
     approved = facts.filter(F.col("authorized") == 1)
     monthly = rollup.aggregate_per_period(approved, "card", "month_lag", {"amount": ["sum"]})
     successive = rollup.successive_aggregates(facts, "card", "city", "amount")
-    out = relational.join_features(entity, [mean, sides, monthly, successive], "card")
+    out = relational.join_features(entity, [sides, monthly, successive], "card")
     return rounded(out.withColumn("target", fixed(F.col("target"), 2)))
 
 
