@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from granary.functions.numeric import correlation, fixed
 from granary.operators import encode, profile, rollup
-from granary.operators.quantiles import exact_quantiles
 from granary.plans.registry import fx, query
 from granary.plans.tables import (
     AS_OF,
-    DAILY_SQL,
     ITEMS_SQL,
     PANEL_SQL,
     SESSIONS_SQL,
     TXNS_SQL,
-    daily,
     items,
     panel,
     sessions,

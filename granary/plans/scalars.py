@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import dates
 from granary.functions.numeric import fixed
-from granary.operators import clean, relational
+from granary.operators import clean
 from granary.plans.aggregates import rounded
 from granary.plans.projections import LINE_KEY, LINE_KEY_SQL
 from granary.plans.registry import fx, query

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from granary.functions import text as tf
 from granary.functions.distance import edit_distance
 from granary.functions.numeric import correlation, fixed
-from granary.operators import profile
 from granary.operators import text as textops
 from granary.operators.skew import attach
 from granary.plans.aggregates import rounded
