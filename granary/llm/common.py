@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def as_bytes(texts: pa.Array) -> list[bytes]:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """Consecutive slices of ``texts`` of at most ``limit`` bytes, or of one text."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     start = 0
     while start < len(lengths):
         stop = start + max(1, int(np.searchsorted(np.cumsum(lengths[start:]), limit, side="right")))

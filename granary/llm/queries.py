@@ -29,7 +29,7 @@ def _spans_sql() -> str:
         least = f"length(regexp_extract(m, '{pattern}', {rule.part})) >= {rule.least}" if rule.part else "true"
         parts.append(f"""
         SELECT doc_id, {k} AS k, '{rule.kind}' AS kind, m, {least} AS kept,
-               list_sum(list_transform(gaps[1:i], x -> length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], x -> length(x))), 0) AS s
+               list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
         FROM (SELECT *, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i FROM (
             SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS gaps FROM d))""")
     return f"""
