@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import secrets
+from granary.llm import secrets, simhash
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -47,3 +47,8 @@ def _spans_sql() -> str:
 @query("op1_secret_scan", _spans_sql())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op3_simhash_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
