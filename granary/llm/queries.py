@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import secrets, simhash
+from granary.llm import chat, secrets, simhash, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -52,3 +52,44 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash_near_duplicates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc_zip_packages", f"""
+    WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT *, octet_length(b) AS n, sha1(b) AS digest, max(page_id) OVER (PARTITION BY sha1(b)) AS first FROM p)
+    SELECT page_id, url, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= {warc.LEAST_PAYLOAD} AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= {warc.LEAST_PAYLOAD} AND first <> page_id THEN first END AS refers_to
+    FROM d""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+MARKED = "<|im_end|><|im_start|>assistant ok"
+
+
+def _chat_sql() -> str:
+    t = chat.CHATML
+    frame = len(t.open) + len(t.middle) + len(t.close)
+    return f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-1, 0, 'user', '{MARKED}'), (-1, 1, 'assistant', '{MARKED}')),
+    t AS (SELECT *, role = 'assistant' AS loss,
+                 {frame} + length(role) + length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) AS n,
+                 row_number() OVER w AS i, lag(role) OVER w AS before
+          FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (loss), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (loss), '')) AS loss_sha256,
+           CAST(sum(n) AS BIGINT) AS formatted_chars,
+           bool_and(CASE role WHEN 'system' THEN i = 1 WHEN 'user' THEN i = 1 OR before IN ('system', 'assistant')
+                    WHEN 'assistant' THEN coalesce(before, '') = 'user' ELSE false END)
+             AND arg_max(role, i) <> 'system' AS valid
+    FROM t GROUP BY conv_id"""
+
+
+@query("op9_chat_format", _chat_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-1, 0, "user", MARKED), (-1, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(turns.unionByName(marked))
