@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat, secrets, simhash, warc
+from granary.llm import bpe, chat, secrets, simhash, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -93,3 +94,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.createDataFrame([(-1, 0, "user", MARKED), (-1, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
     return chat.round_trip(turns.unionByName(marked))
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
