@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, extract, secrets, simhash, vectors, warc
+from granary.llm import bpe, chat, extract, quality, secrets, simhash, vectors, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -117,3 +117,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op8_quality_votes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
