@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -126,6 +126,13 @@ class Encoder:
                     out[k] = ids
         return out
 
+    def stretches(self, fresh: list[str]) -> list[np.ndarray]:
+        """Ids of stretches of text, each of one or more pieces."""
+        found = [[p.encode() for p in self.pattern.findall(s)] for s in fresh]
+        distinct = {p: None for pieces in found for p in pieces}
+        ids = dict(zip(distinct, self.pieces(list(distinct))))
+        return [np.concatenate([ids[p] for p in pieces]) if len(pieces) > 1 else ids[pieces[0]] for pieces in found]
+
     def matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of similar length, all merged together."""
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -184,21 +191,21 @@ def stretches(text: str) -> list[str]:
 
 
 class Remembering:
-    """Texts to ids; distinct stretches are encoded once, a bounded number is kept."""
+    """Texts to ids; distinct stretches are encoded once, a bounded number is kept.
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+    ``learn`` gives the ids of each of a list of stretches.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], list[np.ndarray]]):
+        self.learn = learn
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.flat, self.start, self.length = np.empty(0, np.uint16), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.start, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _learn(self, fresh: list[str]) -> None:
-        found = [[p.encode() for p in self.encoder.pattern.findall(s)] for s in fresh]
-        distinct = {p: None for pieces in found for p in pieces}
-        ids = dict(zip(distinct, self.encoder.pieces(list(distinct))))
-        encoded = [np.concatenate([ids[p] for p in pieces]) if len(pieces) > 1 else ids[pieces[0]] for pieces in found]
+    def _add(self, fresh: list[str]) -> None:
+        encoded = self.learn(fresh)
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         base = len(self.flat)
         self.place.update(zip(fresh, range(len(self.length), len(self.length) + len(fresh))))
@@ -213,7 +220,7 @@ class Remembering:
         fresh = {s: None for parts in cut for s in parts if s not in self.place}
         fresh.pop("", None)
         if fresh:
-            self._learn(list(fresh))
+            self._add(list(fresh))
         out = []
         for parts in cut:
             if parts and not parts[0]:
@@ -226,15 +233,23 @@ class Remembering:
         return out
 
 
-_WORKER: dict[bytes, Remembering] = {}
+class Coder:
+    """An encoder of pieces and what it remembers of texts."""
+
+    def __init__(self, rank_file: bytes, pattern: str):
+        self.encoder = Encoder(rank_file, pattern)
+        self.encode = Remembering(self.encoder.stretches).encode
+
+
+_WORKER: dict[bytes, Coder] = {}
 
 
-def remembering(rank_file: bytes, pattern: str) -> Remembering:
+def remembering(rank_file: bytes, pattern: str) -> Coder:
     """The encoder of this worker process; tables and memory outlive a task."""
     key = hashlib.sha256(rank_file + pattern.encode()).digest()
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = Remembering(Encoder(rank_file, pattern))
+        _WORKER[key] = Coder(rank_file, pattern)
     return _WORKER[key]
 
 

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.session import shared_path
+
 #: Texts are worked on in slices of about so many bytes, whatever the size of an Arrow batch.
 SLICE_BYTES = 8 << 20
 
@@ -18,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder_uri(spark: SparkSession, label: str) -> str:
+    """A new folder of the shared storage, as a URI that tasks can open."""
+    path = shared_path(spark, label)
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path.removeprefix("file:")
+    return path if "://" in path else f"file://{path}"
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

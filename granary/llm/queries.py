@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, extract, quality, secrets, simhash, vectors, warc
+from granary.llm import bpe, chat, extract, quality, secrets, simhash, tokenfiles, vectors, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -122,3 +122,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_votes")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_simple8b_tokens")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -32,8 +32,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.common import folder_uri
 from granary.llm.zipfiles import Writer, data_offset, directory
-from granary.session import durable, shared_path
+from granary.session import durable
 
 LEAST_PAYLOAD = 1000
 PACKAGE_BYTES = 256 << 20
@@ -204,7 +205,5 @@ def read(packages: DataFrame, folder: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     """Write all pages as packages into the shared folder and read every record back."""
-    folder = shared_path(spark, "warc")
-    if "://" not in folder:
-        folder = folder if folder.startswith("file:") else f"file://{folder}"
+    folder = folder_uri(spark, "warc")
     return read(write(pages, folder, least), folder)
