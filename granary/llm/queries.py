@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, extract, quality, secrets, simhash, tokenfiles, vectors, warc
+from granary.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfiles, vectors, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -127,3 +127,48 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simple8b_tokens")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _decontamination_sql() -> str:
+    d = decontaminate
+    units, slots = ", ".join(f"'{u}'" for u in d.UNITS), ", ".join(f"'{s}'" for s in d.SLOTS)
+    number = f"^[0-9][0-9_]*({'|'.join(d.UNITS)})?$"
+
+    def words(table: str, keys: str) -> str:
+        twice = r"regexp_replace(regexp_replace(coalesce(text, ''), '(\d)[.,:/](\d)', '\1_\2', 'g'), '(\d)[.,:/](\d)', '\1_\2', 'g')"
+        return rf"""SELECT {keys}, list_filter(string_split(regexp_replace({twice}, '[^\p{{L}}\p{{N}}_]+', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM {table}"""
+
+    def typed(source: str, keys: str) -> str:
+        return rf"""SELECT {keys}, w, list_transform(w, lambda x, i: CASE
+            WHEN regexp_matches(x, '{number}') THEN '<num>'
+            WHEN i > 1 AND regexp_matches(w[i - 1], '{number}') AND x IN ({units}) THEN '<unit>'
+            WHEN regexp_matches(x, '^\p{{Lu}}\p{{Ll}}+$') THEN '<name>' ELSE lower(x) END) AS t FROM ({source})"""
+
+    def windows(source: str, keys: str) -> str:
+        return f"""SELECT {keys}, p, w[p + 1:p + {d.WINDOW}] AS w, t[p + 1:p + {d.WINDOW}] AS t
+            FROM (SELECT *, unnest(range(0, greatest(len(t) - {d.WINDOW} + 1, 1))) AS p FROM ({source}) WHERE len(t) > 0)"""
+
+    items = "(SELECT text, min(item_id) AS item_id FROM benchmark WHERE item_id IS NOT NULL GROUP BY text)"
+    copies = "(SELECT DISTINCT doc_id, text FROM documents)"
+    return f"""
+    WITH b AS (SELECT item_id, t, min(p) AS q, arg_min(w, p) AS w FROM ({windows(typed(words(items, 'item_id'), 'item_id'), 'item_id')})
+               WHERE len(list_filter(t, lambda x: x NOT IN ({slots}))) >= least({d.LEAST_PLAIN}, len(t)) GROUP BY item_id, t),
+    n AS (SELECT item_id, count(*) AS windows FROM b GROUP BY item_id),
+    c AS (SELECT *, row_number() OVER () AS copy FROM {copies}),
+    w AS ({windows(typed(words('c', 'doc_id, copy'), 'doc_id, copy'), 'doc_id, copy')}),
+    hits AS (SELECT w.doc_id, w.copy, b.item_id, b.q, w.p - b.q AS shift, b.t, b.w AS wa, w.w AS wb FROM w JOIN b ON w.t = b.t),
+    runs AS (SELECT doc_id, copy, item_id, shift, count(DISTINCT q) AS hits FROM hits GROUP BY ALL),
+    slots AS (SELECT DISTINCT doc_id, copy, item_id, shift, q + i AS pos, wa[i] AS a, wb[i] AS b
+              FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM hits) WHERE t[i] IN ({slots})),
+    values_ AS (SELECT doc_id, copy, item_id, shift, a, b, count(*) AS n FROM slots GROUP BY ALL),
+    most AS (SELECT doc_id, copy, item_id, shift, a, max(n) AS kept, sum(n) AS n FROM values_ GROUP BY ALL),
+    share AS (SELECT doc_id, copy, item_id, shift, CAST(sum(kept) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS agreeing FROM most GROUP BY ALL)
+    SELECT doc_id, item_id, windows, max(hits) AS hits, max(coalesce(agreeing, 1.0)) AS agreeing
+    FROM runs JOIN n USING (item_id) LEFT JOIN share USING (doc_id, copy, item_id, shift)
+    WHERE hits >= least({d.LEAST_WINDOWS}, windows) AND coalesce(agreeing, 1.0) >= {d.LEAST_AGREEING}
+    GROUP BY doc_id, item_id, windows"""
+
+
+@query("op2_template_decontamination", _decontamination_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
