@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import as_bytes, concat, slices, text_or_empty
@@ -194,3 +194,27 @@ def near_duplicates(df: DataFrame, text: str = "text", words: int = WORDS, radiu
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(documents: DataFrame, text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``documents`` with one row of each component: the smallest doc_id, then the smallest hash of the text.
+
+    Of rows that repeat a doc_id and text, one stays. Null doc_ids come last.
+    """
+    copy = F.xxhash64(text_or_empty(text))
+    prints = durable(documents.select("doc_id", copy.alias("copy"), fingerprint_column(text_or_empty(text), words).alias("fp")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
+    classes = durable(prints.groupBy("fp").agg(F.min(order).alias("first")))
+    roots = components(links(classes.select("fp"), radius))
+    kept = classes.join(roots, classes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
+    return _rows_of(documents, copy, kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.copy").alias("kept_copy")))
+
+
+def _rows_of(documents: DataFrame, copy: Column, kept: DataFrame) -> DataFrame:
+    """One row for each kept key; the rank's limit reaches below the shuffle, so repeats don't travel."""
+    names = documents.columns
+    keyed = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), copy.alias("kept_copy"), F.col("doc_id").alias("kept_id"))
+    rank = F.row_number().over(Window.partitionBy("kept_id", "kept_copy").orderBy(F.xxhash64("row")))
+    single = keyed.withColumn("rank", rank).where("rank = 1")
+    same = single["kept_id"].eqNullSafe(kept["kept_id"]) & (single["kept_copy"] == kept["kept_copy"])
+    return single.join(kept, same, "left_semi").select(*[F.col("row")[c].alias(c) for c in names])
