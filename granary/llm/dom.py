@@ -149,6 +149,8 @@ def blocks(html: str) -> list[Node]:
             if tag in HEADINGS:  # any heading's end ends the open one
                 tag = next((h for h in HEADINGS if opened.get(h)), tag)
             if not opened.get(tag):
+                if tag == "p":  # stands for an empty paragraph
+                    flush()
                 continue
             if tag in INLINE:
                 for k in range(len(stack) - 1, -1, -1):

@@ -46,25 +46,30 @@ _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
 
 
-def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
-    """A bit is set if it is set in over half the hashes of the word shingles."""
-    tokens = text.lower().split()  # of bytes: A-Z, and runs of space and \t to \r
+def _shingles(tokens: list[bytes], words: int, seed: int = SEED) -> np.ndarray:
     if not tokens:
-        return 0
-    if len(tokens) <= words:
-        shingles = [b" ".join(tokens)]
-    else:
-        joined = b" ".join(tokens)
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-        starts = np.concatenate([[0], ends[: len(tokens) - words]]).tolist()
-        shingles = [joined[s:e] for s, e in zip(starts, (ends[words - 1 :] - 1).tolist())]
+        return np.empty(0, np.uint64)
     one = xxhash.xxh64_intdigest
-    hashes = np.array([one(s, seed) for s in shingles], dtype="<u8")
+    if len(tokens) <= words:
+        return np.array([one(b" ".join(tokens), seed)], np.uint64)
+    joined = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+    starts = np.concatenate([[0], ends[: len(tokens) - words]]).tolist()
+    return np.array([one(joined[s:e], seed) for s, e in zip(starts, (ends[words - 1 :] - 1).tolist())], np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> int:
     counts = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _OFFSETS).reshape(-1), minlength=2048)
     set_bits = (counts.reshape(8, 256) @ _BYTE_BITS).reshape(-1)
     return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
+    """A bit is set if it is set in over half the hashes of the word shingles."""
+    tokens = text.lower().split()  # of bytes: A-Z, and runs of space and \t to \r
+    return _majority(_shingles(tokens, words, seed)) if tokens else 0
+
+
 def fingerprint_column(text: Column, words: int = WORDS, seed: int = SEED) -> Column:
     """Fingerprint of ``text`` as a signed long."""
 
@@ -98,38 +103,59 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def dealt(fingerprints: DataFrame, block: int, half: int) -> DataFrame:
+def dealt(fingerprints: DataFrame, block: int, half: int, width: int = BITS) -> DataFrame:
     """(block value, flips left, fingerprint) for every block value that variants fall into."""
-    top = list(range(BITS - block, BITS))
+    top = list(range(width - block, width))
     masks = F.array(*[F.struct(F.lit(_signed(m)).cast("long").alias("m"), F.lit(half - m.bit_count()).cast("byte").alias("left"))
                       for m in flips(top, half)])
-    value = F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("x.m")), BITS - block)
+    value = F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("x.m")), width - block)
     return fingerprints.select("fp", F.explode(masks).alias("x")).select(value.alias("block"), F.col("x.left").alias("left"), "fp")
 
 
-def forest(block: np.ndarray, left: np.ndarray, fps: np.ndarray, bits: int, masks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, smallest of its tree) between fingerprints that share a variant."""
-    low = np.uint64((1 << (BITS - bits)) - 1)
+def neighbours(block: np.ndarray, left: np.ndarray, fps: np.ndarray, bits: int, masks: list[np.ndarray], width: int) -> np.ndarray:
+    """Pairs (smaller, larger) of fingerprints that share a variant: next to each other, and each with the least."""
+    low = np.uint64((1 << (width - bits)) - 1)
     keys, owners = [], []
     for k, own in enumerate(masks):
         mine = np.flatnonzero(left == k)
         if len(mine):
-            base = (block[mine].astype(np.uint64) << np.uint64(BITS - bits)) | (fps[mine] & low)
+            base = (block[mine].astype(np.uint64) << np.uint64(width - bits)) | (fps[mine] & low)
             keys.append((base[:, None] ^ own[None, :]).reshape(-1))
             owners.append(np.repeat(fps[mine], len(own)))
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key)
     key, owner = key[order], owner[order]
-    same = key[1:] == key[:-1]
-    if not same.any():
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    a, b = owner[:-1][same], owner[1:][same]
-    apart = a != b
-    pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)])[apart], axis=0)
-    near = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= RADIUS  # neighbours in a variant always are
+    same = np.concatenate([[False], key[1:] == key[:-1]])
+    shared = same | np.append(same[1:], False)
+    key, owner = key[shared], owner[shared]
+    order = np.lexsort((owner, key))  # only what shares a variant is put in order
+    key, owner = key[order], owner[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.empty(0, bool)
+    later = np.flatnonzero(~first)
+    least = owner[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(key) else owner
+    pairs = np.concatenate([np.column_stack([owner[later - 1], owner[later]]), np.column_stack([least[later], owner[later]])])
+    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+
+
+def forest(pairs: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (fingerprint, smallest of its tree) that connect what the pairs connect."""
+    near = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= radius  # neighbours in a variant always are
     return _trees(pairs[near])
 
 
+def closest(pairs: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most two of the pairs for each fingerprint: with the closest one, and with the smallest."""
+    distance = np.bitwise_count(pairs[:, 0] ^ pairs[:, 1])
+    pairs, distance = pairs[distance <= radius], distance[distance <= radius]
+    a, b, d = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]]), np.concatenate([distance, distance])
+    chosen = []
+    for order in (np.lexsort((b, d, a)), np.lexsort((b, a))):
+        one = np.concatenate([[True], a[order][1:] != a[order][:-1]]) if len(a) else np.empty(0, bool)
+        chosen.append(np.column_stack([a[order][one], b[order][one]]))
+    kept = np.unique(np.sort(np.concatenate(chosen), axis=1), axis=0)
+    return kept[:, 0], kept[:, 1]
+
+
 def _trees(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     nodes, at = np.unique(pairs, return_inverse=True)
     at = at.reshape(pairs.shape)
@@ -146,11 +172,14 @@ def _trees(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[inner], nodes[root[inner]]
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links that connect all of the distinct ``fp`` that differ in at most ``radius`` bits."""
+def links(fingerprints: DataFrame, radius: int = RADIUS, width: int = BITS, choose=forest) -> DataFrame:
+    """(a, b): pairs of distinct ``fp`` that differ in at most ``radius`` of ``width`` bits.
+
+    ``forest`` gives links that connect all that are connected; ``closest`` some real pairs of each.
+    """
     half, n = radius // 2, fingerprints.count()
     bits = block_bits(n)
-    rest = list(range(BITS - bits))
+    rest = list(range(width - bits))
     masks = [np.array(flips(rest, k), dtype=np.uint64) for k in range(half + 1)]
     sizes = np.array([len(m) for m in masks])
 
@@ -174,10 +203,10 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in pieces(batches):
             fps = rows["fp"].to_numpy().view(np.uint64)
-            a, b = forest(rows["block"].to_numpy(), rows["left"].to_numpy(), fps, bits, masks)
+            a, b = choose(neighbours(rows["block"].to_numpy(), rows["left"].to_numpy(), fps, bits, masks, width), radius)
             yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    parts = dealt(fingerprints, bits, half).repartition("block").sortWithinPartitions("block")
+    parts = dealt(fingerprints, bits, half, width).repartition("block").sortWithinPartitions("block")
     return parts.mapInPandas(linked, "a long, b long")
 
 
@@ -196,17 +225,81 @@ def near_duplicates(df: DataFrame, text: str = "text", words: int = WORDS, radiu
     )
 
 
-def keep_one(documents: DataFrame, text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``documents`` with one row of each component: the smallest doc_id, then the smallest hash of the text.
+#: For similar texts: FAMILIES fingerprints of FAMILY_BITS bits over pairs of words propose, and the
+#: similarity of five-word shingles, from their SKETCH smallest hashes, decides. Texts of at
+#: most SKETCH different shingles have their exact similarity.
+FAMILIES, FAMILY_BITS, FAMILY_WORDS = 3, 48, 2
+SHINGLE_WORDS, SIMILAR, SKETCH = 5, 0.8, 256
+_SIGNATURE = pa.struct([*[(f"f{k}", pa.int64()) for k in range(FAMILIES)], ("sketch", pa.binary())])
+_SIGNATURE_SQL = "struct<" + ",".join([*[f"f{k}:long" for k in range(FAMILIES)], "sketch:binary"]) + ">"
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Another hash of the same shingles, by a multiply-and-shift finish."""
+    x = hashes ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def signature(text: bytes) -> dict:
+    tokens = text.lower().split()
+    pairs = _shingles(tokens, FAMILY_WORDS)
+    out = {f"f{k}": _majority(_mixed(pairs, k)) >> (BITS - FAMILY_BITS) for k in range(FAMILIES)}
+    out["sketch"] = np.unique(_shingles(tokens, SHINGLE_WORDS) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes()
+    return out
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Share of common shingles, over the smallest hashes of both texts together; 1 if both are blank."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    both = np.union1d(x, y)[: SKETCH if max(len(x), len(y)) == SKETCH else None]
+    return float(np.isin(both, x).astype(int) @ np.isin(both, y)) / len(both) if len(both) else 1.0
 
-    Of rows that repeat a doc_id and text, one stays. Null doc_ids come last.
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """(a, b): pairs of ``copy`` that some family proposes; few for each text."""
+    found = None
+    for k in range(FAMILIES):
+        prints = durable(classes.groupBy(F.col(f"f{k}").alias("fp")).agg(F.min("copy").alias("lead")))
+        near = links(prints.select("fp"), RADIUS, FAMILY_BITS, closest)
+        lead = near.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        same = classes.join(prints, F.col(f"f{k}") == F.col("fp")).select(F.col("lead").alias("a"), F.col("copy").alias("b"))
+        family = lead.unionByName(same.where("a <> b"))
+        found = family if found is None else found.unionByName(family)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` with one row of each group of similar texts: the smallest doc_id, then hash of the text.
+
+    Equal texts are one class from the start. Classes whose fingerprints of some family differ
+    in at most RADIUS bits are compared, and linked if their five-word shingles are SIMILAR. Of
+    rows that repeat a doc_id and text, one stays. Null doc_ids come last; blank texts are alike.
     """
-    copy = F.xxhash64(text_or_empty(text))
-    prints = durable(documents.select("doc_id", copy.alias("copy"), fingerprint_column(text_or_empty(text), words).alias("fp")))
+    spark_text = text_or_empty(text)
+
+    @F.arrow_udf(_SIGNATURE_SQL)
+    def signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield concat((pa.array([signature(t) for t in as_bytes(part)], _SIGNATURE) for part in slices(batch)), _SIGNATURE)
+
+    copy = F.xxhash64(spark_text)
+    signed = durable(documents.select("doc_id", copy.alias("copy"), signatures(spark_text).alias("s")).select("doc_id", "copy", "s.*"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
-    classes = durable(prints.groupBy("fp").agg(F.min(order).alias("first")))
-    roots = components(links(classes.select("fp"), radius))
-    kept = classes.join(roots, classes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
+    prints = [F.min(f"f{k}").alias(f"f{k}") for k in range(FAMILIES)]  # equal within a class
+    classes = durable(signed.groupBy("copy").agg(F.min(order).alias("first"), *prints))
+    pairs = durable(_candidates(classes))
+    wanted = pairs.select(F.col("a").alias("copy")).union(pairs.select("b")).distinct()
+    sketches = durable(signed.join(wanted, "copy", "left_semi").groupBy("copy").agg(F.min("sketch").alias("sketch")))
+
+    @F.arrow_udf("double")
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([similarity(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
+
+    both = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
+    roots = components(both.where(alike("sketch_a", "sketch_b") >= SIMILAR).select("a", "b"))
+    kept = classes.join(roots, classes["copy"] == roots["node"], "left").groupBy(F.coalesce("root", "copy")).agg(F.min("first").alias("first"))
     return _rows_of(documents, copy, kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.copy").alias("kept_copy")))
 
 
