@@ -66,19 +66,30 @@ def row_stats(columns: Sequence[Column]) -> dict[str, Column]:
     }
 
 
+_PRIME, _HALF = 2_147_483_647, 46_341
+
+
+def _factors(seed: int) -> tuple[int, int]:
+    return (seed * 48_271 + 69_621) % _PRIME or 1, (seed * 69_621 + 1_566_083_941) % _PRIME or 1
+
+
 def arithmetic_hash(key: Column, seed: int, buckets: int = 1_000_000) -> Column:
     """Engine-independent hash of an integer key in [0, buckets).
 
-    The operands stay far below 2^63 for keys up to 10^13, so no overflow under ANSI mode.
+    Two rounds whose factors depend on the seed; between them the halves of the number change
+    places, so that no seed's hash is another's at a moved key. Factors and operands are below
+    2^31, so nothing overflows under ANSI mode.
     """
-    mixed = F.pmod((F.pmod(key, F.lit(2147483647)) + F.lit(seed)) * F.lit(48271), F.lit(2147483647))
-    mixed = F.pmod(mixed * F.lit(69621), F.lit(2147483647))
+    first, second = _factors(seed)
+    mixed = F.pmod(F.pmod(key, F.lit(_PRIME)) * F.lit(first) + F.lit(second), F.lit(_PRIME)).cast("long")
+    mixed = F.pmod(mixed, F.lit(_HALF)) * F.lit(_HALF) + F.floor(mixed / F.lit(_HALF))
+    mixed = F.pmod(F.pmod(mixed, F.lit(_PRIME)) * F.lit(second) + F.lit(first), F.lit(_PRIME))
     return F.pmod(mixed, F.lit(buckets)).cast("long")
 
 
 def arithmetic_hash_sql(key: str, seed: int, buckets: int = 1_000_000) -> str:
     """The same hash as SQL text."""
-    return (
-        f"CAST((((({key} % 2147483647) + {seed}) * 48271) % 2147483647 * 69621 % 2147483647)"
-        f" % {buckets} AS BIGINT)"
-    )
+    first, second = _factors(seed)
+    mixed = f"((CAST(({key}) % {_PRIME} AS BIGINT) * {first} + {second}) % {_PRIME})"
+    mixed = f"({mixed} % {_HALF} * {_HALF} + {mixed} // {_HALF})"
+    return f"CAST(({mixed} % {_PRIME} * {second} + {first}) % {_PRIME} % {buckets} AS BIGINT)"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators.quantiles import exact_quantiles
-from granary.operators.skew import MAX_GROUP_ROWS, attach, number_rows
+from granary.operators.skew import attach, number_rows
 
 
 def lump_rare(
@@ -35,10 +35,10 @@ def lump_rare(
     return marked.withColumn(column, folded).drop("_kept")
 
 
-def factorize(df: DataFrame, column: str, order: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def factorize(df: DataFrame, column: str, order: str) -> DataFrame:
     """Levels with codes 0, 1, ... in order of first appearance along a unique ``order``."""
     first = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias("_first"))
-    numbered = number_rows(first, ["_first"], "code", max_rows=max_rows)
+    numbered = number_rows(first, ["_first"], "code")
     return numbered.select(column, (F.col("code") - 1).alias("code"))
 
 
@@ -48,13 +48,13 @@ def apply_codes(df: DataFrame, codes: DataFrame, column: str, name: str) -> Data
     return coded.withColumn(name, F.coalesce("_code", F.lit(-1).cast("long"))).drop("_code")
 
 
-def label_encode(tables: Sequence[DataFrame], column: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def label_encode(tables: Sequence[DataFrame], column: str) -> DataFrame:
     """Alphabetical codes over the levels of several tables together."""
     levels = None
     for t in tables:
         part = t.select(column).filter(F.col(column).isNotNull()).distinct()
         levels = part if levels is None else levels.union(part)
-    numbered = number_rows(levels.distinct(), [column], "code", max_rows=max_rows)
+    numbered = number_rows(levels.distinct(), [column], "code")
     return numbered.select(column, (F.col("code") - 1).alias("code"))
 
 
@@ -65,12 +65,9 @@ def one_hot(df: DataFrame, column: str, levels: Sequence, prefix: str, drop_firs
     return df.withColumns(flags)
 
 
-def level_list(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted distinct levels for a pivot or one-hot; refuses columns that are no category."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return sorted(r[0] for r in rows)
+def levels_of(df: DataFrame, column: str) -> list:
+    """Sorted distinct levels for a pivot or one-hot, one output column each; long tables need none."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
 def target_means(train: DataFrame, column: str, target: Column) -> DataFrame:
@@ -97,7 +94,7 @@ def quantile_bins(df: DataFrame, column: str, bins: int, name: str = "bin") -> D
 def model_matrix(df: DataFrame, categorical: str, numeric: Sequence[str], share: float, digits: int = 4) -> DataFrame:
     """Lumped one-hot columns and standardised numeric columns, ready for a linear model."""
     lumped = lump_rare(df, categorical, share=share, missing="(missing)")
-    levels = level_list(lumped, categorical)
+    levels = levels_of(lumped, categorical)
     coded = one_hot(lumped, categorical, levels, categorical, drop_first=True).drop(categorical)
     out = coded
     for c in numeric:

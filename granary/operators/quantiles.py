@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,87 +11,66 @@ from pyspark.sql.window import Window
 from granary.operators.skew import attach
 from granary.session import durable
 
-MAX_GROUP_VALUES = 1_000_000  # values of one group the built-in exact percentile may hold
+_EDGE = 0.0005  # a cut point this far to either side of every quantile
+_ACCURACY = 10_000
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    wanted: Mapping[str, Mapping[str, float]],
-    max_values: int = MAX_GROUP_VALUES,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """Linear-interpolation quantiles: ``wanted`` maps a column to ``{output name: probability}``.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task, so it is
-    used only when the largest group is measured to fit; otherwise each column is narrowed
-    by :func:`_refined` first.
+    One row for every group of ``df``, NULL where a column has no value in it; without keys
+    always one row. Cut points a little to each side of every quantile come from a mergeable
+    sketch. Exact counts per band tell which band holds which rank, so a poor sketch costs
+    time, never accuracy. Only the rows of those bands are grouped by value and ordered.
     """
-    sizes = df.groupBy(*keys).count() if keys else df.groupBy().count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= max_values:
-        # one state per column serves all its quantiles
-        exprs = [F.percentile(F.col(c), [float(p) for p in named.values()]).alias(f"_q_{c}") for c, named in wanted.items()]
-        out = df.groupBy(*keys).agg(*exprs)
-        names = [F.col(f"_q_{c}")[i].alias(name) for c, named in wanted.items() for i, name in enumerate(named)]
-        return out.select(*keys, *names)
-    parts = [_refined(df, keys, c, named) for c, named in wanted.items()]
-    if not keys:
-        parts = [p.withColumn("_one", F.lit(1)) for p in parts]
-        return reduce(lambda a, b: a.join(b, "_one", "full"), parts).drop("_one")
-    return reduce(lambda a, b: attach(a, b, keys), parts)
-
-
-def _refined(df: DataFrame, keys: Sequence[str], column: str, named: Mapping[str, float]) -> DataFrame:
-    """Quantiles by rank: sketch, count, and sort only the narrow bands that hold a wanted rank.
-
-    Cut points a little to each side of every quantile come from a mergeable sketch. Exact
-    counts per band tell which band holds which rank, so a poor sketch costs time, never
-    accuracy. Only rows of those bands, already collapsed to (value, count), are ordered.
-    """
-    keys = list(keys) or ["_all"]
-    base = df if "_all" not in keys else df.withColumn("_all", F.lit(1))
-    base = base.select(*keys, F.col(column).cast("double").alias("_x")).filter("_x IS NOT NULL")
-    edge = 0.0005
-    probs = sorted({max(0.0, min(1.0, p + d)) for p in named.values() for d in (-edge, edge)})
+    keys = list(keys)
+    entries = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in wanted]
+    values = df.select(*keys, F.explode(F.array(*entries)).alias("_s")).select(*keys, "_s.*").filter("_x IS NOT NULL")
+    by = [*keys, "_c"]
+    edges = {min(1.0, max(0.0, p + d)) for named in wanted.values() for p in named.values() for d in (-_EDGE, _EDGE)}
+    # written once: both uses below must see the same cut points
     cuts = durable(
-        base.groupBy(*keys).agg(
+        values.groupBy(*by).agg(
             F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_x", [float(p) for p in probs], 10_000).alias("_cuts"),
+            F.percentile_approx("_x", [float(p) for p in sorted(edges)], _ACCURACY).alias("_cuts"),
         )
     )
-    banded = attach(base, cuts, keys, "inner").withColumn(
-        "_band", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
+    banded = attach(values, cuts, by, "inner").withColumn("_band", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
+    found = attach(banded.drop("_n", "_cuts"), _wanted_bands(banded, by, wanted), [*by, "_band"], "inner")
+    counted = found.groupBy(*by, "_band", "_x").agg(
+        F.count(F.lit(1)).alias("_c_x"), F.first("_before").alias("_before"), F.first("_ranks").alias("_ranks")
     )
-    below = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = banded.groupBy(*keys, "_band", "_n").agg(F.count(F.lit(1)).alias("_in_band"))
-    bands = bands.withColumn("_before", F.coalesce(F.sum("_in_band").over(below), F.lit(0)))
-    ranks = F.array(
-        *[F.floor(F.lit(float(p)) * (F.col("_n") - 1)).cast("long") for p in named.values()],
-        *[F.ceil(F.lit(float(p)) * (F.col("_n") - 1)).cast("long") for p in named.values()],
-    )
-    bands = bands.withColumn(
-        "_ranks",
-        F.filter(
-            F.array_distinct(ranks),
-            lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_band")),
-        ),
-    ).filter(F.size("_ranks") > 0)
-    values = banded.groupBy(*keys, "_band", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    kept = attach(values, bands.select(*keys, "_band", "_before", "_ranks"), [*keys, "_band"], "inner")
-    upto = Window.partitionBy(*keys, "_band").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    kept = kept.withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
-    hits = kept.select(
-        *keys,
-        "_x",
-        F.explode(F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_c")))).alias("_rank"),
+    upto = Window.partitionBy(*by, "_band").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ended = counted.withColumn("_end", F.col("_before") + F.sum("_c_x").over(upto))
+    inside = F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_c_x")))
+    hits = ended.select(*by, "_x", F.explode(inside).alias("_rank"))
+    # a row per wanted rank, so the map has at most two entries for each quantile
+    at = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
+    at = attach(cuts.select(*by, "_n"), at, by)
+    out = at.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_c") == c, _at(p))).alias(name) for c, named in wanted.items() for name, p in named.items()]
     )
-    # one row per group and wanted rank, so the map below has at most two entries per quantile
-    at = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
-    at = attach(at, cuts.select(*keys, "_n"), keys, "inner")
-    out = []
-    for name, p in named.items():
-        target = F.lit(float(p)) * (F.col("_n") - 1)
-        low = F.element_at("_at", F.floor(target).cast("long"))
-        high = F.element_at("_at", F.ceil(target).cast("long"))
-        out.append((low + (high - low) * (target - F.floor(target))).alias(name))
-    return at.select(*[k for k in keys if k != "_all"], *out)
+    return attach(df.select(*keys).distinct(), out, keys) if keys else out
+
+
+def _target(p: float):
+    return F.lit(float(p)) * (F.col("_n") - 1)
+
+
+def _at(p: float):
+    target = _target(p)
+    low, high = F.element_at("_at", F.floor(target).cast("long")), F.element_at("_at", F.ceil(target).cast("long"))
+    return low + (high - low) * (target - F.floor(target))
+
+
+def _wanted_bands(banded: DataFrame, by: Sequence[str], wanted: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """Bands that hold a wanted rank, the rows before them, and those ranks."""
+    below = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = banded.groupBy(*by, "_band", "_n").agg(F.count(F.lit(1)).alias("_in_band"))
+    bands = bands.withColumn("_before", F.coalesce(F.sum("_in_band").over(below), F.lit(0)))
+    ranks = None
+    for c, named in wanted.items():
+        mine = F.array(*[f(_target(p)).cast("long") for p in named.values() for f in (F.floor, F.ceil)])
+        ranks = F.when(F.col("_c") == c, mine) if ranks is None else ranks.when(F.col("_c") == c, mine)
+    inside = F.filter(F.array_distinct(ranks), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_band")))
+    return bands.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(*by, "_band", "_before", "_ranks")

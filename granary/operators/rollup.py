@@ -36,8 +36,11 @@ def session_rollup(
     )
 
 
+# Feature specifications of the card roll-ups; fixed values, under the column names of the fixtures.
+LEVELS = {"category_2": (1, 2, 3, 4, 5), "category_3": ("A", "N", "R")}
 CARD_SPEC = {
     "category_1": ["sum", "mean"],
+    **{f"{c}_{level}": ["mean"] for c, levels in LEVELS.items() for level in levels},
     "merchant": ["nunique"],
     "merchant_category": ["nunique_bounded"],
     "state": ["nunique_bounded"],
@@ -54,8 +57,12 @@ CARD_SPEC = {
 
 def prepare_transactions(df: DataFrame, as_of: str) -> DataFrame:
     """Date features of each purchase; ``as_of`` replaces the reading of the clock."""
+    flags = {
+        f"{c}_{level}": F.coalesce((F.col(c) == F.lit(level)).cast("int"), F.lit(0)) for c, levels in LEVELS.items() for level in levels
+    }
     return df.withColumns(
         {
+            **flags,
             "purchase_month": F.month("purchase_ts"),
             "purchase_epoch": epoch_seconds(F.col("purchase_ts")),
             "month_diff": months_elapsed(as_of, F.col("purchase_ts"), F.col("month_lag")),
@@ -73,13 +80,13 @@ def aggregate_transactions(history: DataFrame, card: str = "card", prefix: str =
     )
 
 
-def aggregate_split(history: DataFrame, flag: Column, names: tuple[str, str], card: str = "card") -> DataFrame:
-    """The card roll-up of both sides of a flag in a single pass over the transactions.
+def aggregate_split(history: DataFrame, side: Column, names: Sequence[str], card: str = "card") -> DataFrame:
+    """The card roll-up of several populations in a single pass over the transactions.
 
-    Groups by (card, side) and turns the two sides into prefixed columns, so the facts are
-    shuffled once rather than once per side.
+    ``side`` names the population of a row. Groups by (card, side) and turns the sides into
+    prefixed columns, so the facts are shuffled once rather than once per side.
     """
-    sided = history.dropna(subset=[card]).withColumn("_side", F.when(flag, F.lit(names[0])).otherwise(F.lit(names[1])))
+    sided = history.dropna(subset=[card]).withColumn("_side", side)
     per_side = sided.groupBy(card, "_side").agg(
         F.count(F.lit(1)).alias("transactions_count"), *aggregate_columns(CARD_SPEC)
     )
@@ -108,15 +115,22 @@ PROFILE_SPEC = {
     "weekend": ["sum", "mean"],
     "category_1": ["sum", "mean"],
     "card": ["size"],
+    "category_2_mean": ["mean"],
     "category_3_mean": ["mean"],
 }
 
 
 def card_profile(df: DataFrame, as_of: str, prefix: str = "hist_") -> DataFrame:
-    """Card features with date parts, category means and recency against ``as_of``."""
+    """Card features with date parts, category means and recency against ``as_of``.
+
+    ``df`` is read three times, so it should be a written table.
+    """
     ts = F.col("purchase_ts")
-    means = df.groupBy("category_3").agg(F.avg("amount").alias("category_3_mean"))
-    facts = attach(df, means.dropna(subset=["category_3"]), ["category_3"]).withColumns(
+    facts = df
+    for c in ("category_2", "category_3"):  # a row without the category has no mean
+        means = df.dropna(subset=[c]).groupBy(c).agg(F.avg("amount").alias(f"{c}_mean"))
+        facts = attach(facts, means, [c])
+    facts = facts.withColumns(
         {
             "year": F.year(ts),
             "week": F.weekofyear(ts),

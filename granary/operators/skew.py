@@ -1,140 +1,52 @@
 """Ordered and grouped work that stays balanced when one key holds much of the table.
 
-A plain window sends a whole key to one task. The helpers here measure the keys first.
-While every key fits a task they are plain windows; a key above the limit is cut into
-consecutive pieces along the order column, each piece is scanned on its own, and the
-piece totals (a few rows per key) are added back.
+A plain window sends a whole key to one task. Here the rows are dealt out by ranges of (keys,
+order), so that a key of any size is cut into consecutive pieces of even size; each piece is
+scanned on its own, and the totals of the pieces (a row for each piece and key) are added back.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_GROUP_ROWS = 5_000_000  # rows of one key a single task may sort
-MAX_HOT_KEYS = 10_000  # the largest keys are split; any others keep the plain window
-MAX_PIECES = 2_048
-_CUT_SAMPLE = 50_000
+from granary.session import durable
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> list:
-    """Keys above ``max_rows``: at most ``MAX_HOT_KEYS`` rows of (keys..., count)."""
-    counts = df.groupBy(*keys).count() if keys else df.groupBy().count()
-    big = counts.filter(F.col("count") > max_rows)
-    return big.orderBy(F.col("count").desc()).limit(MAX_HOT_KEYS).collect()
+def with_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_piece") -> DataFrame:
+    """``df`` in range partitions along (keys, order), with the partition's number.
 
-
-def _position(cuts: Sequence[Column], value: Column) -> Column:
-    """Number of cut points not above ``value``: first the block of cut points, then inside it."""
-    step = max(1, math.isqrt(len(cuts)))
-    blocks = [F.array(*cuts[i : i + step]) for i in range(0, len(cuts), step)]
-    block = F.size(F.filter(F.array(*cuts[::step]), lambda c: c <= value)) - 1
-    inside = F.filter(F.get(F.array(*blocks), block), lambda c: c <= value)
-    return F.when(block < 0, F.lit(0)).otherwise(block * step + F.size(inside))
-
-
-def with_pieces(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    max_rows: int = MAX_GROUP_ROWS,
-    name: str = "_piece",
-) -> tuple[DataFrame, bool]:
-    """Add a piece number that grows along ``order`` inside hot keys and is 0 elsewhere.
-
-    The cut points come from a bounded sample and enter the plan as literals, so every
-    branch that uses the pieces agrees on them. They only balance the work: any cut
-    points give the same result.
+    Written to the shared folder, so that every use sees the same pieces.
     """
-    hot = hot_keys(df, keys, max_rows)
-    if not hot:
-        return df.withColumn(name, F.lit(0)), False
-    spark = df.sparkSession
-    rows = sum(r["count"] for r in hot)
-    if keys:
-        schema = df.select(*keys).schema
-        marked = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-        marked = marked.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"))
-        same = None
-        for k in keys:
-            term = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-            same = term if same is None else same & term
-        # at most MAX_HOT_KEYS rows, so the broadcast has a fixed bound
-        df = df.join(F.broadcast(marked), same, "left").drop(*[f"_h_{k}" for k in keys])
-        df = df.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-    else:
-        df = df.withColumn("_hot", F.lit(True))
-    share = min(1.0, _CUT_SAMPLE / rows)
-    sample = df.filter("_hot").select(*order).dropna()
-    if share < 1.0:
-        sample = sample.sample(share, seed=11)
-    values = sorted(tuple(r) for r in sample.collect())
-    pieces = min(MAX_PIECES, math.ceil(rows / max_rows) + 1)
-    cuts = sorted({values[len(values) * i // pieces] for i in range(1, pieces)}) if values else []
-    if not cuts:
-        return df.drop("_hot").withColumn(name, F.lit(0)), False
-    types = [df.schema[o].dataType for o in order]
-    at = [
-        F.struct(*[F.lit(v).cast(t).alias(f"o{i}") for i, (v, t) in enumerate(zip(cut, types))]) for cut in cuts
-    ]
-    here = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
-    piece = F.when(F.col("_hot"), _position(at, here)).otherwise(F.lit(0))
-    return df.withColumn(name, piece.cast("int")).drop("_hot"), True
+    return durable(df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id()))
 
 
-def running_sums(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    sums: Mapping[str, Column],
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
     """Running sums within ``keys`` along the ascending, unique ``order`` columns."""
-    staged = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()])
-    staged, split = with_pieces(staged, keys, order, max_rows)
-    values = {n: f"_v_{n}" for n in sums}
-    window = (
-        Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    if not split:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = staged.select("*", *[F.sum(v).over(window).alias(n) for n, v in values.items()])
-        return out.drop("_piece", *values.values())
-    local = staged.select("*", *[F.sum(v).over(window).alias(f"_l_{n}") for n, v in values.items()])
+    placed = with_pieces(df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()]), keys, order)
+    window = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.select("*", *[F.sum(f"_v_{n}").over(window).alias(f"_l_{n}") for n in sums])
+    # a row for each piece and key: what the pieces before it add
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    totals = staged.groupBy(*keys, "_piece").agg(*[F.sum(v).alias(f"_t_{n}") for n, v in values.items()])
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_piece").alias("_k_piece"),
-        *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in values],
-    )
-    condition = F.col("_piece") == F.col("_k_piece")
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = local.join(offsets, condition, "left")
+    totals = placed.groupBy(*keys, "_piece").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    offsets = totals.select(*keys, "_piece", *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums])
+    joined = attach(local, offsets, [*keys, "_piece"])
     result = [
         F.when(
             F.col(f"_l_{n}").isNotNull() | F.col(f"_o_{n}").isNotNull(),
             F.coalesce(F.col(f"_l_{n}"), F.lit(0)) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)),
         ).alias(n)
-        for n in values
+        for n in sums
     ]
     return joined.select(*df.columns, *result)
 
 
-def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str = "row_no",
-    keys: Sequence[str] = (),
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no", keys: Sequence[str] = ()) -> DataFrame:
     """1-based row number within ``keys`` (or over the whole table) along ``order``."""
-    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, max_rows)
+    return running_sums(df, keys, order, {name: F.lit(1).cast("long")})
 
 
 def attach(df: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

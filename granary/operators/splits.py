@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.numeric import arithmetic_hash
-from granary.operators.encode import level_list
-from granary.operators.skew import MAX_GROUP_ROWS, number_rows
+from granary.operators.encode import levels_of
+from granary.operators.skew import number_rows
 
 _SCALE = 1_000_000
 
@@ -51,13 +51,18 @@ def fold(key: Column, k: int, seed: int) -> Column:
     return F.pmod(arithmetic_hash(key, seed), F.lit(k)).cast("int")
 
 
-def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int) -> DataFrame:
     """Folds dealt round-robin within each stratum in hash order, so every fold has its share."""
     hashed = df.withColumn("_h", arithmetic_hash(F.col(key), seed))
-    numbered = number_rows(hashed, ["_h", key], "_r", [stratum], max_rows)
+    numbered = number_rows(hashed, ["_h", key], "_r", [stratum])
     return numbered.withColumn("fold", F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_h", "_r")
 
 
+def split_seed(seed: int, r: int) -> int:
+    """Seed of the r-th split; it changes the factors of the hash, so the splits are unrelated."""
+    return (seed + 1) * 7919 + r * 104_729
+
+
 def repeated_splits(df: DataFrame, key: str, repeats: int, test_fraction: float, seed: int) -> DataFrame:
     """Membership rows (split, key, role) of independent random splits."""
     splits = F.explode(
@@ -65,7 +70,7 @@ def repeated_splits(df: DataFrame, key: str, repeats: int, test_fraction: float,
             *[
                 F.struct(
                     F.lit(r).alias("split"),
-                    F.when(in_fraction(F.col(key), test_fraction, seed + r), "test").otherwise("train").alias("role"),
+                    F.when(in_fraction(F.col(key), test_fraction, split_seed(seed, r)), "test").otherwise("train").alias("role"),
                 )
                 for r in range(repeats)
             ]
@@ -79,9 +84,9 @@ def leave_one_out(df: DataFrame, key: str) -> DataFrame:
     return number_rows(df.select(key), [key], "split").select((F.col("split") - 1).alias("split"), F.col(key).alias("test_key"))
 
 
-def leave_p_out(df: DataFrame, key: str, p: int, limit: int = 24) -> DataFrame:
-    """Every choice of ``p`` left-out keys; an enumeration, so only for a handful of keys."""
-    keys = level_list(df, key, limit)
+def leave_p_out(df: DataFrame, key: str, p: int) -> DataFrame:
+    """Every choice of ``p`` left-out keys; the output is an enumeration of choices by definition."""
+    keys = levels_of(df, key)
     rows = [(i, k) for i, chosen in enumerate(combinations(keys, p)) for k in chosen]
     field = df.schema[key]
     return df.sparkSession.createDataFrame(rows, f"split INT, test_key {field.dataType.simpleString()}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions.text import exploded, ngrams
-from granary.operators.skew import MAX_GROUP_ROWS, number_rows
+from granary.operators.skew import number_rows
 
 
 def vocabulary(df: DataFrame, text: str, pattern: str = r"[\p{L}]+") -> DataFrame:
@@ -86,10 +86,10 @@ def keyword_in_context(df: DataFrame, id_col: str, words: Column, phrase: Sequen
     )
 
 
-def vocabulary_ids(df: DataFrame, words: Column, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def vocabulary_ids(df: DataFrame, words: Column) -> DataFrame:
     """Word ids 1, 2, ... by falling frequency, ties by the alphabet."""
     counts = exploded(df, [], words, "term").groupBy("term").agg((-F.count(F.lit(1))).alias("_neg"))
-    numbered = number_rows(counts, ["_neg", "term"], "word_id", max_rows=max_rows)
+    numbered = number_rows(counts, ["_neg", "term"], "word_id")
     return numbered.select("term", "word_id", (-F.col("_neg")).alias("n"))
 
 

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from granary.operators.skew import MAX_GROUP_ROWS, attach, number_rows, running_sums
+from granary.operators.skew import attach, number_rows, running_sums
 
 
-def running_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def running_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1-based position of a row within its group along a unique order."""
-    return number_rows(df, order, name, keys, max_rows)
+    return number_rows(df, order, name, keys)
 
 
 def attach_aggregates(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
@@ -30,7 +30,7 @@ def attach_aggregates(df: DataFrame, keys: Sequence[str], aggregates: Mapping[st
     return attach(df, summary, keys)
 
 
-def running_product(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def running_product(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
     """Product of all values so far.
 
     Kept as a sum of logarithms beside counts of zeros and of negative factors, so pieces
@@ -42,7 +42,7 @@ def running_product(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
         "_zeros": (value == 0).cast("long"),
         "_minus": (value < 0).cast("long"),
     }
-    out = running_sums(df, keys, order, sums, max_rows)
+    out = running_sums(df, keys, order, sums)
     sign = F.when(F.col("_minus") % 2 == 1, -1.0).otherwise(1.0)
     product = F.when(F.col("_zeros") > 0, 0.0).otherwise(sign * F.exp("_log"))
     return out.withColumn(name, F.when(F.col("_log").isNotNull(), product)).drop(*sums)
@@ -104,7 +104,7 @@ def partial_autocorrelations(acf: DataFrame, keys: Sequence[str], n: int) -> Dat
     return staged.select(*keys, *[F.col("_p")[k - 1].alias(f"pacf_{k}") for k in range(1, n + 1)])
 
 
-def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], bit: Column, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], bit: Column) -> DataFrame:
     """Runs of ones of an ordered 0/1 column: start position and length per run.
 
     Position minus the ones so far is constant inside a run, also across the pieces of a
@@ -112,7 +112,7 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], bit: C
     """
     one = F.coalesce(bit.cast("long"), F.lit(0).cast("long"))
     staged = df.select(*keys, *[c for c in order if c not in keys], one.alias("_bit"))
-    placed = running_sums(staged, keys, order, {"_pos": F.lit(1).cast("long"), "_ones": F.col("_bit")}, max_rows)
+    placed = running_sums(staged, keys, order, {"_pos": F.lit(1).cast("long"), "_ones": F.col("_bit")})
     ones = placed.filter("_bit = 1").withColumn("_run", F.col("_pos") - F.col("_ones"))
     return ones.groupBy(*keys, "_run").agg(F.min("_pos").alias("start"), F.count(F.lit(1)).alias("length")).drop("_run")
 

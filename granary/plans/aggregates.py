@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.functions.numeric import correlation, fixed
-from granary.operators import encode, profile, rollup
+from granary.operators import encode, profile, relational, rollup
 from granary.plans.registry import fx, query
 from granary.plans.tables import (
     AS_OF,
@@ -19,6 +19,7 @@ from granary.plans.tables import (
     table,
     txns,
 )
+from granary.session import durable
 
 SESSION_SPEC = {
     "hits": ["sum", "min", "max", "mean", "median"],
@@ -93,7 +94,8 @@ def a01b_session_rollup_sum_of_logs(spark, sf):
 
 PREPARED_SQL = f"""{TXNS_SQL}, prepared AS (
   SELECT *, CAST(month(purchase_ts) AS INT) AS purchase_month, CAST(epoch(purchase_ts) AS BIGINT) AS purchase_epoch,
-    CAST(floor(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(purchase_ts)) / 86400) / 30) AS BIGINT) + month_lag AS month_diff
+    CAST(floor(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(purchase_ts)) / 86400) / 30) AS BIGINT) + month_lag AS month_diff,
+    {", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}" for c, vs in rollup.LEVELS.items() for v in vs)}
   FROM txns)"""
 
 
@@ -106,41 +108,64 @@ def a02_card_rollup(spark, sf):
     return rounded(rollup.aggregate_transactions(rollup.prepare_transactions(txns(spark, sf), AS_OF)))
 
 
-@query(
-    "a03_card_profile",
-    f"""WITH {TXNS_SQL}, means AS (SELECT category_3 AS c3, avg(amount) AS category_3_mean FROM txns GROUP BY 1),
-facts AS (SELECT txns.*, category_3_mean, year(purchase_ts) AS year, week(purchase_ts) AS week,
+RECENT = -48  # purchases from this month lag on are the second population
+
+
+def _profile_sql(name, where, p):
+    """The profile of one population as SQL text."""
+    plain = {k: v for k, v in rollup.PROFILE_SPEC.items() if k not in ("amount", "category_2_mean", "category_3_mean")}
+    return f"""{name}_rows AS (SELECT * FROM txns WHERE {where}),
+{name}_facts AS (SELECT t.*, c2.m AS category_2_mean, c3.m AS category_3_mean, year(purchase_ts) AS year, week(purchase_ts) AS week,
     month(purchase_ts) AS month, isodow(purchase_ts) - 1 AS dow,
     CASE WHEN isodow(purchase_ts) >= 6 THEN 1 ELSE 0 END AS weekend, hour(purchase_ts) AS hour,
     CAST(floor(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(purchase_ts)) / 86400) / 30) AS BIGINT) + month_lag AS month_diff
-  FROM txns JOIN means ON category_3 = c3),
-agg AS (SELECT card, {_spec_sql({k: v for k, v in rollup.PROFILE_SPEC.items() if k not in ("amount", "category_3_mean")}, "hist_")},
-    {fx("sum(amount)")} AS hist_amount_sum, {fx("max(amount)")} AS hist_amount_max, {fx("min(amount)")} AS hist_amount_min,
-    {fx("avg(amount)")} AS hist_amount_mean, {fx("var_samp(amount / 1000)")} AS hist_amount_var,
-    {fx("avg(category_3_mean)")} AS hist_category_3_mean_mean
-  FROM facts GROUP BY card)
-SELECT *, CAST(floor((epoch(hist_purchase_ts_max) - epoch(hist_purchase_ts_min)) / 86400) AS BIGINT) AS hist_purchase_date_diff,
-  {fx("floor((epoch(hist_purchase_ts_max) - epoch(hist_purchase_ts_min)) / 86400) / hist_card_size")} AS hist_purchase_date_average,
-  CAST(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(hist_purchase_ts_max)) / 86400) AS BIGINT) AS hist_purchase_date_uptonow
-FROM agg""",
+  FROM {name}_rows t LEFT JOIN (SELECT category_2 AS k, avg(amount) AS m FROM {name}_rows GROUP BY 1) c2 ON category_2 = c2.k
+  LEFT JOIN (SELECT category_3 AS k, avg(amount) AS m FROM {name}_rows GROUP BY 1) c3 ON category_3 = c3.k),
+{name}_agg AS (SELECT card, {_spec_sql(plain, p)},
+    {fx("sum(amount)")} AS {p}amount_sum, {fx("max(amount)")} AS {p}amount_max, {fx("min(amount)")} AS {p}amount_min,
+    {fx("avg(amount)")} AS {p}amount_mean, {fx("var_samp(amount / 1000)")} AS {p}amount_var,
+    {fx("avg(category_2_mean)")} AS {p}category_2_mean_mean, {fx("avg(category_3_mean)")} AS {p}category_3_mean_mean
+  FROM {name}_facts GROUP BY card),
+{name} AS (SELECT *, CAST(floor((epoch({p}purchase_ts_max) - epoch({p}purchase_ts_min)) / 86400) AS BIGINT) AS {p}purchase_date_diff,
+  {fx(f"floor((epoch({p}purchase_ts_max) - epoch({p}purchase_ts_min)) / 86400) / {p}card_size")} AS {p}purchase_date_average,
+  CAST(floor((epoch(TIMESTAMP '{AS_OF}') - epoch({p}purchase_ts_max)) / 86400) AS BIGINT) AS {p}purchase_date_uptonow FROM {name}_agg)"""
+
+
+@query(
+    "a03_card_profile",
+    f"""WITH {TXNS_SQL}, {_profile_sql("old", f"month_lag < {RECENT}", "hist_")}, {_profile_sql("new", f"month_lag >= {RECENT}", "new_hist_")}
+SELECT c_custkey AS card, old.* EXCLUDE (card), new.* EXCLUDE (card) FROM customer LEFT JOIN old ON c_custkey = old.card
+LEFT JOIN new ON c_custkey = new.card""",
 )
 def a03_card_profile(spark, sf):
-    out = rollup.card_profile(txns(spark, sf), AS_OF)
+    """Profiles of both populations on every card; the joined facts are written once and read from there."""
+    facts, cards = durable(txns(spark, sf)), table(spark, sf, "customer").select(F.col("c_custkey").alias("card"))
+    parts = [
+        rollup.card_profile(facts.filter(where), AS_OF, prefix)
+        for where, prefix in ((F.col("month_lag") < RECENT, "hist_"), (F.col("month_lag") >= RECENT, "new_hist_"))
+    ]
+    out = relational.join_features(cards, parts, "card")
     # the variance of amounts is shown in thousands squared
-    return rounded(out.withColumn("hist_amount_var", F.col("hist_amount_var") / 1e6))
+    return rounded(out.withColumns({f"{p}amount_var": F.col(f"{p}amount_var") / 1e6 for p in ("hist_", "new_hist_")}))
 
 
-MONTH_SPEC = {"amount": ["count", "sum", "mean", "min", "max", "std"], "installments": ["sum", "mean"]}
+# feature specification, fixed values
+MONTH_SPEC = {c: ["count", "sum", "mean", "min", "max", "std"] for c in ("amount", "installments")}
 _month_measures = ["month_lag"] + [f"{c}_{n}" for c, ns in MONTH_SPEC.items() for n in ns]
 
 
+def months_sql(source):
+    """Per (card, month), then mean and deviation over the months, as SQL text."""
+    names = {"mean": "avg", "std": "stddev_samp"}
+    first = ", ".join(f"{names.get(n, n)}({c}) AS {c}_{n}" for c, ns in MONTH_SPEC.items() for n in ns)
+    second = ", ".join(f"{fx(f'avg({m})')} AS {m}_mean, {fx(f'stddev_samp({m})')} AS {m}_std" for m in _month_measures)
+    return f"""first AS (SELECT card, month_lag, {first} FROM {source} GROUP BY 1, 2),
+months AS (SELECT card, {second} FROM first GROUP BY card)"""
+
+
 @query(
     "a04_aggregate_per_month",
-    f"""WITH {TXNS_SQL}, first AS (SELECT card, month_lag, count(amount) AS amount_count, sum(amount) AS amount_sum,
-    avg(amount) AS amount_mean, min(amount) AS amount_min, max(amount) AS amount_max, stddev_samp(amount) AS amount_std,
-    sum(installments) AS installments_sum, avg(installments) AS installments_mean FROM txns GROUP BY 1, 2)
-SELECT card, {", ".join(f"{fx(f'avg({m})')} AS {m}_mean, {fx(f'stddev_samp({m})')} AS {m}_std" for m in _month_measures)}
-FROM first GROUP BY card""",
+    f"""WITH {TXNS_SQL}, {months_sql("txns")} SELECT * FROM months""",
 )
 def a04_aggregate_per_month(spark, sf):
     return rounded(rollup.aggregate_per_period(txns(spark, sf), "card", "month_lag", MONTH_SPEC))

@@ -54,7 +54,7 @@ def e03_one_hot(spark, sf):
     o = table(spark, sf, "orders").select(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("p")
     )
-    return encode.one_hot(o, "p", encode.level_list(o, "p"), "priority", drop_first=True).drop("p")
+    return encode.one_hot(o, "p", encode.levels_of(o, "p"), "priority", drop_first=True).drop("p")
 
 
 @query(

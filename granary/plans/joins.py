@@ -7,46 +7,58 @@ from pyspark.sql import functions as F
 from granary.functions.numeric import fixed
 from granary.operators import fuzzy, relational, rollup, windowing
 from granary.operators.text import vocabulary
-from granary.plans.aggregates import PREPARED_SQL, _spec_sql, rounded
+from granary.plans.aggregates import MONTH_SPEC, PREPARED_SQL, RECENT, _spec_sql, months_sql, rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import AS_OF, DAILY_SQL, ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, daily, items, panel, table, txns
 from granary.plans.texts import docs
+from granary.session import durable
 
 
-def _side_sql(name, flag):
+def _side_sql(name, where):
     spec = _spec_sql(rollup.CARD_SPEC, f"{name}_")
-    return f"{name} AS (SELECT card, count(*) AS {name}_transactions_count, {spec} FROM prepared WHERE authorized = {flag} GROUP BY card)"
+    return f"{name} AS (SELECT card, count(*) AS {name}_transactions_count, {spec} FROM prepared WHERE {where} GROUP BY card)"
+
+
+# pairs of the successive aggregates, fixed values
+SUCCESSIVE = (("category_1", "amount"), ("installments", "amount"), ("city", "amount"), ("category_1", "installments"))
+
+
+def _successive_sql(i, first, second):
+    m = f"{first}_{second}"
+    return f"""s{i} AS (SELECT card, {fx("avg(m)")} AS {m}_mean, {fx("min(m)")} AS {m}_min, {fx("max(m)")} AS {m}_max,
+  {fx("stddev_samp(m)")} AS {m}_std FROM (SELECT card, {first}, avg({second}) AS m FROM recent GROUP BY 1, 2) GROUP BY card)"""
 
 
 @query(
     "j01_card_features",
-    f"""WITH {PREPARED_SQL}, {_side_sql("denied", 0)}, {_side_sql("auth", 1)},
-am AS (SELECT card, {fx("avg(authorized)")} AS authorized_mean FROM txns GROUP BY card),
-m1 AS (SELECT card, month_lag, sum(amount) AS s FROM txns WHERE authorized = 1 GROUP BY 1, 2),
-monthly AS (SELECT card, {fx("avg(month_lag)")} AS month_lag_mean, {fx("stddev_samp(month_lag)")} AS month_lag_std,
-  {fx("avg(s)")} AS amount_sum_mean, {fx("stddev_samp(s)")} AS amount_sum_std FROM m1 GROUP BY card),
-s1 AS (SELECT card, city, avg(amount) AS m FROM txns GROUP BY 1, 2),
-succ AS (SELECT card, {fx("avg(m)")} AS city_amount_mean, {fx("min(m)")} AS city_amount_min, {fx("max(m)")} AS city_amount_max,
-  {fx("stddev_samp(m)")} AS city_amount_std FROM s1 GROUP BY card)
+    f"""WITH {PREPARED_SQL}, recent AS (SELECT * FROM prepared WHERE month_lag >= {RECENT}),
+approved AS (SELECT * FROM prepared WHERE month_lag < {RECENT} AND authorized = 1),
+{_side_sql("denied", f"month_lag < {RECENT} AND authorized = 0")}, {_side_sql("auth", f"month_lag < {RECENT} AND authorized = 1")},
+{_side_sql("new", f"month_lag >= {RECENT}")},
+am AS (SELECT card, {fx("avg(authorized)")} AS authorized_mean FROM txns WHERE month_lag < {RECENT} GROUP BY card),
+{months_sql("approved")}, {", ".join(_successive_sql(i, *pair) for i, pair in enumerate(SUCCESSIVE))}
 SELECT c_custkey AS card, c_mktsegment AS feature, {fx("c_acctbal", 2)} AS target, am.* EXCLUDE (card), denied.* EXCLUDE (card),
-  auth.* EXCLUDE (card), monthly.* EXCLUDE (card), succ.* EXCLUDE (card)
-FROM customer LEFT JOIN am ON c_custkey = am.card LEFT JOIN denied ON c_custkey = denied.card LEFT JOIN auth ON c_custkey = auth.card
-LEFT JOIN monthly ON c_custkey = monthly.card LEFT JOIN succ ON c_custkey = succ.card""",
+  auth.* EXCLUDE (card), new.* EXCLUDE (card), months.* EXCLUDE (card), {", ".join(f"s{i}.* EXCLUDE (card)" for i in range(len(SUCCESSIVE)))}
+FROM customer {" ".join(f"LEFT JOIN {t} ON c_custkey = {t}.card" for t in ("am", "denied", "auth", "new", "months", *(f"s{i}" for i in range(len(SUCCESSIVE)))))}""",
 )
 def j01_card_features(spark, sf):
-    """The whole card feature table: roll-ups of both flag sides, monthly and successive aggregates."""
-    facts = rollup.prepare_transactions(txns(spark, sf), AS_OF)
+    """The whole card feature table: roll-ups of three populations, monthly and successive aggregates.
+
+    The joined facts are written once; every part reads the written table.
+    """
+    facts = durable(rollup.prepare_transactions(txns(spark, sf), AS_OF))
     entity = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("card"), F.col("c_mktsegment").alias("feature"), F.col("c_acctbal").alias("target")
     )
-    sides = rollup.aggregate_split(facts, F.col("authorized") == 1, ("auth", "denied"))
+    old, approved = F.col("month_lag") < RECENT, F.col("authorized") == 1
+    side = F.when(~old, "new").when(approved, "auth").otherwise("denied")
+    sides = rollup.aggregate_split(facts, side, ("auth", "denied", "new"))
     yes, no = (F.coalesce(f"{side}_transactions_count", F.lit(0)) for side in ("auth", "denied"))
     # the share of approved purchases follows from the two counts, without another pass
-    sides = sides.withColumn("authorized_mean", yes / (yes + no))
-    approved = facts.filter(F.col("authorized") == 1)
-    monthly = rollup.aggregate_per_period(approved, "card", "month_lag", {"amount": ["sum"]})
-    successive = rollup.successive_aggregates(facts, "card", "city", "amount")
-    out = relational.join_features(entity, [sides, monthly, successive], "card")
+    sides = sides.withColumn("authorized_mean", F.try_divide(yes, yes + no))
+    monthly = rollup.aggregate_per_period(facts.filter(old & approved), "card", "month_lag", MONTH_SPEC)
+    successive = [rollup.successive_aggregates(facts.filter(~old), "card", *pair) for pair in SUCCESSIVE]
+    out = relational.join_features(entity, [sides, monthly, *successive], "card")
     return rounded(out.withColumn("target", fixed(F.col("target"), 2)))
 
 
@@ -85,19 +97,25 @@ def j02b_star_join_fan_out(spark, sf):
     return relational.star_join(e, [(cal, {"day": "d"}, "cal_")]).drop("day")
 
 
+YEARS = range(1995, 2002)
+
+
+def _year_sql(y):
+    return f"(SELECT CAST(month(o_orderdate) AS INT) AS m, avg(o_totalprice) AS v FROM orders WHERE year(o_orderdate) = {y} GROUP BY 1) t{y}"
+
+
 @query(
     "j03_year_chain",
-    f"""SELECT a.m AS month, {fx("a.v", 3)} AS y1996, {fx("b.v", 3)} AS y1997, {fx("c.v", 3)} AS y1998 FROM
- (SELECT CAST(month(o_orderdate) AS INT) AS m, avg(o_totalprice) AS v FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1) a
- JOIN (SELECT month(o_orderdate) AS m, avg(o_totalprice) AS v FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1) b ON a.m = b.m
- JOIN (SELECT month(o_orderdate) AS m, avg(o_totalprice) AS v FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1) c ON a.m = c.m""",
+    f"""SELECT t{YEARS[0]}.m AS month, {", ".join(f"{fx(f't{y}.v', 3)} AS y{y}" for y in YEARS)} FROM {_year_sql(YEARS[0])}
+ {" ".join(f"JOIN {_year_sql(y)} ON t{YEARS[0]}.m = t{y}.m" for y in YEARS[1:])}""",
 )
 def j03_year_chain(spark, sf):
     # a pivot reads the facts once where a chain of joins would read them once per year;
     # months missing in any year drop out, as with inner joins
-    o = table(spark, sf, "orders").filter(F.year("o_orderdate").isin(1996, 1997, 1998))
-    o = o.select(F.month("o_orderdate").alias("month"), F.concat(F.lit("y"), F.year("o_orderdate")).alias("y"), "o_totalprice")
-    wide = o.groupBy("month").pivot("y", ["y1996", "y1997", "y1998"]).agg(F.avg("o_totalprice"))
+    o = table(spark, sf, "orders").select(
+        F.month("o_orderdate").alias("month"), F.concat(F.lit("y"), F.year("o_orderdate")).alias("y"), "o_totalprice"
+    )
+    wide = o.groupBy("month").pivot("y", [f"y{y}" for y in YEARS]).agg(F.avg("o_totalprice"))
     return rounded(wide.dropna(), 3)
 
 
@@ -234,7 +252,7 @@ def j12_country_lookup(spark, sf):
 
 
 _VOCAB_SQL = """v AS (SELECT w AS term, count(*) AS n FROM
- (SELECT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS w FROM documents) GROUP BY 1)"""
+ (SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM documents) GROUP BY 1)"""
 
 
 def _one_edit_sql(words):
@@ -253,13 +271,13 @@ r AS (SELECT word, term AS suggestion, n AS frequency, CAST(dist AS INT) AS dist
 
 @query(
     "j13_fuzzy_pairs",
-    _one_edit_sql("SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS word FROM benchmark")
+    _one_edit_sql("SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM benchmark")
     + " SELECT * FROM r",
 )
 def j13_fuzzy_pairs(spark, sf):
     """Words of the questions against the vocabulary of all documents, one edit apart at most."""
-    v = vocabulary(docs(spark, sf), "text", r"[a-zà-ÿ]+")
-    q = vocabulary(table(spark, sf, "benchmark"), "text", r"[a-zà-ÿ]+").select(F.col("term").alias("word"))
+    v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
+    q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+").select(F.col("term").alias("word"))
     pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 1)
     return pairs.join(v, "term").select("word", F.col("term").alias("suggestion"), F.col("n").alias("frequency"), "distance")
 
@@ -268,15 +286,15 @@ def j13_fuzzy_pairs(spark, sf):
     "j13b_best_suggestion",
     _one_edit_sql(
         "SELECT DISTINCT substr(w, 1, length(w) - 1) || 'x' AS word FROM "
-        "(SELECT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS w FROM benchmark)"
+        "(SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM benchmark)"
     )
     + """ SELECT word, suggestion, distance, frequency FROM r
 QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, frequency DESC, suggestion) = 1""",
 )
 def j13b_best_suggestion(spark, sf):
     """Best correction of misspelt words: the last letter of each question word is replaced."""
-    v = vocabulary(docs(spark, sf), "text", r"[a-zà-ÿ]+")
-    q = vocabulary(table(spark, sf, "benchmark"), "text", r"[a-zà-ÿ]+")
+    v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
+    q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+")
     q = q.select(F.concat(F.substring("term", F.lit(1), F.length("term") - 1), F.lit("x")).alias("word")).distinct()
     pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 1).join(v.withColumnRenamed("n", "frequency"), "term")
     best = fuzzy.best_suggestions(pairs, "word", "term", "frequency")

@@ -83,7 +83,7 @@ def l04b_stratified_folds(spark, sf):
 @query(
     "l05_repeated_splits",
     " UNION ALL ".join(
-        f"SELECT {r} AS split, o_orderkey, CASE WHEN {arithmetic_hash_sql('o_orderkey', 31 + r)} < 250000 THEN 'test' ELSE 'train' END AS role FROM orders"
+        f"SELECT {r} AS split, o_orderkey, CASE WHEN {arithmetic_hash_sql('o_orderkey', splits.split_seed(31, r))} < 250000 THEN 'test' ELSE 'train' END AS role FROM orders"
         for r in range(3)
     ),
 )

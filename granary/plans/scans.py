@@ -56,7 +56,7 @@ def s03_tab_scan(spark, sf):
 )
 def s04_flatten_json(spark, sf):
     e = table(spark, sf, "events").select("event_id", "props")
-    return files.flatten_json(e, {"props": files.sampled_json_schema(e, "props")})
+    return files.flatten_json(e, {"props": files.json_schema(e, "props")})
 
 
 @query("s05_json_lines", "SELECT doc_id, lang, n_chars FROM documents")

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.session import spread
 
 AS_OF = "2001-08-02 00:00:00"  # reference instant of the card features, one day past the last order
 
@@ -21,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per visit; ``totals`` is parsed once for all of its fields."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     parsed = e.withColumn("j", F.from_json("props", "k INT"))
     return parsed.select(
         F.col("user_id").alias("visitor"),
@@ -53,7 +52,7 @@ sessions AS (
 
 def txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per purchase. No join hint: the sizes of the sides decide."""
-    li = spread(table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax", "l_shipdate"))
+    li = table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -75,6 +74,7 @@ def txns(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.year("o_orderdate") - 2001) * 12 + F.month("o_orderdate") - 8).alias("month_lag"),
         (F.col("l_returnflag") != "R").cast("int").alias("authorized"),
         (F.col("l_linestatus") == "F").cast("int").alias("category_1"),
+        F.when(F.col("l_linenumber") <= 5, F.col("l_linenumber").cast("int")).alias("category_2"),
         F.col("l_returnflag").alias("category_3"),
         F.col("s_nationkey").alias("city"),
         F.col("n_regionkey").alias("state"),
@@ -91,6 +91,7 @@ txns AS (
          CAST((year(o_orderdate) - 2001) * 12 + month(o_orderdate) - 8 AS INT) AS month_lag,
          CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END AS authorized,
          CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS category_1,
+         CASE WHEN l_linenumber <= 5 THEN CAST(l_linenumber AS INT) END AS category_2,
          l_returnflag AS category_3, s_nationkey AS city, n_regionkey AS state,
          l_orderkey, l_linenumber, l_partkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey

@@ -12,7 +12,6 @@ from granary.operators.skew import attach
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
-from granary.session import spread
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in tf.STOP_WORDS)
 _NOISE = tf.NOISE.replace("'", "''")
@@ -30,14 +29,14 @@ TOKENS_SQL = f"list_filter({clean_sql(3)}, lambda w: regexp_matches(w, '[a-z]'))
 
 
 def words():
-    return F.regexp_extract_all(F.lower("text"), F.lit("([a-zà-ÿ]+)"), 1)
+    return F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1)
 
 
-WORDS_SQL = "regexp_extract_all(lower(text), '[a-zà-ÿ]+')"
+WORDS_SQL = "regexp_extract_all(lower(text), '\\p{L}+')"
 
 
 def docs(spark, sf, *columns):
-    d = spread(table(spark, sf, "documents"), "doc_id")
+    d = table(spark, sf, "documents")
     return d.select(*(columns or ("doc_id", "text", "lang", "source", "n_chars")))
 
 

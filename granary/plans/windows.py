@@ -9,6 +9,7 @@ from granary.operators import windowing
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, PANEL_SQL, SESSIONS_SQL, TXNS_SQL, items, panel, sessions, table, txns
+from granary.session import durable
 from granary.plans.texts import docs, words
 
 
@@ -43,7 +44,7 @@ def w02_running_share(spark, sf):
  {fx("avg(installments) OVER (PARTITION BY merchant_category, subsector, city, category_1, category_3)", 3)} AS detail_mean FROM txns""",
 )
 def w03_group_mean(spark, sf):
-    t = txns(spark, sf)
+    t = durable(txns(spark, sf))  # the joined facts are written once and read from there
     t = windowing.attach_aggregates(t, ["category_3"], {"category_mean": F.avg("amount")})
     detail = ["merchant_category", "subsector", "city", "category_1", "category_3"]
     t = windowing.attach_aggregates(t, detail, {"detail_mean": F.avg("installments")})
@@ -158,7 +159,7 @@ def w11_run_lengths(spark, sf):
 
 @query(
     "w12_top_terms_per_document",
-    """WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS term FROM documents),
+    """WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS term FROM documents),
 c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2)
 SELECT doc_id, term, tf, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term) AS INT) AS rank FROM c
 QUALIFY rank <= 3""",

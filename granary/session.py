@@ -91,20 +91,3 @@ def durable(df: DataFrame) -> DataFrame:
     path = shared_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-SMALL_INPUT = (1 << 20, 128 << 20)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a small input one partition per core before heavy work on its rows.
-
-    A file of a few megabytes is often a single row group, so its scan is a single task.
-    Only inputs between 1 and 128 MB are moved; larger ones are split by the scan already
-    and are returned as they are.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if SMALL_INPUT[0] <= size <= SMALL_INPUT[1]:
-        return df.repartition(spark.sparkContext.defaultParallelism, *keys)
-    return df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,12 +47,17 @@ def scan_json_lines(spark: SparkSession, path: str, schema: str | T.StructType,
     return df.filter(F.col("_bad").isNull()).select(*columns)
 
 
-def sampled_json_schema(df: DataFrame, column: str, rows: int = 10_000) -> T.StructType:
-    """Schema of a JSON text column from a bounded number of its values."""
-    values = df.select(column).filter(F.col(column).isNotNull()).limit(rows)
+# a name in backquotes, or the word for a nested document
+_OBJECT = re.compile(r"(`(?:[^`]|``)*`)|OBJECT<")
+
+
+def json_schema(df: DataFrame, column: str) -> T.StructType:
+    """Schema of a JSON text column: every field of every row, merged as an aggregate."""
     # a variant holds any document, so its aggregate schema needs no second parser
-    merged = values.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0]
-    return T._parse_datatype_string(merged.replace("OBJECT<", "STRUCT<")) if merged else T.StructType([])
+    merged = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0]
+    if not merged or not merged.startswith("OBJECT<"):
+        return T.StructType([])
+    return T._parse_datatype_string(_OBJECT.sub(lambda m: m[1] or "STRUCT<", merged))
 
 
 def flatten_json(df: DataFrame, columns: Mapping[str, str | T.StructType]) -> DataFrame:

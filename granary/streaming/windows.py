@@ -1,24 +1,25 @@
 """Event streams: the category summary per time window and the roll-up per visit session.
 
-Extensions of the batch operators of the same names; results are final rows only, written
-once the watermark has passed them.
+Extensions of the batch operators of the same names.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.session import shared_dir
+from granary.session import shared_path
 
 
 def event_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Files of one table below a folder as a stream with zoned event time."""
+    """One table below a folder, a file or a folder of part files, as a stream with zoned event time."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath).isDirectory():
+        stream = spark.readStream.schema(schema).parquet(path)
+    else:
+        stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -43,15 +44,22 @@ def session_summary(events: DataFrame, gap: str, delay: str) -> DataFrame:
 
 
 def run_available(stream: DataFrame, spark: SparkSession) -> DataFrame:
-    """Process what is there, append the final rows to a table in the shared folder and read it."""
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    """Process what is there and read the complete result: windows and sessions still open are in it,
+    and rows that come in any order are counted, whatever batch they come in."""
+    base, done = shared_path(spark, "stream"), []
+
+    def keep(result: DataFrame, batch: int) -> None:
+        result.write.mode("overwrite").parquet(f"{base}/rows-{batch}")
+        done.append(batch)
+
     query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
+        stream.writeStream.outputMode("complete")
+        .foreachBatch(keep)
         .option("checkpointLocation", f"{base}/state")
-        .option("path", f"{base}/rows")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/rows")
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows-{max(done)}")

@@ -68,7 +68,8 @@ def test_aggregate_split_matches_two_rollups(spark):
         F.lit(-3).alias("month_lag"),
     )
     facts = R.prepare_transactions(facts, "2001-08-02 00:00:00")
-    both = R.aggregate_split(facts, F.col("authorized") == 1, ("auth", "denied"))
+    side = F.when(F.col("authorized") == 1, "auth").otherwise("denied")
+    both = R.aggregate_split(facts, side, ("auth", "denied"))
     auth = R.aggregate_transactions(facts.filter("authorized = 1"), prefix="auth_")
     want = {r["card"]: r.asDict() for r in auth.collect()}
     for r in both.collect():

@@ -99,12 +99,11 @@ def test_factorize_first_appearance_and_unseen(spark):
 
 def test_one_hot_and_lumping(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("c",), (None,)], "x STRING")
-    coded = encode.one_hot(df, "x", encode.level_list(df, "x"), "x")
+    coded = encode.one_hot(df, "x", encode.levels_of(df, "x"), "x")
     assert [sum(r[c] for c in ("x_a", "x_b", "x_c")) for r in coded.collect()] == [1, 1, 1, 1, 1, 0]
     lumped = {r["x"]: r["count"] for r in encode.lump_rare(df, "x", share=0.3, missing="(none)").groupBy("x").count().collect()}
     assert lumped == {"a": 3, "Other": 2, "(none)": 1}
-    with pytest.raises(ValueError):
-        encode.level_list(spark.range(50), "id", 10)
+    assert len(encode.levels_of(spark.range(2000), "id")) == 2000
 
 
 def test_last_rule_wins(spark):
@@ -186,13 +185,31 @@ def test_json_lines_drop_bad_rows(spark, tmp_path):
 def test_flatten_nested_json(spark):
     doc = json.dumps({"hits": 3, "click": {"page": "p", "slot": "top"}})
     df = spark.createDataFrame([(1, doc), (2, '{"hits": 4}'), (3, None)], "id INT, totals STRING")
-    schema = files.sampled_json_schema(df, "totals")
+    schema = files.json_schema(df, "totals")
     got = files.flatten_json(df, {"totals": schema})
     assert set(got.columns) == {"id", "totals.hits", "totals.click.page", "totals.click.slot"}
     rows = {r["id"]: r for r in got.collect()}
     assert rows[1]["totals.click.slot"] == "top" and rows[2]["totals.click.page"] is None and rows[3]["totals.hits"] is None
 
 
+def test_a_key_that_comes_late_is_in_the_schema(spark):
+    late = F.when(F.col("id") == 11_999, F.lit('{"OBJECT<": {"late": "x"}}')).otherwise(F.lit('{"k": 1}'))
+    df = spark.range(12_000).select("id", late.alias("p")).coalesce(1)
+    got = files.flatten_json(df, {"p": files.json_schema(df, "p")})
+    assert set(got.columns) == {"id", "p.k", "p.OBJECT<.late"} and got.filter("`p.OBJECT<.late` = 'x'").count() == 1
+    none = df.select(F.lit(None).cast("string").alias("p"))
+    assert files.json_schema(none, "p").fields == []
+
+
+def test_repeated_splits_are_unrelated(spark):
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    sides = splits.repeated_splits(df, "k", 3, 0.5, 31).filter("role = 'test'").groupBy("k").agg(F.sum(F.shiftleft(F.lit(1), F.col("split"))).alias("s"))
+    counts = {r["s"]: r["count"] for r in sides.groupBy("s").count().collect()}
+    assert all(abs(counts[s] - 2500) < 250 for s in range(1, 8))
+    moved = df.select((splits.arithmetic_hash(F.col("k"), splits.split_seed(31, 1)) == splits.arithmetic_hash(F.col("k") + 1, splits.split_seed(31, 0))).alias("same"))
+    assert moved.filter("same").count() < 10
+
+
 def test_splits_are_one_dataset(spark, tmp_path):
     df = spark.range(100).select("id", F.when(F.col("id") < 60, "train").otherwise("test").alias("split"))
     files.write_splits(df, str(tmp_path / "out"), "split")
