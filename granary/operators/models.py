@@ -56,7 +56,7 @@ def classifiers(target: str, seed: int) -> dict[str, Estimator]:
         "logistic": LogisticRegression(maxIter=30, regParam=0.01, **common),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, seed=seed, **common),
         "linear_svm": LinearSVC(maxIter=20, regParam=0.01, **common),
-        "naive_bayes": NaiveBayes(**common),
+        "naive_bayes": NaiveBayes(modelType="gaussian", **common),
     }
 
 

@@ -11,6 +11,7 @@ from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
 from granary.plans.texts import TOKENS_SQL, WORDS_SQL, docs, words
+from granary.session import durable
 
 _COUNTS_SQL = f"""w AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents),
 c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
@@ -18,7 +19,8 @@ t AS (SELECT count(*) AS total FROM documents)"""
 
 
 def _counts(spark, sf):
-    return textops.term_counts(docs(spark, sf), "doc_id", tf.tokens(F.col("text")))
+    """Terms of every document, counted; written once, so that no use reads the texts again."""
+    return durable(textops.term_counts(docs(spark, sf), "doc_id", tf.tokens(F.col("text"))))
 
 
 def _total(spark, sf):
@@ -136,6 +138,18 @@ def f08_truncated_svd(spark, sf):
     return vectors.truncated_svd(e, "vec_id", "embedding", 5)
 
 
+@query(
+    "f08b_full_width_scores",
+    f"SELECT vec_id, {fx('list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))')} AS squared_length FROM embeddings",
+)
+def f08b_full_width_scores(spark, sf):
+    """Over all directions the scores only turn a vector, so its length stays."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    scores = vectors.truncated_svd(e, "vec_id", "embedding", 64)
+    squares = F.transform(F.array(*[c for c in scores.columns if c != "vec_id"]), lambda x: x * x)
+    return rounded(scores.select("vec_id", F.aggregate(squares, F.lit(0.0), lambda a, x: a + x).alias("squared_length")))
+
+
 @query("f09_kmeans")
 def f09_kmeans(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")

@@ -281,6 +281,28 @@ def l08b_boosted_classification(spark, sf):
     return metrics.confusion(predicted.withColumn("predicted", F.col("prediction")), "quality", "predicted")
 
 
+@query("l08c_better_than_the_mean", "SELECT true AS better, count(*) AS n FROM customer")
+def l08c_better_than_the_mean(spark, sf):
+    """On the rows it is fitted on, the model errs less than their mean does."""
+    c = customer_features(spark, sf).withColumn("valid", splits.in_fraction(F.col("id"), 0.2, 43))
+    predicted = models.boosted_trees(c, CUSTOMER_FEATURES, "target", "valid", 43).transform(models.assemble(c, CUSTOMER_FEATURES))
+    gap = F.when(~F.col("valid"), F.pow(F.col("target") - F.col("prediction"), 2))
+    return predicted.agg(
+        (F.sqrt(F.avg(gap)) < F.stddev_pop(F.when(~F.col("valid"), F.col("target")))).alias("better"), F.count(F.lit(1)).alias("n")
+    )
+
+
+@query(
+    "l09b_every_classifier_scores_all",
+    f"""WITH n AS (SELECT count(*) AS n FROM labels JOIN documents USING (doc_id) WHERE {arithmetic_hash_sql("doc_id", 53)} < 300000)
+SELECT unnest({list(models.classifiers("quality", 53))}) AS model, n, true AS a_share FROM n""",
+)
+def l09b_every_classifier_scores_all(spark, sf):
+    d = document_features(spark, sf).withColumn("held_out", splits.in_fraction(F.col("doc_id"), 0.3, 53))
+    out = models.compare_classifiers(d, DOCUMENT_FEATURES, "quality", "held_out", 53)
+    return out.select("model", "n", F.col("accuracy").between(0.0, 1.0).alias("a_share"))
+
+
 @query("l09_classifiers")
 def l09_classifiers(spark, sf):
     d = document_features(spark, sf).withColumn("held_out", splits.in_fraction(F.col("doc_id"), 0.3, 53))
@@ -298,6 +320,38 @@ def l10_out_of_fold(spark, sf):
     return metrics.error_metrics(own.unionByName(scored), "target", "prediction", ["fold"])
 
 
+@query(
+    "l10b_one_score_per_fold",
+    f"""SELECT c_custkey AS id, CAST({arithmetic_hash_sql("c_custkey", 59)} % 3 AS INT) AS fold, true AS within FROM customer
+WHERE {arithmetic_hash_sql("c_custkey", 59)} < 800000""",
+)
+def l10b_one_score_per_fold(spark, sf):
+    """Every training id has one out-of-fold score, inside the range of the targets, as a forest's is."""
+    train, _ = splits.sample_fraction(customer_features(spark, sf), "id", 0.8, 59)
+    forest = lambda: RandomForestRegressor(labelCol="target", featuresCol="features", numTrees=8, maxDepth=4, seed=59)
+    own, _ = models.out_of_fold(train, "id", CUSTOMER_FEATURES, "target", forest, 3, 59)
+    low, high = train.agg(F.min("target")).scalar(), train.agg(F.max("target")).scalar()
+    return own.select("id", "fold", F.col("prediction").between(low, high).alias("within"))
+
+
+@query("l11b_one_stacked_score", "SELECT doc_id, true AS shares FROM labels JOIN documents USING (doc_id)")
+def l11b_one_stacked_score(spark, sf):
+    inside = [F.col(c).between(0.0, 1.0) for c in ("forest", "logistic", "stacked")]
+    return l11_stacking(spark, sf).select("doc_id", (inside[0] & inside[1] & inside[2]).alias("shares"))
+
+
+@query("l12b_one_combined_prediction", "SELECT c_custkey AS id, true AS finite FROM customer")
+def l12b_one_combined_prediction(spark, sf):
+    p = F.col("prediction")
+    return l12_two_models(spark, sf).select("id", (p.isNotNull() & ~F.isnan(p)).alias("finite"))
+
+
+@query("l13c_importances_add_up", f"SELECT unnest({DOCUMENT_FEATURES}) AS feature, 1.0::DOUBLE AS total")
+def l13c_importances_add_up(spark, sf):
+    found = l13_fold_importances(spark, sf)
+    return rounded(found.select("feature", found.agg(F.sum("importance")).scalar().alias("total")))
+
+
 @query("l11_stacking")
 def l11_stacking(spark, sf):
     base = {
