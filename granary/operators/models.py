@@ -48,6 +48,9 @@ def boosted_classifier(train: DataFrame, features: Sequence[str], target: str, v
     ).fit(staged)
 
 
+CLASSIFIERS = ("random_forest", "logistic", "decision_tree", "linear_svm", "naive_bayes")
+
+
 def classifiers(target: str, seed: int) -> dict[str, Estimator]:
     """The set of classifiers, each with its score column and settings."""
     common = {"labelCol": target, "featuresCol": "features"}

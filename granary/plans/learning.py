@@ -295,7 +295,7 @@ def l08c_better_than_the_mean(spark, sf):
 @query(
     "l09b_every_classifier_scores_all",
     f"""WITH n AS (SELECT count(*) AS n FROM labels JOIN documents USING (doc_id) WHERE {arithmetic_hash_sql("doc_id", 53)} < 300000)
-SELECT unnest({list(models.classifiers("quality", 53))}) AS model, n, true AS a_share FROM n""",
+SELECT unnest({list(models.CLASSIFIERS)}) AS model, n, true AS a_share FROM n""",
 )
 def l09b_every_classifier_scores_all(spark, sf):
     d = document_features(spark, sf).withColumn("held_out", splits.in_fraction(F.col("doc_id"), 0.3, 53))
