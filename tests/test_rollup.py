@@ -60,6 +60,8 @@ def test_aggregate_split_matches_two_rollups(spark):
     facts = base.select(
         "*",
         F.lit(1).alias("category_1"),
+        F.lit(None).cast("int").alias("category_2"),
+        F.lit("A").alias("category_3"),
         F.lit("x").alias("merchant_category"),
         F.lit(1).alias("state"),
         F.lit(2).alias("city"),
