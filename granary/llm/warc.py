@@ -40,6 +40,8 @@ LEAST_PAYLOAD = 1000
 PACKAGE_BYTES = 256 << 20
 #: Records that one read takes at most; their bytes are adjacent.
 RUN = 64
+#: Partitions of a reading job at most, and stored bytes that one of them is meant for.
+READERS, READ_BYTES = 10_000, 4 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 # Names and values of the WARC format; fixed values.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -178,7 +180,9 @@ def ranges(packages: DataFrame, folder: str) -> DataFrame:
                     part = lines[i : i + RUN]
                     yield pd.DataFrame({"package": [package], "offset": [start + part[0][0]], "lengths": [[n for _, n in part]]})
 
-    return packages.select("package").repartition(F.col("package")).mapInPandas(runs, "package string, offset long, lengths array<long>")
+    # a row is a whole package, however few its bytes are
+    parts = min(READERS, max(1, packages.count()))
+    return packages.select("package").repartition(parts, F.col("package")).mapInPandas(runs, "package string, offset long, lengths array<long>")
 
 
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -200,7 +204,9 @@ def read(packages: DataFrame, folder: str) -> DataFrame:
                     out[column] = out[column].astype("Int64")
                 yield out
 
-    return ranges(packages, folder).repartition(F.col("package"), F.col("offset")).mapInPandas(records, RECORD)
+    size = packages.agg(F.sum("bytes")).first()[0] or 0
+    parts = min(READERS, max(1, -(-size // READ_BYTES)))
+    return ranges(packages, folder).repartition(parts, F.col("package"), F.col("offset")).mapInPandas(records, RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
