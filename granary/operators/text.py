@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from granary.functions.text import exploded, ngrams
 from granary.operators.skew import number_rows
+from granary.session import durable
 
 
 def vocabulary(df: DataFrame, text: str, pattern: str = r"[\p{L}]+") -> DataFrame:
@@ -221,14 +222,13 @@ def bm25(
     question words are broadcast when their measured size allows.
     """
     staged = documents.select(id_col, words.alias("_w")).withColumn("_len", F.size("_w"))
-    total = staged.agg(F.count(F.lit(1))).scalar()
-    mean_length = staged.agg(F.avg("_len")).scalar()
+    corpus = staged.agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean")).first()
+    total, mean_length = corpus["n"], corpus["mean"]
     asked = term_counts(questions, question_id, question_words).withColumnRenamed("tf", "_qtf")
     used = asked.select("term").distinct()
-    # by document: the scores of a document then add up without moving a row per question
-    by_document = staged.select(F.struct(id_col, "_len").alias("_d"), "_w").repartition(F.col("_d"))
-    counts = term_counts(by_document, "_d", F.col("_w"))
-    postings = counts.join(used, "term", "left_semi").withColumnRenamed("tf", "_tf")
+    # terms are counted inside the row, so postings move and texts don't; written once, used twice
+    counts = term_counts(staged.select(F.struct(id_col, "_len").alias("_d"), "_w"), "_d", F.col("_w"))
+    postings = durable(counts.join(used, "term", "left_semi").withColumnRenamed("tf", "_tf"))
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     weighted = asked.join(df, "term").select(
         question_id, "term", (F.col("_qtf") * F.ln(1 + (total - F.col("_df") + 0.5) / (F.col("_df") + 0.5))).alias("_idf")

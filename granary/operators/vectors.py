@@ -92,7 +92,7 @@ def nearest_centroid(df: DataFrame, id_col: str, vector: str, centres: dict[int,
     return out.select(id_col, F.col("_b.c").alias("centroid"), F.sqrt("_b.d").alias("distance"))
 
 
-def text_clusters(df: DataFrame, id_col: str, words: Column, k: int, seed: int, buckets: int = 1024) -> DataFrame:
+def text_clusters(df: DataFrame, id_col: str, words: Column, k: int, seed: int, buckets: int = 1 << 18) -> DataFrame:
     """K-means on hashed, idf-weighted, unit-length word counts."""
     staged = df.select(id_col, words.alias("_w"))
     prepared = Pipeline(
@@ -116,24 +116,27 @@ def cluster_terms(weights: DataFrame, clusters: DataFrame, id_col: str, k: int)
     return top_terms(means, ["cluster"], "weight", k)
 
 
+VOCABULARY = 1 << 20
+
+
 def lda(
-    df: DataFrame, id_col: str, words: Column, k: int, seed: int, vocabulary: int = 5000, top: int = 10
+    df: DataFrame, id_col: str, words: Column, k: int, seed: int, top: int = 10
 ) -> tuple[DataFrame, DataFrame]:
     """Top words of each topic, and the dominant topic of each document.
 
-    The vocabulary is capped by ``vocabulary``, as the vectoriser's feature limit is.
+    Every word of two documents or more is in the vocabulary, up to VOCABULARY words; a larger
+    corpus is refused rather than cut.
     """
     staged = df.select(id_col, words.alias("_w"))
-    vectoriser = CountVectorizer(inputCol="_w", outputCol="_x", vocabSize=vocabulary, minDF=2).fit(staged)
+    vectoriser = CountVectorizer(inputCol="_w", outputCol="_x", vocabSize=VOCABULARY, minDF=2).fit(staged)
+    if len(vectoriser.vocabulary) == VOCABULARY:
+        raise ValueError(f"more than {VOCABULARY} words")
     counted = durable(vectoriser.transform(staged).select(id_col, "_x"))
     model = LDA(k=k, seed=seed, optimizer="online", maxIter=10, featuresCol="_x").fit(counted)
-    terms = F.array(*[F.lit(w) for w in vectoriser.vocabulary])
+    terms = df.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "_index INT, term STRING")
     described = model.describeTopics(top).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("p", "t"))
-    topics = described.select(
-        "topic",
-        (F.col("p") + 1).alias("rank"),
-        F.element_at(terms, F.col("t.termIndices") + 1).alias("term"),
-        F.col("t.termWeights").alias("weight"),
+    topics = described.join(terms, F.col("t.termIndices") == F.col("_index")).select(
+        "topic", (F.col("p") + 1).alias("rank"), "term", F.col("t.termWeights").alias("weight")
     )
     shares = model.transform(counted).select(id_col, vector_to_array("topicDistribution").alias("_d"))
     largest = F.array_max("_d")
