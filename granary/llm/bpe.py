@@ -33,7 +33,7 @@ PAD = -1
 #: Cells of a matrix at most; a longer piece is a matrix of its own.
 CELLS = 1 << 19
 #: Stretches a worker remembers; then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 # A space that cannot lie inside a piece: what follows is no white space, in any sense.
 _CUT, _DOUBT = re.compile(r" (?=[^\s\x1c-\x1f\x85])"), re.compile(r" [\s\x1c-\x1f\x85]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -126,12 +126,14 @@ class Encoder:
                     out[k] = ids
         return out
 
-    def stretches(self, fresh: list[str]) -> list[np.ndarray]:
-        """Ids of stretches of text, each of one or more pieces."""
-        found = [[p.encode() for p in self.pattern.findall(s)] for s in fresh]
+    def stretches(self, fresh: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of stretches of text, each of one or more pieces, as :class:`Remembering` wants them."""
+        found = [[p.encode() for p in self.pattern.findall(spelled(s))] for s in fresh]
         distinct = {p: None for pieces in found for p in pieces}
         ids = dict(zip(distinct, self.pieces(list(distinct))))
-        return [np.concatenate([ids[p] for p in pieces]) if len(pieces) > 1 else ids[pieces[0]] for pieces in found]
+        flat = [ids[p] for pieces in found for p in pieces]
+        lengths = np.array([sum(len(ids[p]) for p in pieces) for pieces in found], np.int64)
+        return np.arange(len(fresh)), np.concatenate(flat), lengths
 
     def matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of similar length, all merged together."""
@@ -184,52 +186,78 @@ class Encoder:
         return self.token_bytes[at + np.repeat(self.token_start[ids] - (ends - lengths), lengths)].tobytes()
 
 
-def stretches(text: str) -> list[str]:
-    """``text`` cut before spaces that no piece can cross; joined they are the text."""
+def stretches(text: str) -> list:
+    """Keys of the stretches of ``text``, cut at spaces that no piece can cross.
+
+    The first is a tuple of what stands before the first such space, if anything; the others
+    are strings without the space that they begin with. :func:`spelled` gives their text.
+    """
     parts = text.split(" ") if not _DOUBT.search(text) and not text.endswith(" ") else _CUT.split(text)
-    return [parts[0], *[" " + x for x in parts[1:]]]
+    if parts[0]:
+        parts[0] = (parts[0],)
+        return parts
+    return parts[1:]
+
+
+def spelled(key) -> str:
+    return key[0] if isinstance(key, tuple) else f" {key}"
+
+
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are first asked for; ``fresh`` has the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
 
 
 class Remembering:
     """Texts to ids; distinct stretches are encoded once, a bounded number is kept.
 
-    ``learn`` gives the ids of each of a list of stretches.
+    ``learn`` takes keys of stretches and gives their positions in an order of its own, their
+    ids in that order one after the other, and the number of ids of each.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.learn = learn
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Numbers()
         self.flat, self.start, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _add(self, fresh: list[str]) -> None:
-        encoded = self.learn(fresh)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        base = len(self.flat)
-        self.place.update(zip(fresh, range(len(self.length), len(self.length) + len(fresh))))
-        self.start = np.concatenate([self.start, base + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.flat = np.concatenate([self.flat, *encoded]).astype(np.uint32)
+    def _add(self) -> None:
+        order, ids, lengths = self.learn(self.place.fresh)
+        start, length = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        start[order], length[order] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
+        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
+        self.place.fresh = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > REMEMBERED:
             self.forget()
-        cut = [stretches(t) if t else [] for t in texts]
-        fresh = {s: None for parts in cut for s in parts if s not in self.place}
-        fresh.pop("", None)
-        if fresh:
-            self._add(list(fresh))
+        try:
+            found = [
+                np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+                for parts in (stretches(t) if t else () for t in texts)
+            ]
+            if self.place.fresh:
+                self._add()
+        except BaseException:
+            self.forget()  # numbers without ids must not stay
+            raise
         out = []
-        for parts in cut:
-            if parts and not parts[0]:
-                parts = parts[1:]
-            at = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+        for at in found:
             lengths = self.length[at]
             ends = np.cumsum(lengths)
             n = int(ends[-1]) if len(ends) else 0
-            out.append(self.flat[np.arange(n) + np.repeat(self.start[at] - (ends - lengths), lengths)].astype(np.int64))
+            out.append(self.flat[np.arange(n) + np.repeat(self.start[at] - (ends - lengths), lengths)])
         return out
 
 

@@ -38,13 +38,15 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("an id has more than 60 bits")
     blocks = -(-n // BLOCK)
     ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, n)
-    width = _bits(values)
+    width = _bits(values).astype(np.uint8)
     selector = np.full(n, ESCAPE, np.int8)
-    end_of = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
-    position = np.arange(n)
+    small = np.int32 if n < 2**31 - 256 else np.int64
+    end_of = np.repeat(ends.astype(small), np.diff(np.concatenate([[0], ends])))
+    position = np.arange(n, dtype=small)
+    wide = np.zeros(n + 1, small)
     for s in range(ESCAPE - 1, -1, -1):  # later ones pack more ids and overrule
-        wide = np.concatenate([[0], np.cumsum(width > WIDTHS[s])])
-        fits = wide[np.minimum(position + COUNTS[s], end_of)] == wide[position]
+        np.cumsum(width > WIDTHS[s], out=wide[1:])
+        fits = wide[np.minimum(position + small(COUNTS[s]), end_of)] == wide[:-1]
         if not fits.any():
             break
         selector[fits] = s

@@ -22,6 +22,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm import simple8b
-from granary.llm.bpe import Remembering
+from granary.llm.bpe import Remembering, spelled
 from granary.llm.common import folder_uri
 from granary.llm.simple8b import BLOCK
 from granary.session import durable
@@ -42,6 +43,10 @@ FILE_IDS = 4 << 20
 CHUNK_IDS = 256 * BLOCK
 #: Ids that a reader holds at a time, besides those of one document.
 READ_IDS = 1 << 20
+#: How byte-level vocabularies write a space, and how many stretches are encoded as one text.
+SPACE, TOGETHER = "\u0120", 4096
+#: Partitions of a reading job at most.
+READERS = 10_000
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 4 << 20
 
@@ -58,8 +63,24 @@ def tokenizer(definition: str) -> Remembering:
         loaded = Tokenizer.from_str(definition)
         loaded.encode_special_tokens = True
 
-        def learn(fresh: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, np.uint32) for e in loaded.encode_batch_fast(fresh, add_special_tokens=False)]
+        spaced = np.array([loaded.id_to_token(k).startswith(SPACE) for k in range(loaded.get_vocab_size())])
+
+        def ids_of(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in loaded.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def learn(fresh: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Stretches with one space, at their start, are encoded together and parted at the spaces again."""
+            plain = np.fromiter((isinstance(s, str) and s != "" and " " not in s for s in fresh), bool, len(fresh))
+            words = list(compress(fresh, plain))
+            joined = ids_of([" " + " ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)])
+            flat = np.fromiter(chain.from_iterable(joined), np.uint32)
+            cuts = np.flatnonzero(spaced[flat])
+            if len(cuts) != len(words):
+                raise ValueError("a token with a space inside a stretch")
+            alone = ids_of([spelled(s) for s in compress(fresh, ~plain)])
+            lengths = np.concatenate([np.diff(np.append(cuts, len(flat))), np.fromiter(map(len, alone), np.int64, len(alone))])
+            order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+            return order, np.concatenate([flat, np.fromiter(chain.from_iterable(alone), np.uint32)]), lengths.astype(np.int64)
 
         _WORKER.clear()
         _WORKER[key] = Remembering(learn)
@@ -129,7 +150,7 @@ def write(documents: DataFrame, folder: str, tokenizer_path: str, text: str = "t
                     if out is None:
                         path = f"{at}/{uuid.uuid4().hex}.s8b"
                         out, first = FileWriter(store.open_output_stream(path)), (None if pd.isna(doc) else int(doc), int(h))
-                    out.add(None if pd.isna(doc) else int(doc), np.append(ids, END_ID).astype(np.uint32))
+                    out.add(None if pd.isna(doc) else int(doc), np.append(ids, np.uint32(END_ID)))
                     if out.tokens >= FILE_IDS:
                         yield _listed(out, path, first, part)
                         out, part = None, part + 1
@@ -210,7 +231,9 @@ def read(files: DataFrame, folder: str) -> DataFrame:
                         ).assign(doc_id=lambda f, k=reader.known[a:b]: f["doc_id"].where(k == 1))
                         a = b
 
-    return positions(files).repartition(F.col("path")).mapInPandas(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # a row is a whole file, however few its bytes are: as many partitions as files, up to READERS
+    parts = min(READERS, max(1, files.count()))
+    return positions(files).repartition(parts, F.col("path")).mapInPandas(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(documents: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
