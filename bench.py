@@ -46,10 +46,17 @@ HEADLINE = [
     "f02_count_vectors",
     "f03_tf_idf",
     "f07_feature_union",
+    "f09c_cluster_terms",
+    "f10_lda_topics",
     "f11_bm25",
     "l05_repeated_splits",
+    "l06d_listing_price_model",
     "l07_series_regressions",
+    "l08_boosted_regression",
+    "l10_out_of_fold",
+    "l13b_permutation_importances",
     "l15_threshold_sweep",
+    "x02_session_summary",
 ]
 
 
