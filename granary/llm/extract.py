@@ -178,7 +178,10 @@ def _texts(model: Model, pages: list) -> list[str]:
 def labelled_sample(pages: DataFrame, html: str = "html") -> list[str]:
     """At most SAMPLE pages that have an article element, by a hash of their text."""
     some = pages.where(F.contains(F.col(html), F.lit("<article")) & (F.length(html) <= SAMPLE_CHARS))
-    rows = some.select(html, F.xxhash64(html).alias("h")).orderBy("h", html).limit(SAMPLE).collect()
+    some = some.select(html, F.xxhash64(html).alias("h"))
+    # hashes first, then the pages of the smallest ones, each once: few bytes leave a task
+    last = some.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    rows = some.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min(html).alias("page")).orderBy("h").select("page").collect()
     return [r[0] for r in rows]
 
 
