@@ -11,7 +11,8 @@ grow with the similarity.
 Labels, language, source and doc_id are no inputs of a score. Results: a null, empty or
 otherwise featureless text, and any text when nothing is labelled, gets the prior (share of
 good labels, 0.5 without labels); equal texts get equal scores; labels other than 0 and 1 and
-null ones are left out; of rows that repeat a labelled doc_id each one counts.
+null ones are left out; of rows that repeat a labelled doc_id each one counts, up to twice the
+sample in all; a null doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def fit(found: np.ndarray, labels: np.ndarray) -> Model:
 
 
 def held_out(key: str = "doc_id") -> Column:
-    return F.crc32(F.col(key).cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text") -> Model:
