@@ -54,10 +54,11 @@ def p02b_drop_constant_ignoring_missing(spark, sf):
     return profile.drop_constant_columns(o, null_is_value=False, keep=["always"])
 
 
-@query("p03_column_difference", "SELECT c_custkey, c_name FROM customer")
+@query("p03_column_difference", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def p03_column_difference(spark, sf):
+    """Columns that the other table lacks go; those that only the other one has play no part."""
     c = table(spark, sf, "customer")
-    other = c.select("c_custkey", "c_name")
+    other = c.select("c_custkey", F.col("c_name"), "c_acctbal", F.lit(1).alias("score"))
     return c.drop(*clean.columns_missing_in(c, other))
 
 
@@ -110,10 +111,9 @@ def p07_flag_map(spark, sf):
     )
 
 
-@query("p08_unit_scale", f"WITH {SESSIONS_SQL} SELECT session_id, {fx('revenue * 1000000 / 1e6')} AS revenue FROM sessions")
+@query("p08_unit_scale", f"WITH {SESSIONS_SQL} SELECT session_id, {fx('revenue / 1e3', 6)} AS thousands FROM sessions")
 def p08_unit_scale(spark, sf):
-    s = sessions(spark, sf).select("session_id", (F.col("revenue") * 1_000_000).alias("micros"))
-    return rounded(s.select("session_id", (F.col("micros") / 1e6).alias("revenue")))
+    return rounded(sessions(spark, sf).select("session_id", (F.col("revenue") / 1e3).alias("thousands")), 6)
 
 
 @query(

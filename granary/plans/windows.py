@@ -66,7 +66,7 @@ def w04_group_distinct(spark, sf):
 
 @query(
     "w05_running_product",
-    f"""WITH {SESSIONS_SQL} SELECT session_id, {fx("exp(sum(ln(1 + hits / 1000.0)) OVER (PARTITION BY visitor, channel ORDER BY session_id))")} AS growth
+    f"""WITH {SESSIONS_SQL} SELECT session_id, {fx("product(1 + hits / 1000.0) OVER (PARTITION BY visitor, channel ORDER BY session_id)")} AS growth
 FROM sessions""",
 )
 def w05_running_product(spark, sf):
