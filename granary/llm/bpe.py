@@ -32,8 +32,9 @@ NONE = np.int64(1) << 40  # rank of a pair that makes no token
 PAD = -1
 #: Cells of a matrix at most; a longer piece is a matrix of its own.
 CELLS = 1 << 19
-#: Stretches a worker remembers; then it starts afresh.
-REMEMBERED = 800_000
+#: Stretches a worker remembers, some 250 bytes each; then it starts afresh. Workers live on after
+#: a stage, so what they remember is there while later stages run.
+REMEMBERED = 200_000
 # A space that cannot lie inside a piece: what follows is no white space, in any sense.
 _CUT, _DOUBT = re.compile(r" (?=[^\s\x1c-\x1f\x85])"), re.compile(r" [\s\x1c-\x1f\x85]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -223,8 +224,8 @@ class Remembering:
     ids in that order one after the other, and the number of ids of each.
     """
 
-    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.learn = learn
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray, np.ndarray]], most: int | None = None):
+        self.learn, self.most = learn, most
         self.forget()
 
     def forget(self) -> None:
@@ -240,7 +241,7 @@ class Remembering:
         self.place.fresh = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.place) > REMEMBERED:
+        if len(self.place) > (self.most or REMEMBERED):
             self.forget()
         try:
             found = [
@@ -312,7 +313,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str =
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = remembering(shared.value, pattern).encoder
         for batch in batches:
-            yield pa.array([None if x is None else encoder.decode(np.asarray(x, np.int64)) for x in batch.to_pylist()], pa.binary())
+            # the ids stay in Arrow's array; as Python numbers they would take ten times the room
+            cuts, flat = batch.offsets.to_numpy().tolist(), batch.values.to_numpy(zero_copy_only=False)
+            present = batch.is_valid().to_pylist()
+            rows = (encoder.decode(flat[a:b]) if p else None for p, a, b in zip(present, cuts, cuts[1:]))
+            yield pa.array(rows, pa.binary())
 
     return df.withColumn(into, run(F.col(ids)))
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import as_bytes, concat, slices
 
-SAMPLE = 3000
+SAMPLE = 2000
 DIMENSIONS = 48
 NEIGHBOURS = 25
 SHARPNESS = 8
@@ -115,7 +115,9 @@ def fit(found: np.ndarray, labels: np.ndarray) -> Model:
     if n == 0:
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     weight = (np.log((1 + n) / (1 + (found > 0).sum(axis=0))) + 1).astype(np.float32)
-    rows = _unit(np.log1p(found) * weight)
+    rows = np.log1p(found)
+    rows *= weight
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
     axes = np.random.default_rng(0).standard_normal((FEATURES, min(DIMENSIONS, n))).astype(np.float32)
     for _ in range(ITERATIONS):  # subspace iteration for the leading right singular vectors
         axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
@@ -139,8 +141,10 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text") -> Model:
 
     got = rows.select("h", "doc_id", "quality", packed(F.col(text)).alias("counts")).limit(2 * SAMPLE).collect()
     got.sort(key=lambda r: (r.h, r.doc_id, r.quality, r["counts"]))
-    found = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(len(got), FEATURES)
-    return fit(found, np.array([r.quality for r in got]))
+    known_labels = np.array([r.quality for r in got])
+    found = np.frombuffer(b"".join(r["counts"] for r in got), np.float32).reshape(len(got), FEATURES)
+    del got
+    return fit(found, known_labels)
 
 
 def score_column(df: DataFrame, model: Model, text: str = "text") -> Column:

@@ -45,6 +45,8 @@ CHUNK_IDS = 256 * BLOCK
 READ_IDS = 1 << 20
 #: How byte-level vocabularies write a space, and how many stretches are encoded as one text.
 SPACE, TOGETHER = "\u0120", 4096
+#: Stretches a worker remembers.
+REMEMBERED = 800_000
 #: Partitions of a reading job at most.
 READERS = 10_000
 #: Texts are encoded in groups of about so many characters.
@@ -83,7 +85,7 @@ def tokenizer(definition: str) -> Remembering:
             return order, np.concatenate([flat, np.fromiter(chain.from_iterable(alone), np.uint32)]), lengths.astype(np.int64)
 
         _WORKER.clear()
-        _WORKER[key] = Remembering(learn)
+        _WORKER[key] = Remembering(learn, REMEMBERED)
     return _WORKER[key]
 
 
