@@ -172,3 +172,10 @@ def _decontamination_sql() -> str:
 @query("op2_template_decontamination", _decontamination_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_any_case_decontamination")
+def op2_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies in any case and edited copies as well, as the pipeline leaves them out."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id").distinct()
