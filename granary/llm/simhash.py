@@ -226,10 +226,11 @@ def near_duplicates(df: DataFrame, text: str = "text", words: int = WORDS, radiu
 
 
 #: For similar texts: FAMILIES fingerprints of FAMILY_BITS bits over pairs of words propose, and the
-#: similarity of five-word shingles, from their SKETCH smallest hashes, decides. Texts of at
-#: most SKETCH different shingles have their exact similarity.
+#: similarity of five-word shingles decides. Their SKETCH smallest hashes only set aside the
+#: pairs that look less than FAR similar, six standard errors below; texts of at most SKETCH
+#: different shingles have their exact similarity from them, others from all shingles.
 FAMILIES, FAMILY_BITS, FAMILY_WORDS = 3, 48, 2
-SHINGLE_WORDS, SIMILAR, SKETCH = 5, 0.8, 256
+SHINGLE_WORDS, SIMILAR, SKETCH, FAR = 5, 0.8, 256, 0.65
 _SIGNATURE = pa.struct([*[(f"f{k}", pa.int64()) for k in range(FAMILIES)], ("sketch", pa.binary())])
 _SIGNATURE_SQL = "struct<" + ",".join([*[f"f{k}:long" for k in range(FAMILIES)], "sketch:binary"]) + ">"
 
@@ -257,6 +258,18 @@ def similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(both, x).astype(int) @ np.isin(both, y)) / len(both) if len(both) else 1.0
 
 
+def exact_similarity(a: bytes, b: bytes) -> float:
+    """Share of common shingles of :func:`all_shingles`; 1 if both are blank."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common / (len(x) + len(y) - common) if len(x) or len(y) else 1.0
+
+
+def all_shingles(text: bytes) -> bytes:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(_shingles(text.lower().split(), SHINGLE_WORDS)).astype("<u8").tobytes()
+
+
 def _candidates(classes: DataFrame) -> DataFrame:
     """(a, b): pairs of ``copy`` that some family proposes; few for each text."""
     found = None
@@ -298,11 +311,33 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
         return pa.array([similarity(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
 
     both = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-    roots = components(both.where(alike("sketch_a", "sketch_b") >= SIMILAR).select("a", "b"))
+    full = (F.octet_length("sketch_a") == 4 * SKETCH) | (F.octet_length("sketch_b") == 4 * SKETCH)
+    judged = durable(both.select("a", "b", full.alias("full"), alike("sketch_a", "sketch_b").alias("share")).where(F.col("share") >= FAR))
+    sure = judged.where(~F.col("full") & (F.col("share") >= SIMILAR)).select("a", "b")
+    roots = components(sure.unionByName(_exactly_similar(documents.select(copy.alias("copy"), spark_text.alias("text")), judged.where("full"))))
     kept = classes.join(roots, classes["copy"] == roots["node"], "left").groupBy(F.coalesce("root", "copy")).agg(F.min("first").alias("first"))
     return _rows_of(documents, copy, kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.copy").alias("kept_copy")))
 
 
+def _exactly_similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b) of the ``pairs`` of ``copy`` whose shingles, all of them, are SIMILAR."""
+
+    @F.arrow_udf("binary")
+    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield concat((pa.array([all_shingles(t) for t in as_bytes(part)], pa.binary()) for part in slices(batch)), pa.binary())
+
+    @F.arrow_udf("double")
+    def exact(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array((exact_similarity(x.as_py(), y.as_py()) for x, y in zip(a, b)), pa.float64())
+
+    wanted = pairs.select(F.col("a").alias("copy")).union(pairs.select("b")).distinct()
+    hashed = texts.join(wanted, "copy", "left_semi").withColumn("shingles", shingles("text"))
+    known = durable(hashed.groupBy("copy").agg(F.min("shingles").alias("shingles")))
+    both = pairs.join(known.toDF("a", "shingles_a"), "a").join(known.toDF("b", "shingles_b"), "b")
+    return both.where(exact("shingles_a", "shingles_b") >= SIMILAR).select("a", "b")
+
+
 def _rows_of(documents: DataFrame, copy: Column, kept: DataFrame) -> DataFrame:
     """One row for each kept key; the rank's limit reaches below the shuffle, so repeats don't travel."""
     names = documents.columns

@@ -84,3 +84,23 @@ def test_odd_rows(spark):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 8]
+
+
+def test_long_texts_are_decided_exactly(spark):
+    draw, rows, want, wrong = random.Random(11), [], [], 0
+    for k in range(60):
+        a = [f"w{draw.randrange(10**6)}" for _ in range(1500)]
+        cut = 334 if k % 2 else 372  # of the end, in one piece: similar by 0.80 or 0.78
+        b = a[: 1500 - cut // 2] + [f"v{draw.randrange(10**6)}" for _ in range(cut // 2 - 2 * (k % 2))]
+        x, y = (" ".join(t).encode() for t in (a, b))
+        exact = simhash.exact_similarity(simhash.all_shingles(x), simhash.all_shingles(y))
+        wrong += (simhash.similarity(simhash.signature(x)["sketch"], simhash.signature(y)["sketch"]) >= 0.8) != (exact >= 0.8)
+        rows += [(2 * k, x.decode()), (2 * k + 1, y.decode())]
+        want.append(exact >= 0.8)
+    assert wrong > 3 and 10 < sum(want) < 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("xxhash64(text) as copy", "text", "doc_id")
+    at = {r.doc_id: r.copy for r in df.collect()}
+    pairs = spark.createDataFrame([(at[2 * k], at[2 * k + 1]) for k in range(60)], "a long, b long")
+    assert {r.a for r in simhash._exactly_similar(df.select("copy", "text"), pairs).collect()} == {at[2 * k] for k in range(60) if want[k]}
+    kept = {r.doc_id for r in simhash.keep_one(df.select("doc_id", "text")).collect()}
+    assert all(2 * k in kept for k in range(60)) and all(2 * k + 1 in kept for k in range(60) if not want[k])
