@@ -2,7 +2,8 @@
 
 Nodes are block-level elements and the runs of inline text between them (leaves). Character
 references are decoded, white space in a run becomes one space, scripts, styles, comments,
-form controls and other elements that show no text of their own are left out.
+form controls and other elements that show no text of their own are left out, up to their end
+or that of an element around them.
 """
 
 from __future__ import annotations
@@ -13,9 +14,14 @@ from html import unescape
 
 # Element names by their role in HTML; fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset(
-    "script style title textarea noscript iframe noembed noframes template svg math select button datalist canvas object audio video".split()
-)
+#: Their content is text up to their own end, or the page's.
+RAW = frozenset("script style title textarea iframe noembed noframes".split())
+#: Open elements like others, whose text is unseen until they or an element around them end.
+UNSEEN = frozenset("noscript template svg math select button datalist canvas object audio video".split())
+#: ``/>`` ends these and what is inside them; a block of HTML inside ends them as well.
+FOREIGN = frozenset(["svg", "math"])
+BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 li menu ol p pre table ul".split())
+CELLS = frozenset("tr td th tbody tfoot".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
     "time tt u var".split()
@@ -39,7 +45,10 @@ _TOKEN = re.compile(
     re.S | re.X,
 )
 _TAIL = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))""", re.I)
+_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))""", re.I)
+#: Of drawn layouts only; no page can have another value read.
+LABEL = "data-granary-label"
+_LABEL = re.compile(rf'{LABEL}="([01])"')
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -57,11 +66,11 @@ class Node:
 def blocks(html: str) -> list[Node]:
     """Nodes in page order; a leaf has tag ``#text``. Node 0 is the page itself."""
     nodes = [Node(-1, 0, "#page")]
-    stack: list[tuple[str, int]] = []  # open elements; -1 for inline ones
+    stack: list[tuple[str, int]] = []  # open elements; -1 for inline ones, -2 for unseen ones, -3 for blocks in them
     opened: dict[str, int] = {}
     run: list[str] = []
     tops = [0]
-    state = {"links": 0, "linked": 0}
+    state = {"links": 0, "linked": 0, "unseen": 0}
 
     def flush() -> None:
         text = " ".join(unescape("".join(run)).split())
@@ -77,12 +86,14 @@ def blocks(html: str) -> list[Node]:
         opened[tag] -= 1
         if node >= 0:
             tops.pop()
+        elif node == -2:
+            state["unseen"] -= 1
         elif tag == "a":
             state["links"] -= 1
         return tag
 
     def say(text: str) -> None:
-        if text:
+        if text and not state["unseen"]:
             run.append(text)
             if state["links"]:
                 state["linked"] += len(text)
@@ -91,6 +102,13 @@ def blocks(html: str) -> list[Node]:
         while pop() != tag:
             pass
 
+    def foreign() -> str | None:
+        """The innermost unseen element, if it is foreign and no HTML is embedded in it."""
+        if state["unseen"] and not opened.get("foreignobject"):
+            inner = next(name for name, node in reversed(stack) if node == -2)
+            return inner if inner in FOREIGN else None
+        return None
+
     def implied(tag: str) -> None:
         """End elements that ``tag`` ends without saying so."""
         if opened.get("p"):
@@ -118,15 +136,27 @@ def blocks(html: str) -> list[Node]:
         at = token.end()
         if name := token["open"]:
             tag = name.lower()
+            ended = token["attributes"].endswith("/")
+            if ended and (tag in FOREIGN or foreign()):
+                continue
+            if tag in BREAKOUT and (inner := foreign()):
+                close_to(inner)
+            elif tag in CELLS and state["unseen"]:
+                implied(tag)
             if tag in VOID:
-                if tag == "hr":
+                if tag == "hr" and not state["unseen"]:
                     flush()
                 elif tag in ("br", "wbr"):
                     run.append(" " if tag == "br" else "")
-            elif tag in UNSEEN:
+            elif tag in RAW:
                 shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = shut.end() if shut else end
                 run.append(" ")
+            elif tag in UNSEEN or (state["unseen"] and tag not in INLINE):
+                run.append(" ")
+                stack.append((tag, -2 if tag in UNSEEN else -3))
+                opened[tag] = opened.get(tag, 0) + 1
+                state["unseen"] += tag in UNSEEN
             elif tag in INLINE:
                 stack.append((tag, -1))
                 opened[tag] = opened.get(tag, 0) + 1
@@ -138,7 +168,7 @@ def blocks(html: str) -> list[Node]:
                 words, label = (), nodes[top].label
                 if token["attributes"]:
                     found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(token["attributes"])}
-                    label = int(found.pop("data-label", label))
+                    label = int(said[1]) if (said := _LABEL.search(token["attributes"])) else label
                     words = tuple(dict.fromkeys(w.lower() for v in found.values() for w in _WORD.findall(v)))
                 nodes.append(Node(top, nodes[top].depth + 1, tag, words, label=label))
                 stack.append((tag, len(nodes) - 1))
@@ -149,7 +179,7 @@ def blocks(html: str) -> list[Node]:
             if tag in HEADINGS:  # any heading's end ends the open one
                 tag = next((h for h in HEADINGS if opened.get(h)), tag)
             if not opened.get(tag):
-                if tag == "p":  # stands for an empty paragraph
+                if tag == "p" and not state["unseen"]:  # stands for an empty paragraph
                     flush()
                 continue
             if tag in INLINE:
@@ -159,10 +189,11 @@ def blocks(html: str) -> list[Node]:
                         opened[tag] -= 1
                         state["links"] -= tag == "a"
                         break
-                    if stack[k][1] >= 0:
+                    if stack[k][1] != -1:
                         break
             else:
-                flush()
+                if next(node for name, node in reversed(stack) if name == tag) >= 0:
+                    flush()
                 close_to(tag)
     flush()
     return nodes

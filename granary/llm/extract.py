@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.dom import blocks
+from granary.llm.dom import LABEL, blocks
 from granary.llm.treemodel import Model, forest, train
 
 SAMPLE = 200
@@ -95,7 +95,7 @@ class Layouts:
             inner = self.draw.choice([self.link(), f"<h1>{self.text(False)}</h1><p>{self.text(False)}</p>", self.text(False)])
         else:
             inner = self.draw.choice([self.text(), self.text(False), f"<p>{self.text()}</p>", f"&copy; x &middot; {self.text()}", f"<h4>{self.text(False)}</h4><p>{self.text()}</p>"])
-        return f'<{tag}{said} data-label="0">{inner}</{tag}>'
+        return f'<{tag}{said} {LABEL}="0">{inner}</{tag}>'
 
     def block(self) -> str:
         which = self.draw.random()
@@ -125,11 +125,11 @@ class Layouts:
         which = draw.random()
         body = "".join([title, *inner])
         if which < 0.45:
-            body = f'<article data-label="1">{body}</article>'
+            body = f'<article {LABEL}="1">{body}</article>'
         elif which < 0.6:
-            body = f'<main data-label="1">{body}</main>'
+            body = f'<main {LABEL}="1">{body}</main>'
         else:
-            body = f'<div{self.attributes(CONTENT) or " class=content"} data-label="1">{body}</div>'
+            body = f'<div{self.attributes(CONTENT) or " class=content"} {LABEL}="1">{body}</div>'
         if draw.random() < 0.3:
             body = draw.choice(["<main>{}</main>", "<div id=page>{}</div>", "<div class=wrapper>{}</div>", "<section>{}</section>"]).format(body)
         before = [self.noise(k) for k in ("header", "menu", "advert", "notice") if draw.random() < 0.55]

@@ -82,3 +82,21 @@ def test_odd_rows(spark, model):
     assert [r.page_id for r in out] == [1, None, 2, 3, 3] and out[0].text == out[1].text == "" and out[3] == out[4]
     assert out[2].n_chars == len(out[2].text) > 100_000
     assert extract.main_text(df.limit(0)).count() == 0
+
+
+def test_unclosed_elements_do_not_swallow_the_page():
+    assert texts('<div><svg viewBox="0 0 1 1"/>icon<p>a</p></div><math/>b') == ["icon", "a", "b"]
+    assert texts("<div><svg><path d='M0'/><title>t</title><p>a</div>b") == ["a", "b"]
+    assert texts("<div><button>Menu</div><article><p>a</article>") == ["a"]
+    for tag in "select object video audio canvas datalist template noscript button".split():
+        assert texts(f"<nav><{tag}><div>no<b>no</nav><p>yes</p>") == ["yes"], tag
+        assert texts(f"<p>x <{tag}>no<div>no</div><p>no</p></{tag}> y</p>") == ["x y"], tag
+    assert texts("<table><tr><td><button>no<td>yes</table>") == ["yes"]
+    assert texts("<p>x <svg><g><text>no</text><path/></g></svg> y") == ["x y"]
+    assert texts("a<textarea><p>no") == ["a"] == texts("a<title>no</p>")
+
+
+def test_labels_of_the_page_itself(model):
+    html = '<article><p>Some text of it.</p><table><tr><td data-label="Price">12 euro</td><td data-granary-label="x">a</td></tr></table></article>'
+    assert [n.label for n in blocks(html)] == [0] * len(blocks(html))
+    assert extract.extract(model, [html])[0].startswith("Some text of it.")
