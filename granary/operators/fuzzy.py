@@ -9,10 +9,11 @@ from granary.functions.distance import edit_distance
 from granary.functions.text import exploded
 
 
-def deletions(word: Column, k: int) -> Column:
+def deletions(word: Column, k: int, whole: bool = False) -> Column:
     """The word and every string left after deleting up to ``k`` of its characters.
 
-    The last character is never deleted, so two one-letter words share nothing.
+    The last character is never deleted, so two one-letter words share nothing, unless ``whole``:
+    then words of at most ``k`` characters leave the empty string as well.
     """
     found = F.array(word)
     level = F.array(word)
@@ -29,24 +30,27 @@ def deletions(word: Column, k: int) -> Column:
             )
         )
         found = F.array_union(found, level)
-    return found
+    return F.when(F.length(word) <= k, F.array_union(found, F.array(F.lit("")))).otherwise(found) if whole else found
 
 
-def fuzzy_candidates(words: DataFrame, word: str, dictionary: DataFrame, entry: str, k: int) -> DataFrame:
+def fuzzy_candidates(words: DataFrame, word: str, dictionary: DataFrame, entry: str, k: int, whole: bool = False) -> DataFrame:
     """Pairs that share a deletion string, among them the pairs within distance ``k``.
 
     Both sides are distinct words. A deletion string is shared by the words that come from
     it by at most ``k`` insertions, a number set by the alphabet and not by the data.
     """
-    left = exploded(words.select(word).distinct(), [word], deletions(F.col(word), k), "_d")
-    right = exploded(dictionary.select(entry).distinct(), [entry], deletions(F.col(entry), k), "_d")
+    left = exploded(words.select(word).distinct(), [word], deletions(F.col(word), k, whole), "_d")
+    right = exploded(dictionary.select(entry).distinct(), [entry], deletions(F.col(entry), k, whole), "_d")
     close = F.abs(F.length(word) - F.length(entry)) <= k
     return left.join(right, "_d").filter(close).select(word, entry).distinct()
 
 
-def fuzzy_pairs(words: DataFrame, word: str, dictionary: DataFrame, entry: str, k: int) -> DataFrame:
-    """Pairs of word and dictionary entry within edit distance ``k``, neighbours' swaps counting one."""
-    pairs = fuzzy_candidates(words, word, dictionary, entry, k)
+def fuzzy_pairs(words: DataFrame, word: str, dictionary: DataFrame, entry: str, k: int, whole: bool = False) -> DataFrame:
+    """Pairs of word and dictionary entry within edit distance ``k``, neighbours' swaps counting one.
+
+    All of them if ``whole``, otherwise without pairs of words that have no common letter left.
+    """
+    pairs = fuzzy_candidates(words, word, dictionary, entry, k, whole)
     return pairs.withColumn("distance", edit_distance(F.col(word), F.col(entry))).filter(F.col("distance") <= k)
 
 

@@ -301,6 +301,26 @@ def j13b_best_suggestion(spark, sf):
     return best.select("word", F.col("term").alias("suggestion"), "distance", "frequency")
 
 
+@query("j13c_fuzzy_pairs_3")
+def j13c_fuzzy_pairs_3(spark, sf):
+    """As j13 with up to three edits, the original operator's distance."""
+    v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
+    q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+").select(F.col("term").alias("word"))
+    pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 3, whole=True)
+    return pairs.join(v, "term").select("word", F.col("term").alias("suggestion"), F.col("n").alias("frequency"), "distance")
+
+
+@query("j13d_best_suggestion_3")
+def j13d_best_suggestion_3(spark, sf):
+    """As j13b with up to three edits."""
+    v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
+    q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+")
+    q = q.select(F.concat(F.substring("term", F.lit(1), F.length("term") - 1), F.lit("x")).alias("word")).distinct()
+    pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 3, whole=True).join(v.withColumnRenamed("n", "frequency"), "term")
+    best = fuzzy.best_suggestions(pairs, "word", "term", "frequency")
+    return best.select("word", F.col("term").alias("suggestion"), "distance", "frequency")
+
+
 @query(
     "j14_flag_split",
     """WITH f AS (SELECT o_custkey, max(CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END) AS big FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1)

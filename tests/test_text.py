@@ -233,3 +233,14 @@ def test_bm25_against_the_formula(spark, docs):
         if s:
             want["q1", i] = pytest.approx(s)
     assert got == want
+
+
+def test_all_pairs_within_three_edits(spark):
+    draw = random.Random(8)
+    words = {"a", "b", "ab", "abc", "xyz", "wxyz"} | {"".join(draw.choice("abcdé") for _ in range(draw.randint(1, 9))) for _ in range(90)}
+    entries = {"".join(draw.sample(w, len(w))) if draw.random() < 0.5 else w[1:] + "ba" for w in words} | {"c", "uvw"}
+    left, right = spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(w,) for w in entries], "term string")
+    grid = [(w, e) for w in words for e in entries]
+    far = distance.edit_distances(*(pd.Series(x) for x in zip(*grid)))
+    got = {(r.word, r.term): r.distance for r in fuzzy.fuzzy_pairs(left, "word", right, "term", 3, whole=True).collect()}
+    assert got == {pair: d for pair, d in zip(grid, far) if d <= 3} and {1, 2, 3} <= set(got.values())
