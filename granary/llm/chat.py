@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.common import exact, longs
 from granary.session import durable
 
 
@@ -77,7 +78,9 @@ def unescape_role(role: str) -> str:
 
 
 def _by_conversation(df: DataFrame, *order: str) -> DataFrame:
-    return df.repartition("conv_id").sortWithinPartitions("conv_id", *order)
+    """Dealt out by conversation; the null conversation is that of key 0 and not known."""
+    keys = ("conv_id_known", "conv_id")
+    return df.select(*exact("conv_id"), *[c for c in df.columns if c != "conv_id"]).repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
 def format_conversations(turns: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -87,8 +90,8 @@ def format_conversations(turns: DataFrame, template: Template = CHATML) -> DataF
         done: list[tuple] = []
         key, number, text, length, segments, state = None, 0, [], 0, [], template.start
         for batch in batches:
-            for conv, role, said in zip(batch["conv_id"], batch["role"], batch["text"]):
-                conv = None if pd.isna(conv) else int(conv)
+            for conv, known, role, said in zip(batch["conv_id"], batch["conv_id_known"], batch["role"], batch["text"]):
+                conv = int(conv) if known else None
                 if text and (conv != key or length >= CHUNK_CHARS):
                     done.append((key, number, "".join(text), segments, state))
                     text, length, segments, number = [], 0, [], number + 1
@@ -114,8 +117,7 @@ def format_conversations(turns: DataFrame, template: Template = CHATML) -> DataF
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["conv_id", "chunk", "formatted", "segments", "state"])
-    out["conv_id"] = out["conv_id"].astype("Int64")
-    return out
+    return out.assign(conv_id=longs(x[0] for x in rows))
 
 
 def turns_of(formatted: str, template: Template = CHATML) -> Iterator[tuple[str, str]]:
@@ -138,8 +140,9 @@ def digest(formatted: DataFrame, template: Template = CHATML) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, done = None, []
         for batch in batches:
-            for conv, text, segments, state in zip(batch["conv_id"], batch["formatted"], batch["segments"], batch["state"]):
-                conv = None if pd.isna(conv) else int(conv)
+            columns = (batch[c] for c in ("conv_id", "conv_id_known", "formatted", "segments", "state"))
+            for conv, known, text, segments, state in zip(*columns):
+                conv = int(conv) if known else None
                 if now is None or now["conv_id"] != conv:
                     if now:
                         done.append(_closed(now))
@@ -169,9 +172,7 @@ def _closed(x: dict) -> tuple:
 
 def _rows(done: list[tuple]) -> pd.DataFrame:
     names = [x.split()[0] for x in DIGEST.split(", ")]
-    out = pd.DataFrame(done, columns=names)
-    out["conv_id"] = out["conv_id"].astype("Int64")
-    return out
+    return pd.DataFrame(done, columns=names).assign(conv_id=longs(x[0] for x in done))
 
 
 def round_trip(turns: DataFrame, template: Template = CHATML) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,26 @@ def folder_uri(spark: SparkSession, label: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
+def exact(key: str) -> list[Column]:
+    """A long column for pandas batches: ``key`` with 0 for null, and ``key_known``.
+
+    A long column with a null would reach pandas as floats, which round what is above 2**53.
+    """
+    return [F.coalesce(F.col(key), F.lit(0)).alias(key), F.col(key).isNotNull().alias(f"{key}_known")]
+
+
+def longs(values: Iterable[int | None]) -> pd.api.extensions.ExtensionArray:
+    """Whole numbers and None as a column that keeps them as they are."""
+    return pd.array(np.array([*values, None], object)[:-1], dtype="Int64")
+
+
+def known_longs(batch: pd.DataFrame, key: str) -> pd.api.extensions.ExtensionArray:
+    """The column of :func:`exact`, with its nulls."""
+    out = pd.array(batch[key].to_numpy(np.int64), dtype="Int64")
+    out[~batch[f"{key}_known"].to_numpy(bool)] = pd.NA
+    return out
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.common import exact, known_longs
 from granary.llm.dom import LABEL, blocks
 from granary.llm.treemodel import Model, forest, train
 
@@ -193,8 +194,8 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
         for batch in batches:
             found = extract(shared.value, batch["html"].tolist())
             yield pd.DataFrame(
-                {"page_id": batch["page_id"], "url": batch["url"], "text": found, "n_chars": np.fromiter(map(len, found), np.int64, len(found))}
+                {"page_id": known_longs(batch, "page_id"), "url": batch["url"], "text": found, "n_chars": np.fromiter(map(len, found), np.int64, len(found))}
             )
 
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = pages.select(*exact("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     return rows.mapInPandas(texts, "page_id long, url string, text string, n_chars long")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from granary.llm import simple8b
 from granary.llm.bpe import Remembering, spelled
-from granary.llm.common import folder_uri
+from granary.llm.common import exact, folder_uri, longs
 from granary.llm.simple8b import BLOCK
 from granary.session import durable
 
@@ -148,11 +148,13 @@ def write(documents: DataFrame, folder: str, tokenizer_path: str, text: str = "t
         for batch in batches:
             lengths = batch["text"].str.len().cumsum() // GROUP_CHARS
             for _, group in batch.groupby(lengths, sort=False):
-                for doc, h, ids in zip(group["doc_id"], group["h"], coder.encode(group["text"].tolist())):
+                columns = (group[c] for c in ("doc_id", "doc_id_known", "h"))
+                for doc, known, h, ids in zip(*columns, coder.encode(group["text"].tolist())):
+                    doc = int(doc) if known else None
                     if out is None:
                         path = f"{at}/{uuid.uuid4().hex}.s8b"
-                        out, first = FileWriter(store.open_output_stream(path)), (None if pd.isna(doc) else int(doc), int(h))
-                    out.add(None if pd.isna(doc) else int(doc), np.append(ids, np.uint32(END_ID)))
+                        out, first = FileWriter(store.open_output_stream(path)), (doc, int(h))
+                    out.add(doc, np.append(ids, np.uint32(END_ID)))
                     if out.tokens >= FILE_IDS:
                         yield _listed(out, path, first, part)
                         out, part = None, part + 1
@@ -162,7 +164,7 @@ def write(documents: DataFrame, folder: str, tokenizer_path: str, text: str = "t
     rows = documents.select("doc_id", F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     dealt = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    return durable(dealt.mapInPandas(files, FILES))
+    return durable(dealt.select(*exact("doc_id"), "text", "h").mapInPandas(files, FILES))
 
 
 def _listed(out: FileWriter, path: str, first: tuple, part: int) -> pd.DataFrame:
@@ -170,8 +172,7 @@ def _listed(out: FileWriter, path: str, first: tuple, part: int) -> pd.DataFrame
     found = pd.DataFrame(
         {"path": [path], "documents": [len(out.ids)], "tokens": [out.tokens], "first_id": [first[0]], "first_hash": [first[1]], "part": [part]}
     )
-    found["first_id"] = found["first_id"].astype("Int64")
-    return found
+    return found.assign(first_id=longs([first[0]]))
 
 
 class FileReader:

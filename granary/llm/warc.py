@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import folder_uri
+from granary.llm.common import folder_uri, longs
 from granary.llm.zipfiles import Writer, data_offset, directory
 from granary.session import durable
 
@@ -59,14 +59,14 @@ def planned(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     )
 
 
-def _id(page) -> str:
-    return "<urn:page:null>" if pd.isna(page) else f"<urn:page:{int(page)}>"
+def _id(page: str | None) -> str:
+    return f"<urn:page:{'null' if page is None else page}>"
 
 
-def record(page, url, payload: bytes, digest: str, refers_to) -> bytes:
-    """The bytes of a response, or of a revisit, which keeps the HTTP header and its length."""
+def record(page: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
+    """The bytes of a response, or of a revisit, which keeps the HTTP header and its length; ids in decimal."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    revisit = not pd.isna(refers_to)
+    revisit = refers_to is not None
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -155,7 +155,9 @@ def write(pages: DataFrame, folder: str, least: int = LEAST_PAYLOAD) -> DataFram
         for name, size, rows in _packages(folder, batches):
             yield pd.DataFrame({"package": [name], "bytes": [size], "records": [rows]})
 
-    return durable(planned(pages, least).mapInPandas(packages, "package string, bytes long, records long"))
+    # ids as text: a long column with nulls would reach pandas as floats
+    spelled = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    return durable(planned(pages, least).withColumns(spelled).mapInPandas(packages, "package string, bytes long, records long"))
 
 
 def _reader(folder: str, package: str):
@@ -199,10 +201,8 @@ def read(packages: DataFrame, folder: str) -> DataFrame:
                     for n in lengths:
                         found.append(parse(gzip.decompress(file.read_at(int(n), at))))
                         at += int(n)
-                out = pd.DataFrame(found)
-                for column in ("page_id", "refers_to"):
-                    out[column] = out[column].astype("Int64")
-                yield out
+                ids = {c: longs(x[c] for x in found) for c in ("page_id", "refers_to")}
+                yield pd.DataFrame(found).assign(**ids)
 
     size = packages.agg(F.sum("bytes")).first()[0] or 0
     parts = min(READERS, max(1, -(-size // READ_BYTES)))

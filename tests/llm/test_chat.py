@@ -45,3 +45,12 @@ def test_long_conversations_are_chunked(spark, monkeypatch):
     chunks = chat.format_conversations(df)
     assert chat.digest(chunks).collect() == whole and whole[0].n_turns == 40
     assert whole[0].formatted_chars == sum(len(CHATML.open + r + CHATML.middle + t + CHATML.close) for _, _, r, t in rows)
+
+
+def test_ids_beyond_doubles_beside_a_null(spark):
+    rows = [(2**60 + 1, 0, "user", "a"), (2**60 + 2, 0, "user", "b"), (2**60 + 2, 1, "assistant", "c"), (None, 0, "user", "d"), (0, 0, "user", "e")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256) for r in chat.round_trip(df).collect()}
+    assert got == {
+        2**60 + 1: (1, sha("user\na\n")), 2**60 + 2: (2, sha("user\nb\nassistant\nc\n")), None: (1, sha("user\nd\n")), 0: (1, sha("user\ne\n")),
+    }

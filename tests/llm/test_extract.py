@@ -100,3 +100,8 @@ def test_labels_of_the_page_itself(model):
     html = '<article><p>Some text of it.</p><table><tr><td data-label="Price">12 euro</td><td data-granary-label="x">a</td></tr></table></article>'
     assert [n.label for n in blocks(html)] == [0] * len(blocks(html))
     assert extract.extract(model, [html])[0].startswith("Some text of it.")
+
+
+def test_ids_beyond_doubles_beside_a_null(spark, model):
+    df = spark.createDataFrame([(2**60 + 1, "u", "a"), (None, "v", "b"), (2**60 + 2, "w", "c")], "page_id long, url string, html string").coalesce(1)
+    assert [r.page_id for r in extract.main_text(df, model).collect()] == [2**60 + 1, None, 2**60 + 2]

@@ -61,3 +61,9 @@ def test_corpus_order_and_odd_rows(spark, monkeypatch):
     assert [r.doc_id for r in got] == [None, -4, 1, 2, 2, 3, 5, 9]
     assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
     assert tokenfiles.round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_ids_beyond_doubles_beside_a_null(spark):
+    df = spark.createDataFrame([(2**60 + 1, "a"), (2**60 + 2, "b"), (None, "c"), (-(2**60) - 1, "d")], "doc_id long, text string").coalesce(1)
+    got = sorted(tokenfiles.round_trip(df, PATH).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, -(2**60) - 1, 2**60 + 1, 2**60 + 2]

@@ -75,3 +75,14 @@ def test_a_package_is_read_by_ranges(spark):
     assert row.records == 200 and fs.FileSystem.from_uri(folder)[0].get_file_info(row.package).size == row.bytes
     assert warc.ranges(made, folder).count() == -(-200 // warc.RUN)
     assert sorted(r.payload_bytes for r in warc.read(made, folder).collect()) == [2000 + i for i in range(200)]
+
+
+def test_ids_beyond_doubles_beside_a_null(spark):
+    long = "z" * 1200
+    rows = [(2**60 + 1, "a", long), (2**60 + 3, "b", long), (None, "c", "short"), (2**60 + 2, "d", long), (None, "e", long)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.url: (r.page_id, r.record_type, r.refers_to) for r in warc.round_trip(spark, df).collect()}
+    assert got == {
+        "a": (2**60 + 1, "revisit", 2**60 + 3), "b": (2**60 + 3, "response", None), "c": (None, "response", None),
+        "d": (2**60 + 2, "revisit", 2**60 + 3), "e": (None, "revisit", 2**60 + 3),
+    }
