@@ -16,6 +16,8 @@ through, and a column of an output's name is replaced.
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -32,11 +34,11 @@ NONE = np.int64(1) << 40  # rank of a pair that makes no token
 PAD = -1
 #: Cells of a matrix at most; a longer piece is a matrix of its own.
 CELLS = 1 << 19
-#: Stretches a worker remembers, some 250 bytes each; then it starts afresh. Workers live on after
-#: a stage, so what they remember is there while later stages run.
-REMEMBERED = 200_000
+#: Stretches a task remembers, some 250 bytes each; then it starts afresh.
+REMEMBERED = 400_000
 # A space that cannot lie inside a piece: what follows is no white space, in any sense.
 _CUT, _DOUBT = re.compile(r" (?=[^\s\x1c-\x1f\x85])"), re.compile(r" [\s\x1c-\x1f\x85]")
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -270,16 +272,12 @@ class Coder:
         self.encode = Remembering(self.encoder.stretches).encode
 
 
-_WORKER: dict[bytes, Coder] = {}
-
-
-def remembering(rank_file: bytes, pattern: str) -> Coder:
-    """The encoder of this worker process; tables and memory outlive a task."""
-    key = hashlib.sha256(rank_file + pattern.encode()).digest()
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Coder(rank_file, pattern)
-    return _WORKER[key]
+def released() -> None:
+    """Hand the memory of what a task has dropped back to the system: its worker lives on through later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def _columns(spark: SparkSession, path: str, pattern: str, kind: pa.DataType, sql: str, of) -> Column:
@@ -288,22 +286,42 @@ def _columns(spark: SparkSession, path: str, pattern: str, kind: pa.DataType, sq
 
     @F.arrow_udf(sql)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = remembering(shared.value, pattern)
-        for batch in batches:
-            yield concat(
-                (pa.array([of(coder.encoder, ids) for ids in coder.encode([t or "" for t in part.to_pylist()])], kind) for part in slices(batch)),
-                kind,
-            )
+        coder = Coder(shared.value, pattern)
+
+        def made(part: pa.Array) -> pa.Array:
+            texts = [t or "" for t in part.to_pylist()]
+            return pa.array([of(coder.encoder, text, ids) for text, ids in zip(texts, coder.encode(texts))], kind)
+
+        try:
+            for batch in batches:
+                yield concat(map(made, slices(batch)), kind)
+        finally:  # the worker process lives on; what this task remembers doesn't
+            del coder
+            released()
 
     return run
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text``, as ``array<int>``."""
-    run = _columns(df.sparkSession, path, pattern, pa.list_(pa.int32()), "array<int>", lambda _, ids: ids.astype(np.int32))
+    run = _columns(df.sparkSession, path, pattern, pa.list_(pa.int32()), "array<int>", lambda _, text, ids: ids.astype(np.int32))
     return df.withColumn(into, run(F.col(text)))
 
 
+_VERIFIED = pa.struct([("ids", pa.list_(pa.int32())), ("decodes", pa.bool_())])
+
+
+def encode_and_verify(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``df`` with the token ids of ``text``, and whether they decode to it, in one pass of one worker."""
+
+    def both(encoder: Encoder, said: str, ids: np.ndarray) -> dict:
+        return {"ids": ids.astype(np.int32), "decodes": encoder.decode(ids) == said.encode()}
+
+    run = _columns(df.sparkSession, path, pattern, _VERIFIED, "struct<ids:array<int>,decodes:boolean>", both)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("ids", "decodes")]
+    return df.select(*kept, run(F.col(text)).alias("ids")).select(*kept, "ids.ids", "ids.decodes")
+
+
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with the bytes that the ids stand for, as binary; null ids stay null."""
     with open(path, "rb") as file:
@@ -311,7 +329,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str =
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = remembering(shared.value, pattern).encoder
+        encoder = Encoder(shared.value, pattern)
         for batch in batches:
             # the ids stay in Arrow's array; as Python numbers they would take ten times the room
             cuts, flat = batch.offsets.to_numpy().tolist(), batch.values.to_numpy(zero_copy_only=False)
@@ -325,7 +343,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str =
 _DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _digest(encoder: Encoder, ids: np.ndarray) -> dict:
+def _digest(encoder: Encoder, text: str, ids: np.ndarray) -> dict:
     return {
         "n_tokens": len(ids),
         "ids_sha256": hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(),

@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
-A text becomes hashed counts of its byte pairs and of triples of character kinds, and counts of
-words that repeat close by, with term weights, reduced by a truncated singular value decomposition to
-a latent-semantic vector of unit length. Decomposition, weights and the labelled vectors come
+A text becomes hashed counts of its words and word pairs, of its byte pairs and of triples of
+character kinds, and counts of words that repeat close by, with term weights, reduced by a
+truncated singular value decomposition to a latent-semantic vector of unit length. Decomposition, weights and the labelled vectors come
 from a bounded sample of labelled rows (SAMPLE rows by a hash of the doc_id) and are
 broadcast; every document is then scored where it lies, by exact cosine products with all
 labelled vectors in blocks, and the labels of its nearest neighbours vote with weights that
@@ -12,7 +12,7 @@ Labels, language, source and doc_id are no inputs of a score. Results: a null, e
 otherwise featureless text, and any text when nothing is labelled, gets the prior (share of
 good labels, 0.5 without labels); equal texts get equal scores; labels other than 0 and 1 and
 null ones are left out; of rows that repeat a labelled doc_id each one counts, up to twice the
-sample in all; a null doc_id is not held out.
+sample in all, in the order of the sample and then of the texts' hashes; a null doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,18 @@ SAMPLE = 2000
 DIMENSIONS = 48
 NEIGHBOURS = 25
 SHARPNESS = 8
-BLOCK = 512
+BLOCK = 128
 ITERATIONS = 8
-FEATURES = 4096
+#: Cells of byte pairs, of triples of kinds (the last of them of repeats), and of words and word pairs.
+PAIRS, TRIPLES, TERMS = 2048, 2048, 2048
+FEATURES = PAIRS + TRIPLES + TERMS
 #: Repeats at these distances count if they are so large a share of the words, in so many features.
 LAGS, OFTEN, WEIGHT = (1, 2, 3), 0.1, 64
 _HASH = np.uint32(2654435761)
 
 
 def _classes() -> np.ndarray:
-    """Bytes as they are, but letters by case and vowel, and digits and bytes beyond ASCII as one."""
+    """Bytes as they are, but digits as one, and bytes beyond ASCII as one."""
     out = np.arange(256, dtype=np.uint32)
     for b in range(256):
         c = chr(b)
@@ -56,21 +59,26 @@ _CLASS = _classes()
 
 
 def counts(text: bytes) -> np.ndarray:
-    """Hashed counts of the text's byte pairs and of its triples of kinds, and counts of repeats."""
+    """Hashed counts of the text's byte pairs, triples of kinds, words and word pairs, and counts of repeats."""
     raw = np.frombuffer(text, np.uint8)
     out = np.zeros(FEATURES, np.float32)
     if len(raw) == 0:
         return out
     kind = _CLASS[raw]
     pair = (kind[:-1] << np.uint32(8)) | kind[1:]
-    out += np.bincount(((pair * _HASH) >> np.uint32(21)).astype(np.int64), minlength=FEATURES)
+    out[:PAIRS] = np.bincount(((pair * _HASH) >> np.uint32(21)).astype(np.int64), minlength=PAIRS)
     shape = np.where((kind >= 97) & (kind <= 122), 1, np.where((kind >= 65) & (kind <= 90), 2, np.where(kind == 1, 3, kind)))
     triple = (shape[:-2] << np.int64(14)) ^ (shape[1:-1] << np.int64(7)) ^ shape[2:]
-    out += np.bincount((((triple.astype(np.uint32) + np.uint32(1 << 25)) * _HASH) >> np.uint32(21)).astype(np.int64) + 2048, minlength=FEATURES)
+    mixed = ((triple.astype(np.uint32) + np.uint32(1 << 25)) * _HASH) >> np.uint32(21)
+    out[PAIRS : PAIRS + TRIPLES] = np.bincount(mixed.astype(np.int64), minlength=TRIPLES)
     words = text.split()
     for lag in LAGS:  # words that stand again ``lag`` words on
         again = sum(map(eq, words, words[lag:]))
-        out[FEATURES - WEIGHT * lag : FEATURES - WEIGHT * (lag - 1)] = again if again > OFTEN * len(words) else 0
+        end = PAIRS + TRIPLES - WEIGHT * (lag - 1)
+        out[end - WEIGHT : end] = again if again > OFTEN * len(words) else 0
+    one = np.fromiter(map(crc32, text.lower().split()), np.uint32, len(words))
+    two = (one[:-1] * np.uint32(31)) ^ one[1:]
+    out[PAIRS + TRIPLES :] = np.bincount((np.concatenate([one, two]) * _HASH) >> np.uint32(21), minlength=TERMS)
     return out
 
 
@@ -139,8 +147,10 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text") -> Model:
         for batch in batches:
             yield pa.array([counts(t).tobytes() for t in as_bytes(batch)], pa.binary())
 
-    got = rows.select("h", "doc_id", "quality", packed(F.col(text)).alias("counts")).limit(2 * SAMPLE).collect()
-    got.sort(key=lambda r: (r.h, r.doc_id, r.quality, r["counts"]))
+    order = ("h", "doc_id", "quality", "t")
+    kept = rows.select(*order[:3], F.xxhash64(text).alias("t"), text).orderBy(*order).limit(2 * SAMPLE)
+    got = kept.select(*order, packed(F.col(text)).alias("counts")).collect()
+    got.sort(key=lambda r: tuple(r[c] for c in order))
     known_labels = np.array([r.quality for r in got])
     found = np.frombuffer(b"".join(r["counts"] for r in got), np.float32).reshape(len(got), FEATURES)
     del got

@@ -60,3 +60,6 @@ def test_odd_rows(spark, known):
     ids = bpe.encode(df, PATH, PATTERN)
     assert [bytes(r.decoded).decode() for r in bpe.decode(ids, PATH, PATTERN).collect()] == [t or "" for _, t in rows]
     assert bpe.round_trip(df.limit(0), PATH, PATTERN).count() == 0
+    both = bpe.encode_and_verify(df, PATH, PATTERN)
+    assert both.columns == ["doc_id", "text", "d", "ids", "decodes"] and all(r.decodes for r in both.collect())
+    assert [r.ids for r in both.collect()] == [r.ids for r in ids.collect()]
