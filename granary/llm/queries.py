@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfiles, vectors, warc
+from granary.llm import bpe, chat, decontaminate, extract, mining, ordermin, quality, secrets, simhash, tokenfiles, trie, vectors, warc
 from granary.llm.common import table
 from granary.plans.registry import Query
 
@@ -179,3 +179,54 @@ def op2_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies in any case and edited copies as well, as the pipeline leaves them out."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id").distinct()
+
+
+#: DuckDB has no CRC-32: one shift for each bit of each character's code.
+_CRC_SQL = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295)"""
+
+
+@query("op13_prefix_trie", f"""
+    WITH s AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(text, '') AS x,
+                      substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS k FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT c, k, length(x) AS n, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i FROM s),
+    v AS (SELECT c, {_CRC_SQL} % {trie.REPLACED} AS h FROM (SELECT DISTINCT c FROM t)),
+    b AS (SELECT v.c, t.i AS d, t.k, t.n FROM v JOIN t ON t.c = v.c - v.c % {trie.BLOCK} AND t.i <= v.h),
+    g AS (SELECT v.c, v.h, count(b.c) AS p FROM v LEFT JOIN b ON b.c = v.c GROUP BY ALL),
+    r AS (SELECT * FROM b UNION ALL SELECT t.c, g.p + t.i - g.h, t.k, t.n FROM t JOIN g ON g.c = t.c WHERE t.i > g.h),
+    m AS (SELECT c, d, n, list(k) OVER (PARTITION BY c ORDER BY d) AS p FROM r UNION ALL SELECT c, 0, 0, CAST([] AS VARCHAR[]) FROM v),
+    o AS (SELECT p, d, min(c) AS c, count(*) AS members, any_value(n) AS n FROM m GROUP BY p, d),
+    l AS (SELECT c, max(d) AS d FROM m GROUP BY c),
+    e AS (SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS h FROM m JOIN l USING (c, d) GROUP BY p),
+    k AS (SELECT p[1:d - 1] AS p, count(*) AS children FROM o WHERE d > 0 GROUP BY 1),
+    w AS (SELECT o.p[1:a] AS p, (members - 1) * n AS saved, CAST(k.p IS NULL AS INT) AS leaf
+          FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM o) o LEFT JOIN k USING (p)),
+    u AS (SELECT p, sum(leaf) AS leaves, sum(saved) AS saved FROM w GROUP BY p)
+    SELECT o.c AS conv_id, CAST(o.d AS BIGINT) AS depth, above.c AS parent_conv_id, CAST(o.members AS BIGINT) AS n_convs,
+           coalesce(children, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(e.h, sha256('')) AS ends_sha256
+    FROM o JOIN u USING (p) LEFT JOIN k USING (p) LEFT JOIN e USING (p) LEFT JOIN o above ON o.d > 0 AND above.p = o.p[1:o.d - 1]""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_order_minhash")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+                 CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
