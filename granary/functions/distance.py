@@ -23,23 +23,22 @@ def edit_distances(left: pd.Series, right: pd.Series) -> np.ndarray:
         return np.zeros(0, dtype=np.int32)
     la, lb = left.str.len().to_numpy(), right.str.len().to_numpy()
     wa, wb = int(la.max()), int(lb.max())
-    a, b = _codes(left, wa), _codes(right, wb)
+    # a row for each place and a column for each pair, so that a step reads and writes whole rows
+    a, b = np.ascontiguousarray(_codes(left, wa).T), np.ascontiguousarray(_codes(right, wb).T)
     result = np.where(la == 0, lb, 0).astype(np.int32)
-    rows_at = np.arange(n)
     two_back = None
-    previous = np.tile(np.arange(wb + 1, dtype=np.int32), (n, 1))
+    previous = np.repeat(np.arange(wb + 1, dtype=np.int32)[:, None], n, axis=1)
     for i in range(1, wa + 1):
         current = np.empty_like(previous)
-        current[:, 0] = i
+        current[0] = i
         for j in range(1, wb + 1):
-            change = previous[:, j - 1] + (a[:, i - 1] != b[:, j - 1])
-            best = np.minimum(np.minimum(previous[:, j] + 1, current[:, j - 1] + 1), change)
+            best = np.minimum(np.minimum(previous[j], current[j - 1]) + 1, previous[j - 1] + (a[i - 1] != b[j - 1]))
             if i > 1 and j > 1:
-                swap = (a[:, i - 1] == b[:, j - 2]) & (a[:, i - 2] == b[:, j - 1])
-                best = np.where(swap, np.minimum(best, two_back[:, j - 2] + 1), best)
-            current[:, j] = best
-        done = la == i
-        result[done] = current[rows_at[done], lb[done]]
+                swap = (a[i - 1] == b[j - 2]) & (a[i - 2] == b[j - 1])
+                best = np.where(swap, np.minimum(best, two_back[j - 2] + 1), best)
+            current[j] = best
+        done = np.flatnonzero(la == i)
+        result[done] = current[lb[done], done]
         two_back, previous = previous, current
     return result
 

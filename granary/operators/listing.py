@@ -35,17 +35,33 @@ def blocks() -> dict[str, Column]:
     }
 
 
-def with_features(df: DataFrame) -> DataFrame:
+def all_blocks() -> dict[str, Column]:
+    """The blocks of :func:`blocks`, both lower category levels with the condition, and the description's n-grams.
+
+    Expects the word array ``_said`` of the description as well.
+    """
+    _, sub, leaf = path_levels(F.col("category"))
+    condition, said = F.col("condition").cast("string"), F.col("_said")
+    return blocks() | {
+        "sub_condition": F.array(F.concat_ws("_", sub, condition)),
+        "leaf_condition": F.array(F.concat_ws("_", leaf, condition)),
+        "description": F.concat(said, ngrams(said, 2), ngrams(said, 3)),
+    }
+
+
+def with_features(df: DataFrame, of=blocks) -> DataFrame:
     """Add the array ``features`` of ``block=value`` texts of all blocks side by side."""
-    words = F.filter(F.split("name", " "), lambda w: ~w.isin(*LISTING_STOP_WORDS))
-    staged = df.withColumn("_words", words)
-    parts = [_named(name, values) for name, values in blocks().items()]
-    return staged.withColumn("features", F.concat(*parts)).drop("_words")
+    plain = lambda text: F.filter(F.split(text, " "), lambda w: ~w.isin(*LISTING_STOP_WORDS))
+    staged = df.withColumn("_words", plain("name"))
+    if of is all_blocks:
+        staged = staged.withColumn("_said", F.filter(plain("description"), lambda w: w != ""))
+    parts = [_named(name, values) for name, values in of().items()]
+    return staged.withColumn("features", F.concat(*parts)).drop("_words", "_said")
 
 
-def feature_table(df: DataFrame, item: str, min_df: int = 2) -> DataFrame:
+def feature_table(df: DataFrame, item: str, min_df: int = 2, of=blocks) -> DataFrame:
     """(item, feature, count) rows of features seen in at least ``min_df`` items."""
-    long = exploded(with_features(df), [item], F.col("features"), "feature")
+    long = exploded(with_features(df, of), [item], F.col("features"), "feature")
     counts = long.groupBy(item, "feature").agg(F.count(F.lit(1)).alias("n"))
     kept = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df).select("feature")
     return counts.join(kept, "feature", "left_semi")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
-
 import random
+from collections.abc import Sequence
+from math import comb
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.numeric import arithmetic_hash
-from granary.operators.encode import levels_of
 from granary.operators.skew import number_rows
+from granary.session import durable
 
 _SCALE = 1_000_000
 
@@ -85,11 +86,33 @@ def leave_one_out(df: DataFrame, key: str) -> DataFrame:
 
 
 def leave_p_out(df: DataFrame, key: str, p: int) -> DataFrame:
-    """Every choice of ``p`` left-out keys; the output is an enumeration of choices by definition."""
-    keys = levels_of(df, key)
-    rows = [(i, k) for i, chosen in enumerate(combinations(keys, p)) for k in chosen]
-    field = df.schema[key]
-    return df.sparkSession.createDataFrame(rows, f"split INT, test_key {field.dataType.simpleString()}")
+    """Every choice of ``p`` left-out keys, numbered from 0 in the order of the sorted keys.
+
+    The choices are not listed anywhere: a split's number is turned into its places in the
+    tasks, by counting the choices before it, and the places are joined with the numbered keys.
+    """
+    numbered = number_rows(df.select(key).where(F.col(key).isNotNull()).distinct(), [key], "_no").select(F.col(key).alias("test_key"), (F.col("_no") - 1).alias("_place"))
+    numbered = durable(numbered)
+    n = numbered.count()
+    total = comb(n, p)
+    if total >= 1 << 63:
+        raise ValueError(f"{total} choices have no number of 64 bits")
+    # choices of q places among those from i on, for every i
+    below = [np.array([comb(n - i, q) for i in range(n + 1)], np.int64) for q in range(p + 1)]
+
+    @F.pandas_udf("array<long>")
+    def places(numbers: pd.Series) -> pd.Series:
+        rest, at, out = numbers.to_numpy(np.int64).copy(), np.zeros(len(numbers), np.int64), []
+        for q in range(p, 0, -1):
+            # the last place whose earlier alternatives are at most ``rest``
+            found = np.searchsorted(-below[q], rest - below[q][at], side="right") - 1
+            rest -= below[q][at] - below[q][found]
+            out.append(found)
+            at = found + 1
+        return pd.Series(list(np.stack(out, axis=1)))
+
+    chosen = df.sparkSession.range(total).select(F.col("id").alias("split"), F.explode(places("id")).alias("_place"))
+    return chosen.join(numbered, "_place").select("split", "test_key")
 
 
 def expanding_splits(df: DataFrame, order: str, k: int) -> DataFrame:

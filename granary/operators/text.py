@@ -216,30 +216,71 @@ def bm25(
     k1: float = 1.2,
     b: float = 0.75,
 ) -> DataFrame:
-    """The best documents for each question of a batch.
-
-    Only postings of words that some question uses are kept; the join has no hint, so the
-    question words are broadcast when their measured size allows.
+    """The best documents for each question of a batch, over a block-max index.
+
+    Documents of similar words are neighbours in blocks of BLOCK, and each block knows the
+    largest contribution of each of its terms. A question's ``top``-th score is at least the
+    ``top``-th contribution of any of its terms, and at least the ``top``-th score in its FIRST
+    most promising blocks; of the other blocks only those are scored whose bound, the sum of
+    the largest contributions, reaches that. The result is exact.
+    Postings of words that no question uses are left out from the start.
     """
-    staged = documents.select(id_col, words.alias("_w")).withColumn("_len", F.size("_w"))
-    corpus = staged.agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean")).first()
-    total, mean_length = corpus["n"], corpus["mean"]
-    asked = term_counts(questions, question_id, question_words).withColumnRenamed("tf", "_qtf")
-    used = asked.select("term").distinct()
-    # terms are counted inside the row, so postings move and texts don't; written once, used twice
-    counts = term_counts(staged.select(F.struct(id_col, "_len").alias("_d"), "_w"), "_d", F.col("_w"))
-    postings = durable(counts.join(used, "term", "left_semi").withColumnRenamed("tf", "_tf"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    weighted = asked.join(df, "term").select(
-        question_id, "term", (F.col("_qtf") * F.ln(1 + (total - F.col("_df") + 0.5) / (F.col("_df") + 0.5))).alias("_idf")
-    )
-    saturation = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_d._len") / mean_length))
-    scored = (
-        postings.withColumn("_sat", saturation)
-        .join(weighted, "term")
-        .groupBy(question_id, "_d")
-        .agg(F.sum(F.col("_idf") * F.col("_sat")).alias("score"))
-        .select(question_id, F.col(f"_d.{id_col}").alias(id_col), "score")
-    )
+    index = BlockMaxIndex(documents, id_col, words, questions, question_id, question_words, k1, b)
+    scored = index.scored(top)
     w = Window.partitionBy(question_id).orderBy(F.round("score", 9).desc(), id_col)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
+#: Documents of a block, and blocks that every question scores.
+BLOCK, FIRST = 32, 4
+
+
+class BlockMaxIndex:
+    """Postings (block, term, document, contribution) and block maxima, for the terms of the questions."""
+
+    def __init__(self, documents: DataFrame, id_col: str, words: Column, questions: DataFrame, question_id: str, question_words: Column, k1: float, b: float):
+        self.id_col, self.question_id = id_col, question_id
+        asked = term_counts(questions, question_id, question_words).withColumnRenamed("tf", "_qtf")
+        used = asked.select("term").distinct()
+        # the smallest hash of a document's words is shared by documents of similar words
+        like = F.array_min(F.transform("_w", lambda x: F.xxhash64(x)))
+        staged = documents.select(id_col, words.alias("_w")).withColumn("_len", F.size("_w")).withColumn("_like", like)
+        corpus = staged.agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean")).first()
+        total, mean_length = corpus["n"], corpus["mean"]
+        numbered = number_rows(staged.select(id_col, "_like"), ["_like", id_col], "_no")
+        places = numbered.select(id_col, F.floor((F.col("_no") - 1) / BLOCK).alias("_block"))
+        # terms are counted inside the row, so postings move and texts don't
+        counts = term_counts(staged.select(F.struct(id_col, "_len").alias("_d"), "_w"), "_d", F.col("_w")).join(used, "term", "left_semi")
+        saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_d._len") / mean_length))
+        flat = counts.select(F.col(f"_d.{id_col}").alias(id_col), "term", saturation.alias("_sat"))
+        self.postings = durable(flat.join(places, id_col))
+        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+        self.weights = durable(asked.join(df, "term").select(
+            question_id, "term", (F.col("_qtf") * F.ln(1 + (total - F.col("_df") + 0.5) / (F.col("_df") + 0.5))).alias("_idf")
+        ))
+        self.maxima = self.postings.groupBy("_block", "term").agg(F.max("_sat").alias("_most"))
+
+    def _of(self, blocks: DataFrame) -> DataFrame:
+        """Scores of all documents of the (question, block) rows that share a word with the question."""
+        wanted = blocks.select(self.question_id, "_block").join(self.weights, self.question_id)
+        met = wanted.join(self.postings, ["_block", "term"])
+        return met.groupBy(self.question_id, self.id_col).agg(F.sum(F.col("_idf") * F.col("_sat")).alias("score"))
+
+    def scored(self, top: int) -> DataFrame:
+        """(question, document, score): every document that can be among the question's best, and some more."""
+        q = self.question_id
+        bounds = self.weights.join(self.maxima, "term").groupBy(q, "_block").agg(F.sum(F.col("_idf") * F.col("_most")).alias("_bound"))
+        order = Window.partitionBy(q).orderBy(F.col("_bound").desc(), "_block")
+        ranked = durable(bounds.withColumn("_rank", F.row_number().over(order)))
+        # the ranks' limits reach below the shuffle: a task hands on ``top`` rows for a term or question
+        heavy = Window.partitionBy("term").orderBy(F.col("_sat").desc())
+        kth = self.postings.withColumn("_rank", F.row_number().over(heavy)).where(F.col("_rank") <= top).where(F.col("_rank") == top)
+        alone = self.weights.join(kth.select("term", "_sat"), "term").groupBy(q).agg(F.max(F.col("_idf") * F.col("_sat")).alias("_bar"))
+        first = durable(self._of(ranked.where(F.col("_rank") <= FIRST)))
+        best = Window.partitionBy(q).orderBy(F.col("score").desc())
+        among = first.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= top).where(F.col("_rank") == top)
+        bars = alone.unionByName(among.select(q, F.col("score").alias("_bar"))).groupBy(q).agg(F.max("_bar").alias("_bar"))
+        # a little is allowed for the order in which sums are rounded
+        reach = F.col("_bar").isNull() | (F.col("_bound") * (1 + 1e-9) + 1e-8 >= F.col("_bar"))
+        rest = ranked.where(F.col("_rank") > FIRST).join(bars, q, "left").where(reach)
+        return first.unionByName(self._of(rest))

@@ -7,8 +7,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,33 +114,3 @@ def cluster_terms(weights: DataFrame, clusters: DataFrame, id_col: str, k: int)
     sums = weights.join(clusters, id_col).groupBy("cluster", "term").agg(F.sum("weight").alias("_s"))
     means = sums.join(sizes, "cluster").select("cluster", "term", (F.col("_s") / F.col("_n")).alias("weight"))
     return top_terms(means, ["cluster"], "weight", k)
-
-
-VOCABULARY = 1 << 20
-
-
-def lda(
-    df: DataFrame, id_col: str, words: Column, k: int, seed: int, top: int = 10
-) -> tuple[DataFrame, DataFrame]:
-    """Top words of each topic, and the dominant topic of each document.
-
-    Every word of two documents or more is in the vocabulary, up to VOCABULARY words; a larger
-    corpus is refused rather than cut.
-    """
-    staged = df.select(id_col, words.alias("_w"))
-    vectoriser = CountVectorizer(inputCol="_w", outputCol="_x", vocabSize=VOCABULARY, minDF=2).fit(staged)
-    if len(vectoriser.vocabulary) == VOCABULARY:
-        raise ValueError(f"more than {VOCABULARY} words")
-    counted = durable(vectoriser.transform(staged).select(id_col, "_x"))
-    model = LDA(k=k, seed=seed, optimizer="online", maxIter=10, featuresCol="_x").fit(counted)
-    terms = df.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "_index INT, term STRING")
-    described = model.describeTopics(top).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("p", "t"))
-    topics = described.join(terms, F.col("t.termIndices") == F.col("_index")).select(
-        "topic", (F.col("p") + 1).alias("rank"), "term", F.col("t.termWeights").alias("weight")
-    )
-    shares = model.transform(counted).select(id_col, vector_to_array("topicDistribution").alias("_d"))
-    largest = F.array_max("_d")
-    dominant = shares.select(
-        id_col, (F.array_position("_d", largest) - 1).cast("int").alias("topic"), largest.alias("share")
-    )
-    return topics, dominant

@@ -18,6 +18,7 @@ _MODULES = (
     "learning",
     "metrics",
     "streams",
+    "extensions",
 )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as tf
 from granary.functions.numeric import arithmetic_hash, arithmetic_hash_sql
-from granary.operators import listing, text as textops, vectors
+from granary.operators import decompose, listing, text as textops, topics, vectors
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
@@ -132,6 +132,30 @@ def f07_feature_union(spark, sf):
     return listing.feature_table(items(spark, sf), "item_id", min_df=2)
 
 
+_F07_SQL = """WITH {items}, l AS (SELECT *, string_split(category, '/') AS p, string_split(name, ' ') AS w FROM items),
+ d AS (SELECT item_id, list_filter(string_split(description, ' '), lambda w: w NOT IN ({stop}) AND w <> '') AS s FROM items),
+ f AS (SELECT item_id, 'name=' || unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature
+   FROM (SELECT item_id, list_filter(w, lambda x: x NOT IN ({stop})) AS w FROM l)
+ UNION ALL SELECT item_id, unnest(CASE WHEN len(p) >= 3 THEN ['category=' || p[1], 'category=' || p[2], 'category=' || p[3], 'category=' || p[1] || '/' || p[2]]
+   ELSE ['category=other', 'category=other', 'category=other', 'category=other/other'] END) FROM l
+ UNION ALL SELECT item_id, 'brand=' || brand FROM l WHERE brand IS NOT NULL
+ UNION ALL SELECT item_id, unnest(['general_condition=' || CASE WHEN len(p) >= 3 THEN p[1] ELSE 'other' END || '_' || condition,
+   'sub_condition=' || CASE WHEN len(p) >= 3 THEN p[2] ELSE 'other' END || '_' || condition,
+   'leaf_condition=' || CASE WHEN len(p) >= 3 THEN p[3] ELSE 'other' END || '_' || condition]) FROM l
+ UNION ALL SELECT item_id, 'has_brand=' || CAST(brand IS NOT NULL AS INT) FROM l
+ UNION ALL SELECT item_id, 'shipping=' || shipping FROM l UNION ALL SELECT item_id, 'condition=' || condition FROM l
+ UNION ALL SELECT item_id, 'description=' || unnest(list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1]),
+   list_transform(range(1, len(s) - 1), lambda i: s[i] || ' ' || s[i + 1] || ' ' || s[i + 2]))) FROM d),
+c AS (SELECT item_id, feature, count(*) AS n FROM f GROUP BY 1, 2)
+SELECT * FROM c WHERE feature IN (SELECT feature FROM c GROUP BY 1 HAVING count(*) >= 2)"""
+
+
+@query("f07b_all_blocks", _F07_SQL.format(items=ITEMS_SQL, stop=", ".join(f"'{w}'" for w in tf.LISTING_STOP_WORDS)))
+def f07b_all_blocks(spark, sf):
+    """All ten blocks of the listings side by side, the description's n-grams of up to three words among them."""
+    return listing.feature_table(items(spark, sf), "item_id", min_df=2, of=listing.all_blocks)
+
+
 @query("f08_truncated_svd")
 def f08_truncated_svd(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -179,16 +203,38 @@ def f09c_cluster_terms(spark, sf):
     return vectors.cluster_terms(weights, clusters, "doc_id", 10)
 
 
+def _grams():
+    """Single words and pairs of neighbours."""
+    return F.concat(F.col("_w"), tf.ngrams(F.col("_w"), 2))
+
+
+def _gram_counts(spark, sf, min_df):
+    staged = docs(spark, sf).select("doc_id", tf.tokens(F.col("text")).alias("_w"))
+    counts = durable(textops.term_counts(staged, "doc_id", _grams()))
+    return textops.prune_by_document_frequency(counts, _total(spark, sf), min_df=min_df, max_df=1.0)
+
+
+@query("f08c_tf_idf_svd")
+def f08c_tf_idf_svd(spark, sf):
+    """The documents on the 30 leading axes of their TF-IDF over words and pairs of at least ten documents."""
+    weights = textops.tf_idf(_gram_counts(spark, sf, 10), "doc_id", _total(spark, sf))
+    scores, _, values = decompose.truncated_svd(weights, "doc_id", 30)
+    return scores.select("doc_id", *[F.get("v", F.lit(i)).alias(f"component_{i + 1}") for i in range(len(values))])
+
+
+def _topics(spark, sf):
+    return topics.fit(_gram_counts(spark, sf, 4), "doc_id", 20, passes=20, seed=7)
+
+
 @query("f10_lda_topics")
 def f10_lda_topics(spark, sf):
-    topics, _ = vectors.lda(docs(spark, sf), "doc_id", tf.tokens(F.col("text")), 8, seed=7)
-    return topics
+    """20 topics over words and pairs, by 20 passes over all documents."""
+    return _topics(spark, sf).top_terms(10)
 
 
 @query("f10b_lda_documents")
 def f10b_lda_documents(spark, sf):
-    _, dominant = vectors.lda(docs(spark, sf), "doc_id", tf.tokens(F.col("text")), 8, seed=7)
-    return dominant
+    return _topics(spark, sf).dominant("doc_id")
 
 
 @query(

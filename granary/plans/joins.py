@@ -251,7 +251,7 @@ def j12_country_lookup(spark, sf):
     return s.join(named, F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", "s_name", "n_name", "r_name")
 
 
-_VOCAB_SQL = """v AS (SELECT w AS term, count(*) AS n FROM
+_VOCAB_SQL = """v AS MATERIALIZED (SELECT w AS term, count(*) AS n FROM
  (SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM documents) GROUP BY 1)"""
 
 
@@ -261,9 +261,9 @@ def _one_edit_sql(words):
         "SELECT {c}, {c} AS d, 0 AS i FROM {t} UNION ALL SELECT {c}, substr({c}, 1, i - 1) || substr({c}, i + 1), i FROM "
         "(SELECT {c}, unnest(range(1, length({c}) + 1)) AS i FROM {t} WHERE length({c}) > 1)"
     )
-    return f"""WITH {_VOCAB_SQL}, q AS ({words}),
-dv AS ({deleted.format(c="term", t="v")}), dq AS ({deleted.format(c="word", t="q")}),
-pairs AS (SELECT word, term, min(CASE WHEN word = term THEN 0 WHEN dq.i = 0 OR dv.i = 0 OR dq.i = dv.i THEN 1
+    return f"""WITH {_VOCAB_SQL}, q AS MATERIALIZED ({words}),
+dv AS MATERIALIZED ({deleted.format(c="term", t="v")}), dq AS MATERIALIZED ({deleted.format(c="word", t="q")}),
+pairs AS MATERIALIZED (SELECT word, term, min(CASE WHEN word = term THEN 0 WHEN dq.i = 0 OR dv.i = 0 OR dq.i = dv.i THEN 1
   WHEN dv.i = dq.i + 1 AND substr(word, dq.i, 1) = substr(term, dv.i, 1) AND substr(word, dv.i, 1) = substr(term, dq.i, 1) THEN 1
   ELSE 2 END) AS dist FROM dq JOIN dv ON dq.d = dv.d GROUP BY ALL),
 r AS (SELECT word, term AS suggestion, n AS frequency, CAST(dist AS INT) AS distance FROM pairs JOIN v USING (term) WHERE dist <= 1)"""
@@ -306,7 +306,7 @@ def j13c_fuzzy_pairs_3(spark, sf):
     """As j13 with up to three edits, the original operator's distance."""
     v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
     q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+").select(F.col("term").alias("word"))
-    pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 3, whole=True)
+    pairs = fuzzy.fuzzy_pairs_by_segments(q, "word", v, "term", 3)
     return pairs.join(v, "term").select("word", F.col("term").alias("suggestion"), F.col("n").alias("frequency"), "distance")
 
 
@@ -316,7 +316,7 @@ def j13d_best_suggestion_3(spark, sf):
     v = vocabulary(docs(spark, sf), "text", r"\p{L}+")
     q = vocabulary(table(spark, sf, "benchmark"), "text", r"\p{L}+")
     q = q.select(F.concat(F.substring("term", F.lit(1), F.length("term") - 1), F.lit("x")).alias("word")).distinct()
-    pairs = fuzzy.fuzzy_pairs(q, "word", v, "term", 3, whole=True).join(v.withColumnRenamed("n", "frequency"), "term")
+    pairs = fuzzy.fuzzy_pairs_by_segments(q, "word", v, "term", 3).join(v.withColumnRenamed("n", "frequency"), "term")
     best = fuzzy.best_suggestions(pairs, "word", "term", "frequency")
     return best.select("word", F.col("term").alias("suggestion"), "distance", "frequency")
 

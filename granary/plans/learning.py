@@ -115,7 +115,7 @@ SELECT CAST(split AS INT) AS split, a AS test_key FROM p UNION ALL SELECT CAST(s
 )
 def l05c_leave_two_out(spark, sf):
     years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
-    return splits.leave_p_out(years, "year", 2)
+    return splits.leave_p_out(years, "year", 2).select(F.col("split").cast("int").alias("split"), "test_key")
 
 
 @query(

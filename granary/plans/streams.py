@@ -15,7 +15,7 @@ from granary.streaming import windows
 SELECT s AS window_start, event_type, n, mean FROM w""",
 )
 def x01_window_summary(spark, sf):
-    out = windows.run_available(windows.windowed_summary(windows.event_stream(spark, sf, "events"), "6 hours", "10 minutes"), spark)
+    out = windows.run_closed(windows.event_stream(spark, sf, "events"), lambda e: windows.windowed_summary(e, "6 hours", "10 minutes"))
     return rounded(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
@@ -26,5 +26,5 @@ s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED
 SELECT user_id, min(ts) AS session_start, count(*) AS n, {fx("sum(value)", 3)} AS total FROM s GROUP BY user_id, no""",
 )
 def x02_session_summary(spark, sf):
-    out = windows.run_available(windows.session_summary(windows.event_stream(spark, sf, "events"), "12 hours", "10 minutes"), spark)
+    out = windows.run_closed(windows.event_stream(spark, sf, "events"), lambda e: windows.session_summary(e, "12 hours", "10 minutes"))
     return rounded(out.withColumn("session_start", F.col("session_start").cast("timestamp_ntz")), 3)

@@ -5,6 +5,8 @@ Extensions of the batch operators of the same names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,23 +45,38 @@ def session_summary(events: DataFrame, gap: str, delay: str) -> DataFrame:
     )
 
 
-def run_available(stream: DataFrame, spark: SparkSession) -> DataFrame:
-    """Process what is there and read the complete result: windows and sessions still open are in it,
-    and rows that come in any order are counted, whatever batch they come in."""
-    base, done = shared_path(spark, "stream"), []
+#: Event time of the row that ends a stream, behind any real one.
+END = "9999-12-30 00:00:00"
 
-    def keep(result: DataFrame, batch: int) -> None:
-        result.write.mode("overwrite").parquet(f"{base}/rows-{batch}")
-        done.append(batch)
 
-    query = (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(keep)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if not done:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{base}/rows-{max(done)}")
+def run_closed(events: DataFrame, summary: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Process what is there in append mode, close what is still open, and read the result.
+
+    The stateful operators of ``summary`` hand on a window or session when the watermark has
+    passed it and then drop it from their state, so the state holds the open ones only. When all is
+    read, a single row of event time END arrives on a second source: the watermark passes every
+    window, and the same query, restarted from its checkpoint, hands on the rest. Rows
+    in the batches of one run may come in any order; a row that is later than the delay behind
+    an earlier batch is dropped, as the watermark says.
+
+    A batch writes a folder of its own number and overwrites it when it is repeated, so a batch
+    that fails half-way counts once, and nothing about finished batches is kept on the driver.
+    """
+    spark = events.sparkSession
+    base = shared_path(spark, "stream")
+    schema, marks = events.schema, f"{base}/end"
+    spark.createDataFrame([], schema).write.parquet(marks)
+    result = summary(events.unionByName(spark.readStream.schema(schema).parquet(marks)))
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{base}/rows/{batch:012d}")
+
+    def run() -> None:
+        stream = result.writeStream.outputMode("append").foreachBatch(keep).option("checkpointLocation", f"{base}/state")
+        stream.trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    end = [F.lit(END if f.name == "ts" else None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).coalesce(1).select(*end).write.mode("append").parquet(marks)
+    run()
+    return spark.read.schema(result.schema).parquet(f"{base}/rows/*")

@@ -23,8 +23,8 @@ def test_windows_and_sessions_of_part_files(spark, tmp_path):
     events = _parts(spark, str(tmp_path))
     assert events.count() == 400
     stream = windows.event_stream(spark, str(tmp_path), "events")
-    got = windows.run_available(windows.windowed_summary(stream, "6 hours", "10 minutes"), spark)
+    got = windows.run_closed(stream, lambda e: windows.windowed_summary(e, "6 hours", "10 minutes"))
     want = events.groupBy(F.window(F.col("ts").cast("timestamp"), "6 hours"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value"))
     assert sorted(map(str, got.collect())) == sorted(str(r).replace("avg(value)", "mean") for r in want.select(F.col("window.start").alias("window_start"), "event_type", "n", "avg(value)").collect())
-    sessions = windows.run_available(windows.session_summary(windows.event_stream(spark, str(tmp_path), "events"), "3 hours", "10 minutes"), spark)
+    sessions = windows.run_closed(windows.event_stream(spark, str(tmp_path), "events"), lambda e: windows.session_summary(e, "3 hours", "10 minutes"))
     assert sessions.agg(F.sum("n")).first()[0] == 400
