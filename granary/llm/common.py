@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,8 @@ from granary.session import shared_path
 
 #: Texts are worked on in slices of about so many bytes, whatever the size of an Arrow batch.
 SLICE_BYTES = 8 << 20
+#: Rows of a small Arrow batch.
+SMALL_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,18 @@ def folder_uri(spark: SparkSession, label: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = SMALL_ROWS) -> Iterator[None]:
+    """Jobs inside send at most ``rows`` rows to Python at a time: long texts make large batches, held on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def exact(key: str) -> list[Column]:
     """A long column for pandas batches: ``key`` with 0 for null, and ``key_known``.
 

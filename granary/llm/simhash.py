@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import as_bytes, concat, slices, text_or_empty
+from granary.llm.common import as_bytes, concat, slices, small_batches, text_or_empty
 from granary.llm.components import components
 from granary.session import durable
 
@@ -41,7 +41,7 @@ WORDS = 4
 SEED = 42
 #: Fingerprints of a block value at most, on average; more rows of a task than VARIANTS are cut.
 PER_BLOCK = 64
-VARIANTS = 2_000_000
+VARIANTS = 1_000_000
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
 
@@ -298,7 +298,8 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
             yield concat((pa.array([signature(t) for t in as_bytes(part)], _SIGNATURE) for part in slices(batch)), _SIGNATURE)
 
     copy = F.xxhash64(spark_text)
-    signed = durable(documents.select("doc_id", copy.alias("copy"), signatures(spark_text).alias("s")).select("doc_id", "copy", "s.*"))
+    with small_batches(documents.sparkSession):
+        signed = durable(documents.select("doc_id", copy.alias("copy"), signatures(spark_text).alias("s")).select("doc_id", "copy", "s.*"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
     prints = [F.min(f"f{k}").alias(f"f{k}") for k in range(FAMILIES)]  # equal within a class
     classes = durable(signed.groupBy("copy").agg(F.min(order).alias("first"), *prints))
