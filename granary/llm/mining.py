@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.vectors import valid
+from granary.llm.vectors import LEAST, MOST, exact_scores, valid
 from granary.session import durable
 
 SCALE = 256
@@ -43,9 +43,6 @@ BLOCK, ANCHORS, CODES, SAMPLE = 16_384, 256, 24, 2048
 ROUNDS = 6
 #: Rows of cells that are scored together, about.
 TOGETHER = 512
-#: Products of such components, summed over any real number of dimensions, are exact in a double.
-SMALL = 1 << 20
-LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def train_codes(rows: np.ndarray) -> np.ndarray:
@@ -69,18 +66,6 @@ def padded(rows: np.ndarray, width: int) -> np.ndarray:
     return np.pad(rows, ((0, 0), (0, max(0, width - rows.shape[1]))))
 
 
-def exact_scores(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Integer inner products, also of components whose products no double holds."""
-    width = min(rows.shape[1], len(anchor))
-    rows, anchor = rows[:, :width], anchor[:width]
-    size = max(np.abs(rows).max(initial=0), np.abs(anchor).max(initial=0))
-    if size <= SMALL and width * size * size < 2**53:
-        return (rows @ anchor).astype(np.int64)
-    whole = [int(x) for x in anchor]
-    sums = (sum(int(x) * y for x, y in zip(row, whole)) for row in rows)
-    return np.array([min(max(s, LEAST), MOST) for s in sums], np.int64)
-
-
 class MultiIndex:
     """The cells of one block."""
 
@@ -149,7 +134,7 @@ class Best:
             fit &= scores >= self.scores[-1]
         if fit.any():
             ids, scores = np.concatenate([self.ids, ids[fit]]), np.concatenate([self.scores, scores[fit]])
-            order = np.lexsort((ids, -scores.astype(object) if scores.min() == LEAST else -scores))[: self.k]
+            order = np.lexsort((ids, ~scores))[: self.k]
             self.ids, self.scores = ids[order], scores[order]
 
     def closed(self, bound: float) -> bool:

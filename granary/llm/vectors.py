@@ -9,14 +9,15 @@ is known from both sides. Processing stops when the vectors that may still be am
 are few, which is then proven for all others, and these are scored exactly. Without such a
 proof it goes on through the last level.
 
-Index blocks and query blocks meet through a join on block numbers: the query blocks are
-copied to each number, which is the stated query set against all rows, in blocks. Every task
-hands on at most k rows for a query.
+Index blocks and query blocks meet by block number: the query blocks are copied to each
+number, which is the stated query set against all rows, in blocks. A task builds the segments of an
+index block once and streams the query blocks by; it hands on at most k rows for a query.
 
 Results: null vectors and those with null or non-finite components take no part; vec_id is a
 key, of rows that repeat one the smallest vector counts; a shorter vector counts as padded
-with zeros; ties go to the smaller vec_id; scores beyond 64 bits are refused; no vectors, or
-no other vectors, give no rows.
+with zeros; ties go to the smaller vec_id; components whose products a double may not hold
+are scored in exact integers, and a score beyond 64 bits counts as the nearest number of 64 bits;
+no vectors, or no other vectors, give no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ BLOCK = 4096
 QUERIES = 512
 #: Vectors of a block that may be left over, as a multiple of k, for a query to be rescored.
 FEW = 8
+#: Products of such components, summed over any real number of dimensions, are exact in a double.
+SMALL = 1 << 20
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 PACKED = "block long, ids binary, dims int, vectors binary"
 
 
@@ -47,17 +51,14 @@ def valid(vector: str) -> Column:
 def _pack(block: int, rows: pd.DataFrame) -> pd.DataFrame:
     ids = rows["id"].to_numpy(np.int64)
     dims = max(map(len, rows["v"]), default=0)
-    whole = np.zeros((len(ids), dims), np.int64)
+    whole = np.zeros((len(ids), dims))  # whole numbers, which doubles hold whatever their size
     for k, v in enumerate(rows["v"]):
-        scaled = np.floor(np.asarray(v, np.float64) * SCALE)
-        if len(scaled) and np.abs(scaled).max() > 2**28:
-            raise ValueError("a component is beyond 2**20; its scores may not fit 64 bits")
-        whole[k, : len(v)] = scaled
+        whole[k, : len(v)] = np.floor(np.asarray(v, np.float64) * SCALE)
     order = np.lexsort((*whole.T[::-1], ids))
     ids, whole = ids[order], whole[order]
     first = np.concatenate([[True], ids[1:] != ids[:-1]]) if len(ids) else np.empty(0, bool)
     return pd.DataFrame(
-        {"block": [block], "ids": [ids[first].tobytes()], "dims": [dims], "vectors": [whole[first].astype(np.int32).tobytes()]}
+        {"block": [block], "ids": [ids[first].tobytes()], "dims": [dims], "vectors": [whole[first].tobytes()]}
     )
 
 
@@ -69,35 +70,49 @@ def packed(vectors: DataFrame, blocks: int) -> DataFrame:
 
 def _unpack(ids: bytes, dims: int, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
     found = np.frombuffer(ids, np.int64)
-    return found, np.frombuffer(vectors, np.int32).reshape(len(found), dims)
+    return found, np.frombuffer(vectors, np.float64).reshape(len(found), dims)
+
+
+def exact_scores(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Integer inner products, also of components whose products no double holds."""
+    width = min(rows.shape[1], len(query))
+    rows, query = rows[:, :width], query[:width]
+    size = max(np.abs(rows).max(initial=0), np.abs(query).max(initial=0))
+    if size <= SMALL and width * size * size < 2**53:
+        return (rows @ query).astype(np.int64)
+    whole = [int(x) for x in query]
+    sums = (sum(int(x) * y for x, y in zip(row, whole)) for row in rows)
+    return np.array([min(max(s, LEAST), MOST) for s in sums], np.int64)
 
 
 class ImpactIndex:
     """Postings of a block in segments by falling bit length of their impact."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors.astype(np.int64)
-        level = np.zeros(vectors.shape, np.int8)
+        self.ids, self.vectors = ids, vectors
+        self.length = np.sqrt((vectors**2).sum(axis=1))
+        level = np.zeros(vectors.shape, np.int16)
         size = np.abs(self.vectors)
         some = size > 0
-        level[some] = np.floor(np.log2(size[some])).astype(np.int8) + 1
-        left = (self.vectors**2).sum(axis=1)
+        level[some] = np.frexp(size[some])[1]
+        left = np.zeros(len(ids))  # squares of what the lower levels have, summed from below
         self.levels: list[tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]] = []
-        for impact in sorted(np.unique(level[some]).tolist(), reverse=True):
+        for impact in np.unique(level[some]).tolist():
             segments = []
             for dim in range(vectors.shape[1]):
                 rows = np.flatnonzero(level[:, dim] == impact)
                 if len(rows):
                     segments.append((dim, rows, self.vectors[rows, dim]))
-            left = left - np.where(level == impact, self.vectors**2, 0).sum(axis=1)
-            self.levels.append((segments, np.sqrt(left.astype(np.float64))))
+            self.levels.insert(0, (segments, np.sqrt(left)))
+            left = left + np.where(level == impact, self.vectors**2, 0).sum(axis=1)
 
     def top(self, own: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, ids, scores) of each query's k best, its own id left out."""
         width = min(queries.shape[1], self.vectors.shape[1])
-        q = np.ascontiguousarray(queries[:, :width].T.astype(np.float64))
-        reach = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
-        score = np.zeros((len(self.ids), len(own)))  # sums of whole numbers below 2**53 are exact
+        q = np.ascontiguousarray(queries[:, :width].T)
+        reach = np.sqrt((queries**2).sum(axis=1)) * (1 + 1e-9)
+        score = np.zeros((len(self.ids), len(own)))
+        rounding = 1e-12 * self.length[:, None] * reach[None, :]  # sums of whole numbers below 2**53 are exact, others nearly
         mine = np.searchsorted(self.ids, own)
         hit = np.flatnonzero((mine < len(self.ids)) & (self.ids[np.minimum(mine, len(self.ids) - 1)] == own)) if len(self.ids) else []
         k = min(k, len(self.ids))
@@ -106,7 +121,7 @@ class ImpactIndex:
             for dim, rows, impact in segments:
                 if dim < width:
                     score[rows] += impact[:, None] * q[dim][None, :]
-            rest = left[:, None] * reach[None, :] * (1 + 1e-9) + 1e-6
+            rest = left[:, None] * reach[None, :] * (1 + 1e-9) + rounding + 1e-6
             low = score - rest
             low[mine[hit], hit] = -np.inf
             bar = np.partition(low, len(self.ids) - k, axis=0)[len(self.ids) - k] if k else np.zeros(len(own))
@@ -116,8 +131,8 @@ class ImpactIndex:
         possible[mine[hit], hit] = False
         for j in range(len(own)):
             rows = np.flatnonzero(possible[:, j])
-            exact = self.vectors[rows][:, :width] @ queries[j, :width].astype(np.int64)
-            best = np.lexsort((self.ids[rows], -exact))[:k]
+            exact = exact_scores(self.vectors[rows], queries[j])
+            best = np.lexsort((self.ids[rows], ~exact))[:k]  # ~x falls as x rises, and never overflows
             yield j, self.ids[rows[best]], exact[best]
 
 
@@ -127,16 +142,20 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
     counts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("m")).first()
     blocks, parts = max(1, -(-counts["n"] // BLOCK)), max(1, -(-counts["m"] // QUERIES))
     index = durable(packed(rows.select("id", "v"), blocks))
-    queries = packed(rows.where("q").select("id", "v"), parts).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-        F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("vectors").alias("q_vectors"),
-    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    queries = packed(rows.where("q").select("id", "v"), parts).withColumn("block", every)
+    both = index.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, found = None, None
         for batch in batches:
             for x in batch.itertuples():
-                found = ImpactIndex(*_unpack(x.ids, x.dims, x.vectors))
-                own, wanted = _unpack(x.q_ids, x.q_dims, x.q_vectors)
+                if x.kind == 0:
+                    now, found = x.block, ImpactIndex(*_unpack(x.ids, x.dims, x.vectors))
+                    continue
+                if x.block != now:  # a block without rows
+                    continue
+                own, wanted = _unpack(x.ids, x.dims, x.vectors)
                 parts = [(own[j], ids, scores) for j, ids, scores in found.top(own, wanted, k)]
                 yield pd.DataFrame(
                     {
@@ -146,7 +165,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
                     }
                 )
 
-    near = index.join(queries.repartition(max(blocks, 1), "block"), "block").mapInPandas(search, "query_id long, vec_id long, score long")
+    dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    near = dealt.mapInPandas(search, "query_id long, vec_id long, score long")
     # the limit on the rank reaches below the shuffle: a task hands on k rows for a query at most
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -13,7 +13,8 @@ def brute(rows, k):
     out = set()
     for q, v in kept.items():
         if q % 5 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in kept.items() if i != q)[:k]
+            score = lambda w: min(max(sum(a * b for a, b in zip(v, w)), -(2**63)), 2**63 - 1)
+            scores = sorted((-score(w), i) for i, w in kept.items() if i != q)[:k]
             out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)}
     return out
 
@@ -45,6 +46,14 @@ def test_proof_comes_before_the_last_level():
     assert scores.tolist() == sorted(exact.tolist())[-3:][::-1]
 
 
+def test_large_components_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 20)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(0, 2, 5)]) for i in range(60)]
+    rows += [(100, [float(np.float32(3e30)), 1.0]), (101, [2.0**40, 3.0]), (105, [2.0**24, 1.0]), (106, [2.0**24, 1.25]), (110, [-float(np.float32(1e38))] * 5)]
+    assert run(spark, rows) == brute(rows, 5)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (5, [nan, 1.0]), (10, None), (15, [inf, 0.0]), (1, [1.0, None]), (2, [0.5]), (3, []), (4, [0.0, 9.0]), (0, [1.0, 0.0]),
