@@ -97,6 +97,7 @@ def aggregate_split(history: DataFrame, side: Column, names: Sequence[str], card
     return per_side.groupBy(card).agg(*wide)
 
 
+# columns and aggregates of the card profile (fixed values)
 PROFILE_SPEC = {
     "month": ["nunique_small"],
     "hour": ["nunique_small"],

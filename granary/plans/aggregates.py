@@ -21,6 +21,7 @@ from granary.plans.tables import (
 )
 from granary.session import durable
 
+# columns and aggregates of the session roll-up (fixed values)
 SESSION_SPEC = {
     "hits": ["sum", "min", "max", "mean", "median"],
     "pageviews": ["sum", "min", "max", "mean", "median"],

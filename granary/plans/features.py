@@ -18,6 +18,9 @@ c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT te
 t AS (SELECT count(*) AS total FROM documents)"""
 
 
+_STOP_SQL = ", ".join(f"'{w}'" for w in tf.LISTING_STOP_WORDS)
+
+
 def _counts(spark, sf):
     """Terms of every document, counted; written once, so that no use reads the texts again."""
     return durable(textops.term_counts(docs(spark, sf), "doc_id", tf.tokens(F.col("text"))))
@@ -41,8 +44,7 @@ def f01_hashed_ngrams(spark, sf):
 
 @query(
     "f01b_hashed_ngram_totals",
-    r"""WITH w AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}'),
- lambda w: w NOT IN ('the', 'a', 'an', 'is', 'it', 'this'))) AS n FROM documents)
+    rf"""WITH w AS (SELECT doc_id, len(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}'), lambda w: w NOT IN ({_STOP_SQL}))) AS n FROM documents)
 SELECT doc_id, CAST(n + greatest(n - 1, 0) + greatest(n - 2, 0) AS BIGINT) AS grams, CAST(1 AS DOUBLE) AS squared_length FROM w WHERE n > 0""",
 )
 def f01b_hashed_ngram_totals(spark, sf):
@@ -150,7 +152,7 @@ c AS (SELECT item_id, feature, count(*) AS n FROM f GROUP BY 1, 2)
 SELECT * FROM c WHERE feature IN (SELECT feature FROM c GROUP BY 1 HAVING count(*) >= 2)"""
 
 
-@query("f07b_all_blocks", _F07_SQL.format(items=ITEMS_SQL, stop=", ".join(f"'{w}'" for w in tf.LISTING_STOP_WORDS)))
+@query("f07b_all_blocks", _F07_SQL.format(items=ITEMS_SQL, stop=_STOP_SQL))
 def f07b_all_blocks(spark, sf):
     """All ten blocks of the listings side by side, the description's n-grams of up to three words among them."""
     return listing.feature_table(items(spark, sf), "item_id", min_df=2, of=listing.all_blocks)

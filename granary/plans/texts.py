@@ -52,8 +52,7 @@ def t01_compose_text(spark, sf):
 
 @query(
     "t02_normalise_units",
-    rf"""WITH {ITEMS_SQL} SELECT item_id, regexp_replace(regexp_replace(description, '(\d)([\s-]?)(karat|karats|carat|carats|kt)([^\w])', '\1k\4', 'g'),
- '(\d+)[\s-]([a-z]{{2}})(\s)', '\1\2\3', 'g') AS description FROM items""",
+    rf"""WITH {ITEMS_SQL} SELECT item_id, regexp_replace(regexp_replace(description, '{tf.CARATS}', '\1k\4', 'g'), '{tf.UNITS}', '\1\2\3', 'g') AS description FROM items""",
 )
 def t02_normalise_units(spark, sf):
     return items(spark, sf).select("item_id", tf.normalise_units(F.col("description")).alias("description"))
@@ -61,8 +60,7 @@ def t02_normalise_units(spark, sf):
 
 @query(
     "t02b_normalise_units_in_documents",
-    r"""SELECT doc_id, regexp_replace(regexp_replace(lower(text), '(\d)([\s-]?)(karat|karats|carat|carats|kt)([^\w])', '\1k\4', 'g'),
- '(\d+)[\s-]([a-z]{2})(\s)', '\1\2\3', 'g') AS text FROM documents""",
+    rf"""SELECT doc_id, regexp_replace(regexp_replace(lower(text), '{tf.CARATS}', '\1k\4', 'g'), '{tf.UNITS}', '\1\2\3', 'g') AS text FROM documents""",
 )
 def t02b_normalise_units_in_documents(spark, sf):
     return docs(spark, sf).select("doc_id", tf.normalise_units(F.lower("text")).alias("text"))
