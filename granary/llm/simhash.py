@@ -231,6 +231,9 @@ def near_duplicates(df: DataFrame, text: str = "text", words: int = WORDS, radiu
 #: different shingles have their exact similarity from them, others from all shingles.
 FAMILIES, FAMILY_BITS, FAMILY_WORDS = 3, 48, 2
 SHINGLE_WORDS, SIMILAR, SKETCH, FAR = 5, 0.8, 256, 0.65
+#: Few shingles make fingerprints that differ widely at one edit, so pairs with a text of at most SHORT different
+#: shingles are searched exactly as well. Shingles that begin more than HOT of these texts are put last; BLOCK sets work per row.
+SHORT, HOT, BLOCK = 128, 32, 4096
 _SIGNATURE = pa.struct([*[(f"f{k}", pa.int64()) for k in range(FAMILIES)], ("sketch", pa.binary())])
 _SIGNATURE_SQL = "struct<" + ",".join([*[f"f{k}:long" for k in range(FAMILIES)], "sketch:binary"]) + ">"
 
@@ -287,7 +290,8 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with one row of each group of similar texts: the smallest doc_id, then hash of the text.
 
     Equal texts are one class from the start. Classes whose fingerprints of some family differ
-    in at most RADIUS bits are compared, and linked if their five-word shingles are SIMILAR. Of
+    in at most RADIUS bits are compared, and linked if their five-word shingles are SIMILAR; so are
+    all pairs with a text of at most SHORT shingles that these links leave apart. Of
     rows that repeat a doc_id and text, one stays. Null doc_ids come last; blank texts are alike.
     """
     spark_text = text_or_empty(text)
@@ -315,11 +319,60 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
     full = (F.octet_length("sketch_a") == 4 * SKETCH) | (F.octet_length("sketch_b") == 4 * SKETCH)
     judged = durable(both.select("a", "b", full.alias("full"), alike("sketch_a", "sketch_b").alias("share")).where(F.col("share") >= FAR))
     sure = judged.where(~F.col("full") & (F.col("share") >= SIMILAR)).select("a", "b")
-    roots = components(sure.unionByName(_exactly_similar(documents.select(copy.alias("copy"), spark_text.alias("text")), judged.where("full"))))
-    kept = classes.join(roots, classes["copy"] == roots["node"], "left").groupBy(F.coalesce("root", "copy")).agg(F.min("first").alias("first"))
+    roots = durable(components(sure.unionByName(_exactly_similar(documents.select(copy.alias("copy"), spark_text.alias("text")), judged.where("full")))))
+    size = F.octet_length("sketch") / 4
+    few = signed.where((size >= 1) & (size <= int(SHORT / SIMILAR))).groupBy("copy").agg(F.min("sketch").alias("sketch"))
+    grouped = few.join(roots, few["copy"] == roots["node"], "left").select("copy", "sketch", F.coalesce("root", "copy").alias("group"))
+    short = durable(grouped.withColumn("n", size.cast("int")))
+    apart = _short_pairs(short).join(short.select(F.col("copy").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+    apart = apart.join(short.select(F.col("copy").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    joined = components(apart.where(alike("sketch_a", "sketch_b") >= SIMILAR).select("group_a", "group_b"), "group_a", "group_b")
+    first = classes.join(roots, classes["copy"] == roots["node"], "left").select(F.coalesce("root", "copy").alias("group"), "first")
+    named = first.join(joined, first["group"] == joined["node"], "left")
+    kept = named.groupBy(F.coalesce("root", "group")).agg(F.min("first").alias("first"))
     return _rows_of(documents, copy, kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.copy").alias("kept_copy")))
 
 
+def _short_pairs(short: DataFrame) -> DataFrame:
+    """(a, b, group_a, group_b): all pairs of ``copy`` from different groups that may be SIMILAR.
+
+    Of two similar texts of at most n shingles each, the first n - ceil(SIMILAR n) + 1 in any one order
+    share a shingle. The order is that of the hashes, frequent shingles last. The texts outside
+    the largest group of a shingle meet all texts that have it, dealt into blocks; a group meets itself nowhere.
+    """
+
+    def piece(i: Column) -> Column:
+        return F.substring("sketch", 4 * i - 3, F.lit(4))
+
+    begins = F.floor(F.col("n") * F.lit(1 - SIMILAR) + F.lit(1e-9)).cast("int") + 1
+    own = ["copy", "group", "n"]
+    plain = short.select(*own, F.explode(F.transform(F.sequence(F.lit(1), begins), piece)).alias("shingle"))
+    hot = durable(plain.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") > HOT))
+    moved = durable(plain.join(hot, "shingle", "left_semi").select("copy").distinct())
+    every = short.join(moved, "copy", "left_semi").select(*own, F.explode(F.transform(F.sequence(F.lit(1), F.col("n")), piece)).alias("shingle"))
+    ranked = every.join(hot, "shingle", "left").groupBy(*own).agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "shingle"))).alias("order")
+    )
+    late = ranked.select(*own, F.explode(F.slice("order", F.lit(1), begins)).alias("x")).select(*own, "x.shingle")
+    prefix = durable(plain.join(moved, "copy", "left_anti").unionByName(late))
+    sizes = prefix.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("m"))
+    most = F.max(F.struct("m", "group"))
+    mixed = sizes.groupBy("shingle").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("groups"), most.alias("most"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    mixed = mixed.where("groups > 1").select("shingle", blocks.alias("blocks"), F.col("most.group").alias("main"))
+    rows = prefix.join(mixed, "shingle")
+    strays = rows.where("group <> main").select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("copy").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
+    )
+    others = rows.select(
+        "shingle", F.pmod(F.xxhash64("copy"), F.col("blocks")).cast("int").alias("block"), F.col("copy").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny")
+    )
+    may = (F.col("gx") != F.col("gy")) & (F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(SIMILAR - 1e-9))
+    swap = F.col("x") > F.col("y")
+    ends = {"a": ("y", "x"), "b": ("x", "y"), "group_a": ("gy", "gx"), "group_b": ("gx", "gy")}
+    return strays.join(others, ["shingle", "block"]).where(may).select(*[F.when(swap, F.col(i)).otherwise(F.col(j)).alias(c) for c, (i, j) in ends.items()]).distinct()
+
+
 def _exactly_similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b) of the ``pairs`` of ``copy`` whose shingles, all of them, are SIMILAR."""
 

@@ -104,3 +104,48 @@ def test_long_texts_are_decided_exactly(spark):
     assert {r.a for r in simhash._exactly_similar(df.select("copy", "text"), pairs).collect()} == {at[2 * k] for k in range(60) if want[k]}
     kept = {r.doc_id for r in simhash.keep_one(df.select("doc_id", "text")).collect()}
     assert all(2 * k in kept for k in range(60)) and all(2 * k + 1 in kept for k in range(60) if not want[k])
+
+
+def edited(draw, words, share):
+    """A text and an edited copy whose five-word shingles are 0.8 to 0.9 alike."""
+    while True:
+        a = [f"w{draw.randrange(10**6)}" for _ in range(words)]
+        b = a[: words - draw.randrange(2)]
+        for _ in range(draw.randrange(1 + max(0, round(words * share)))):
+            b[draw.choice([draw.randrange(len(b)), -1, 0])] = f"v{draw.randrange(10**6)}"
+        b += [f"v{draw.randrange(10**6)}" for _ in range(draw.randrange(2))]
+        x, y = (simhash.all_shingles(" ".join(t).encode()) for t in (a, b))
+        if 0.8 <= simhash.exact_similarity(x, y) <= 0.9:
+            return " ".join(a), " ".join(b)
+
+
+def test_edited_copies_of_any_length_are_found(spark):
+    draw, rows, pairs = random.Random(17), [], {}
+    for words in (9, 12, 25, 60, 120):
+        pairs[words] = []
+        for _ in range(60):
+            n = len(rows)
+            rows += [(n + k, t) for k, t in enumerate(edited(draw, words, 0.02))]
+            pairs[words].append(n)
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for words, firsts in pairs.items():
+        assert {n for n in firsts} <= kept and not [n for n in firsts if n + 1 in kept], words
+
+
+def test_short_texts_against_all_pairs(spark):
+    """Chains, shared openings that many texts have, and a large group of near copies."""
+    draw = random.Random(23)
+    opening = [f"o{i}" for i in range(12)]
+    rows = [" ".join(opening + [f"w{draw.randrange(10**6)}" for _ in range(draw.randrange(1, 20))]) for _ in range(150)]
+    base = [f"b{i}" for i in range(40)]
+    rows += [" ".join(base[:-1] + [f"x{i}"]) for i in range(80)]
+    chain = [f"c{i}" for i in range(30)]
+    for i in range(12):
+        rows.append(" ".join(chain))
+        chain[2 * i] = f"y{i}"
+    rows += ["a", "a", "b", "a b c d e f", "A B C D E F"]
+    prints = [simhash.all_shingles(t.encode()) for t in rows]
+    close = [(i, j) for i in range(len(rows)) for j in range(i) if simhash.exact_similarity(prints[i], prints[j]) >= 0.8]
+    want = set(classes(close, range(len(rows))).values())
+    got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got == want
