@@ -111,7 +111,7 @@ def edited(draw, words, share):
     while True:
         a = [f"w{draw.randrange(10**6)}" for _ in range(words)]
         b = a[: words - draw.randrange(2)]
-        for _ in range(draw.randrange(1 + max(0, round(words * share)))):
+        for _ in range(draw.randrange(1 + max(1, round(words * share)))):
             b[draw.choice([draw.randrange(len(b)), -1, 0])] = f"v{draw.randrange(10**6)}"
         b += [f"v{draw.randrange(10**6)}" for _ in range(draw.randrange(2))]
         x, y = (simhash.all_shingles(" ".join(t).encode()) for t in (a, b))
