@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as tf
 from granary.functions.numeric import arithmetic_hash, arithmetic_hash_sql
-from granary.operators import decompose, listing, text as textops, topics, vectors
+from granary.operators import clusters, decompose, listing, text as textops, topics, vectors
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import ITEMS_SQL, items, table
@@ -205,6 +205,34 @@ def f09c_cluster_terms(spark, sf):
     return vectors.cluster_terms(weights, clusters, "doc_id", 10)
 
 
+@query("f09d_sparse_clusters")
+def f09d_sparse_clusters(spark, sf):
+    """30 clusters of the documents by mini-batch k-means on their TF-IDF, and the heaviest terms of each."""
+    weights = durable(textops.tf_idf(_counts(spark, sf), "doc_id", _total(spark, sf)).select("doc_id", "term", "weight"))
+    assigned = clusters.nearest(weights, clusters.fit(weights, "doc_id", 30, seed=7), "doc_id")
+    return vectors.cluster_terms(weights, assigned.select("doc_id", "cluster"), "doc_id", 10)
+
+
+@query(
+    "f09e_nearest_sparse_centre",
+    f"""WITH {_COUNTS_SQL}, x AS (SELECT doc_id, term, tf * (ln((1 + total) / (1 + df)) + 1) AS raw FROM c JOIN d USING (term), t),
+w AS MATERIALIZED (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM x),
+n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+m AS MATERIALIZED (SELECT source AS cluster, term, sum(weight) / max(n) AS value FROM w JOIN documents USING (doc_id) JOIN n USING (source) GROUP BY 1, 2),
+r AS (SELECT cluster, sum(value * value) AS norm FROM m GROUP BY 1), i AS (SELECT doc_id, sum(weight * weight) AS own FROM w GROUP BY 1),
+k AS (SELECT doc_id, cluster, sum(weight * value) AS dot FROM w JOIN m USING (term) GROUP BY 1, 2),
+s AS (SELECT doc_id, cluster, own, round(norm - 2 * coalesce(dot, 0), 9) AS score FROM i CROSS JOIN r LEFT JOIN k USING (doc_id, cluster))
+SELECT doc_id, cluster, {fx("sqrt(greatest(0, own + score))", 5)} AS distance FROM s
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score, cluster) = 1""",
+)
+def f09e_nearest_sparse_centre(spark, sf):
+    """The source whose mean TF-IDF is nearest to each document's."""
+    weights = durable(textops.tf_idf(_counts(spark, sf), "doc_id", _total(spark, sf)).select("doc_id", "term", "weight"))
+    sources = docs(spark, sf).select("doc_id", F.col("source").alias("cluster")).where("cluster IS NOT NULL")
+    centres = durable(clusters.means(weights, sources, "doc_id"))
+    return rounded(clusters.nearest(weights, centres, "doc_id"), 5)
+
+
 def _grams():
     """Single words and pairs of neighbours."""
     return F.concat(F.col("_w"), tf.ngrams(F.col("_w"), 2))
