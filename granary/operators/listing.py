@@ -67,6 +67,17 @@ def feature_table(df: DataFrame, item: str, min_df: int = 2, of=blocks) -> DataF
     return counts.join(kept, "feature", "left_semi")
 
 
+def fill_brands(df: DataFrame, item: str) -> DataFrame:
+    """Missing brands from the name: the first pair of words that is a brand of another listing, else the first word."""
+    brand = F.nullif(F.trim("brand"), F.lit(""))
+    staged = df.withColumn("_words", F.split(F.trim("name"), r"\s+"))
+    known = df.select(brand.alias("_brand")).where("_brand IS NOT NULL").distinct()
+    grams = F.concat(ngrams(F.col("_words"), 2), F.col("_words"))
+    said = staged.where(brand.isNull()).select(item, F.posexplode(grams).alias("_at", "_brand")).join(known, "_brand")
+    found = said.groupBy(item).agg(F.min_by("_brand", "_at").alias("_brand"))
+    return df.join(found, item, "left").withColumn("brand", F.coalesce(brand, "_brand")).select(*df.columns)
+
+
 def prepare_listings(df: DataFrame) -> DataFrame:
     """Drop free items, lower and fill the texts, and normalise units."""
     priced = df.filter(F.col("price").isNull() | (F.col("price") > 0))

@@ -216,11 +216,11 @@ def f09d_sparse_clusters(spark, sf):
 @query(
     "f09e_nearest_sparse_centre",
     f"""WITH {_COUNTS_SQL}, x AS (SELECT doc_id, term, tf * (ln((1 + total) / (1 + df)) + 1) AS raw FROM c JOIN d USING (term), t),
-w AS MATERIALIZED (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM x),
+u AS MATERIALIZED (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM x),
 n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
-m AS MATERIALIZED (SELECT source AS cluster, term, sum(weight) / max(n) AS value FROM w JOIN documents USING (doc_id) JOIN n USING (source) GROUP BY 1, 2),
-r AS (SELECT cluster, sum(value * value) AS norm FROM m GROUP BY 1), i AS (SELECT doc_id, sum(weight * weight) AS own FROM w GROUP BY 1),
-k AS (SELECT doc_id, cluster, sum(weight * value) AS dot FROM w JOIN m USING (term) GROUP BY 1, 2),
+m AS MATERIALIZED (SELECT source AS cluster, term, sum(weight) / max(n) AS value FROM u JOIN documents USING (doc_id) JOIN n USING (source) GROUP BY 1, 2),
+r AS (SELECT cluster, sum(value * value) AS norm FROM m GROUP BY 1), i AS (SELECT doc_id, sum(weight * weight) AS own FROM u GROUP BY 1),
+k AS (SELECT doc_id, cluster, sum(weight * value) AS dot FROM u JOIN m USING (term) GROUP BY 1, 2),
 s AS (SELECT doc_id, cluster, own, round(norm - 2 * coalesce(dot, 0), 9) AS score FROM i CROSS JOIN r LEFT JOIN k USING (doc_id, cluster))
 SELECT doc_id, cluster, {fx("sqrt(greatest(0, own + score))", 5)} AS distance FROM s
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score, cluster) = 1""",

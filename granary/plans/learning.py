@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from granary.functions import dates
 from granary.functions.numeric import arithmetic_hash_sql, fixed
 from granary.functions.text import blank_token_count, word_count
-from granary.operators import linear, listing, metrics, models, splits, windowing
+from granary.operators import linear, listing, metrics, models, sparse, splits, windowing
+from granary.operators import text as textops
 from granary.plans.aggregates import rounded
 from granary.plans.registry import fx, query
 from granary.plans.tables import PANEL_SQL, items, panel, table
@@ -182,6 +183,31 @@ def l06d_listing_price_model(spark, sf):
     return predicted.select("item_id", "price", price.alias("predicted_price"))
 
 
+@query(
+    "l06e_one_hot_ridge",
+    f"""WITH m AS (SELECT avg(p_retailprice) AS mean FROM part)
+SELECT p_brand AS term, {fx("sum(p_retailprice - mean) / (count(*) + 10)", 4)} AS value FROM part, m GROUP BY 1""",
+)
+def l06e_one_hot_ridge(spark, sf):
+    """Ridge by conjugate gradients; with one cell a row its answer can be stated."""
+    part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("term"), F.lit(1.0).alias("weight"), F.col("p_retailprice").alias("y"))
+    coefficients, _ = sparse.ridge(part.select("p_partkey", "term", "weight"), part.select("p_partkey", "y"), "p_partkey", 10.0)
+    return rounded(coefficients, 4)
+
+
+@query("l06f_listing_blocks_price")
+def l06f_listing_blocks_price(spark, sf):
+    """All ten blocks of the listings, brands filled from the names, to a price: idf over all listings, sparse ridge on a part of them."""
+    filled = listing.fill_brands(items(spark, sf), "item_id")
+    prepared = durable(listing.prepare_listings(filled).withColumn("y", F.log1p("price")))
+    counts = durable(listing.feature_table(prepared, "item_id", 2, listing.all_blocks).select("item_id", F.col("feature").alias("term"), F.col("n").alias("tf")))
+    cells = durable(textops.tf_idf(counts, "item_id", prepared.agg(F.count(F.lit(1))).scalar()).select("item_id", "term", "weight"))
+    train, test = splits.sample_fraction(prepared.select("item_id", "price", "y"), "item_id", 0.8, 41)
+    coefficients, offset = sparse.ridge(cells, train.select("item_id", "y"), "item_id", 0.4)
+    predicted = sparse.predict(cells, test, durable(coefficients), offset, "item_id")
+    return predicted.select("item_id", "price", F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted_price"))
+
+
 _TREND_SQL = f"{PANEL_SQL}, t AS (SELECT nation, segment, y / 1000 AS y, (d - DATE '1995-01-01') / 365.25 AS t FROM panel)"
 
 
