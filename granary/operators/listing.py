@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.regression import LinearRegression
@@ -9,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.text import LISTING_STOP_WORDS, compose, exploded, ngrams, normalise_units, path_levels, path_pair
+from granary.session import durable
+
+#: Listings of a part: each becomes some hundred features, and their table may be one small file.
+PER_PART = 10_000
 
 
 def _named(block: str, values: Column) -> Column:
@@ -59,10 +65,17 @@ def with_features(df: DataFrame, of=blocks) -> DataFrame:
     return staged.withColumn("features", F.concat(*parts)).drop("_words", "_said")
 
 
+def dealt_out(df: DataFrame, item: str) -> DataFrame:
+    """Listings in parts whose number follows theirs, so that a part's features stay as many."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(parts, math.ceil(df.count() / PER_PART)), item)
+
+
 def feature_table(df: DataFrame, item: str, min_df: int = 2, of=blocks) -> DataFrame:
     """(item, feature, count) rows of features seen in at least ``min_df`` items."""
-    long = exploded(with_features(df, of), [item], F.col("features"), "feature")
-    counts = long.groupBy(item, "feature").agg(F.count(F.lit(1)).alias("n"))
+    # listings of one item lie together already, so their features are counted where they are
+    long = exploded(with_features(dealt_out(df, item), of), [item], F.col("features"), "feature")
+    counts = durable(long.groupBy(item, "feature").agg(F.count(F.lit(1)).alias("n")))
     kept = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df).select("feature")
     return counts.join(kept, "feature", "left_semi")
 

@@ -176,7 +176,7 @@ def l06c_ridge_cross_validation(spark, sf):
 def l06d_listing_price_model(spark, sf):
     """Texts and categories of the listings to a price: hashed features, idf, ridge, back-transformed and clipped."""
     prepared = listing.prepare_listings(items(spark, sf)).withColumn("log_price", F.log1p("price"))
-    featured = listing.with_features(prepared)
+    featured = durable(listing.with_features(listing.dealt_out(prepared, "item_id")))
     train, test = splits.sample_fraction(featured, "item_id", 0.8, 41)
     predicted = listing.price_model(train).transform(test)
     price = F.greatest(F.expm1("prediction"), F.lit(0.0))
