@@ -12,6 +12,7 @@ from granary.functions.aggspec import aggregate_columns, rollup
 from granary.functions.dates import epoch_seconds, months_elapsed, whole_days_between
 from granary.operators.quantiles import exact_quantiles
 from granary.operators.skew import attach
+from granary.session import durable
 
 
 def session_rollup(
@@ -70,11 +71,20 @@ def prepare_transactions(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def _together(history: DataFrame, card: str) -> DataFrame:
+    """Rows of a card in one part; a missing card is left out.
+
+    A card has few purchases in a part of the table, and a state of the specification, with its sets, is many
+    times as wide as a purchase, so it is the purchases that travel, once; distinct merchants need no further trip.
+    """
+    return history.dropna(subset=[card]).repartition(card)
+
+
 def aggregate_transactions(history: DataFrame, card: str = "card", prefix: str = "") -> DataFrame:
     """One row per card: the count of its transactions and the card specification."""
     spec = aggregate_columns(CARD_SPEC, prefix)
     return (
-        history.dropna(subset=[card])
+        _together(history, card)
         .groupBy(card)
         .agg(F.count(F.lit(1)).alias(f"{prefix}transactions_count"), *spec)
     )
@@ -86,7 +96,7 @@ def aggregate_split(history: DataFrame, side: Column, names: Sequence[str], card
     ``side`` names the population of a row. Groups by (card, side) and turns the sides into
     prefixed columns, so the facts are shuffled once rather than once per side.
     """
-    sided = history.dropna(subset=[card]).withColumn("_side", side)
+    sided = _together(history, card).withColumn("_side", side)
     per_side = sided.groupBy(card, "_side").agg(
         F.count(F.lit(1)).alias("transactions_count"), *aggregate_columns(CARD_SPEC)
     )
@@ -129,7 +139,7 @@ def card_profile(df: DataFrame, as_of: str, prefix: str = "hist_") -> DataFrame:
     ts = F.col("purchase_ts")
     facts = df
     for c in ("category_2", "category_3"):  # a row without the category has no mean
-        means = df.dropna(subset=[c]).groupBy(c).agg(F.avg("amount").alias(f"{c}_mean"))
+        means = durable(df.dropna(subset=[c]).groupBy(c).agg(F.avg("amount").alias(f"{c}_mean")))
         facts = attach(facts, means, [c])
     facts = facts.withColumns(
         {
@@ -142,7 +152,7 @@ def card_profile(df: DataFrame, as_of: str, prefix: str = "hist_") -> DataFrame:
             "month_diff": months_elapsed(as_of, ts, F.col("month_lag")),
         }
     )
-    out = rollup(facts, ["card"], PROFILE_SPEC, prefix)
+    out = rollup(_together(facts, "card"), ["card"], PROFILE_SPEC, prefix)
     last, first = F.col(f"{prefix}purchase_ts_max"), F.col(f"{prefix}purchase_ts_min")
     diff = whole_days_between(last, first)
     return out.withColumns(
