@@ -1,6 +1,6 @@
 """Aggregates of the user's own: a state that rows change and that merges with other states.
 
-Every task folds the batches it reads into a state for each group and hands on the states, not
+Every task puts its rows in order of the groups, folds them into a state for each and hands on the states, not
 the rows; those of a group meet behind one shuffle and stream by, merged one after the other.
 A key that holds much of the table is a state for each task, whatever its rows.
 """
@@ -114,7 +114,8 @@ def aggregate(df: DataFrame, keys: Sequence[str], columns: Sequence[str], aggreg
             yield finished(done)
 
     rows = df.select(*keys, *columns).dropna(subset=keys) if keys else df.select(*columns)
-    partial = rows.mapInArrow(folded, states)
+    # in order, a group is folded once a batch and not a row or two at a time
+    partial = (rows.sortWithinPartitions(*keys) if keys else rows).mapInArrow(folded, states)
     dealt = partial.repartition(*keys).sortWithinPartitions(*keys) if keys else partial.coalesce(1)
     return dealt.mapInArrow(merged, result)
 
