@@ -17,38 +17,44 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from granary.llm import bpe, decontaminate, quality, secrets, simhash  # noqa: E402
-from granary.llm.common import table  # noqa: E402
+from granary.llm.common import SMALL_ROWS, table  # noqa: E402
 from granary.session import durable, ship  # noqa: E402
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """``spark`` with the package at its workers; long texts go to Python few at a time, as a batch is held on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SMALL_ROWS))
+    return ship(spark)
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
-    return quality.keep_good(docs, table(ship(spark), sf_dir, "labels"))
+    return quality.keep_good(docs, table(ready(spark), sf_dir, "labels"))
 
 
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    ship(spark)
+    ready(spark)
     return simhash.keep_one(docs)
 
 
 def unseen_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold passages of the benchmark."""
-    return decontaminate.clean(docs, table(ship(spark), sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(ready(spark), sf_dir, "benchmark"))
 
 
 def redacted_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced, and n_chars of the new texts."""
-    ship(spark)
+    ready(spark)
     redacted = secrets.redact(docs)
     return redacted.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else redacted
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids, their number, and whether they decode to the text."""
-    ship(spark)
+    ready(spark)
     made = bpe.encode_and_verify(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     return made.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "decodes")
 

@@ -16,8 +16,6 @@ through, and a column of an output's name is replaced.
 from __future__ import annotations
 
 import base64
-import ctypes
-import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -28,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import concat, slices
+from granary.llm.common import concat, released, slices
 
 NONE = np.int64(1) << 40  # rank of a pair that makes no token
 PAD = -1
@@ -36,9 +34,10 @@ PAD = -1
 CELLS = 1 << 19
 #: Stretches a task remembers, some 250 bytes each; then it starts afresh.
 REMEMBERED = 400_000
+#: The same beside ids that are verified, which hold more themselves.
+REMEMBERED_VERIFYING = 100_000
 # A space that cannot lie inside a piece: what follows is no white space, in any sense.
 _CUT, _DOUBT = re.compile(r" (?=[^\s\x1c-\x1f\x85])"), re.compile(r" [\s\x1c-\x1f\x85]")
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -267,26 +266,18 @@ class Remembering:
 class Coder:
     """An encoder of pieces and what it remembers of texts."""
 
-    def __init__(self, rank_file: bytes, pattern: str):
+    def __init__(self, rank_file: bytes, pattern: str, most: int | None = None):
         self.encoder = Encoder(rank_file, pattern)
-        self.encode = Remembering(self.encoder.stretches).encode
-
-
-def released() -> None:
-    """Hand the memory of what a task has dropped back to the system: its worker lives on through later stages."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if _TRIM is not None:
-        _TRIM(0)
+        self.encode = Remembering(self.encoder.stretches, most).encode
 
 
-def _columns(spark: SparkSession, path: str, pattern: str, kind: pa.DataType, sql: str, of) -> Column:
+def _columns(spark: SparkSession, path: str, pattern: str, kind: pa.DataType, sql: str, of, most: int | None = None) -> Column:
     with open(path, "rb") as file:
         shared = spark.sparkContext.broadcast(file.read())  # a vocabulary file
 
     @F.arrow_udf(sql)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(shared.value, pattern)
+        coder = Coder(shared.value, pattern, most)
 
         def made(part: pa.Array) -> pa.Array:
             texts = [t or "" for t in part.to_pylist()]
@@ -317,7 +308,7 @@ def encode_and_verify(df: DataFrame, path: str, pattern: str, text: str = "text"
     def both(encoder: Encoder, said: str, ids: np.ndarray) -> dict:
         return {"ids": ids.astype(np.int32), "decodes": encoder.decode(ids) == said.encode()}
 
-    run = _columns(df.sparkSession, path, pattern, _VERIFIED, "struct<ids:array<int>,decodes:boolean>", both)
+    run = _columns(df.sparkSession, path, pattern, _VERIFIED, "struct<ids:array<int>,decodes:boolean>", both, REMEMBERED_VERIFYING)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in ("ids", "decodes")]
     return df.select(*kept, run(F.col(text)).alias("ids")).select(*kept, "ids.ids", "ids.decodes")
 

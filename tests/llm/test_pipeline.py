@@ -44,3 +44,15 @@ def test_every_stage_takes_odd_documents(spark):
 
 def test_named_stages():
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_send_few_texts_at_a_time(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+        assert {r.doc_id: r.n_tokens for r in corpus_pipeline.encoded_documents(spark, docs, "").collect()}[2] == 0
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
