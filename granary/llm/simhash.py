@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import as_bytes, concat, slices, small_batches, text_or_empty
+from granary.llm.common import as_bytes, concat, released, slices, small_batches, text_or_empty
 from granary.llm.components import components
 from granary.session import durable
 
@@ -58,6 +58,21 @@ def _shingles(tokens: list[bytes], words: int, seed: int = SEED) -> np.ndarray:
     return np.array([one(joined[s:e], seed) for s, e in zip(starts, (ends[words - 1 :] - 1).tolist())], np.uint64)
 
 
+def _runs(tokens: list[bytes], hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the runs of ``words`` tokens, mixed from the tokens' own; of fewer tokens that of all."""
+    n = len(tokens) - words + 1
+    if n <= 0:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), SEED)] if tokens else [], np.uint64)
+    out = hashes[:n] * _FACTORS[0]
+    for j in range(1, words):
+        out += hashes[j : j + n] * _FACTORS[j]
+    return _mixed(out, 0)
+
+
+def _hashed(tokens: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
+
+
 def _majority(hashes: np.ndarray) -> int:
     counts = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _OFFSETS).reshape(-1), minlength=2048)
     set_bits = (counts.reshape(8, 256) @ _BYTE_BITS).reshape(-1)
@@ -201,10 +216,13 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, width: int = BITS, choo
             yield pd.concat(held)
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in pieces(batches):
-            fps = rows["fp"].to_numpy().view(np.uint64)
-            a, b = choose(neighbours(rows["block"].to_numpy(), rows["left"].to_numpy(), fps, bits, masks, width), radius)
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        try:
+            for rows in pieces(batches):
+                fps = rows["fp"].to_numpy().view(np.uint64)
+                a, b = choose(neighbours(rows["block"].to_numpy(), rows["left"].to_numpy(), fps, bits, masks, width), radius)
+                yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        finally:
+            released()
 
     parts = dealt(fingerprints, bits, half, width).repartition("block").sortWithinPartitions("block")
     return parts.mapInPandas(linked, "a long, b long")
@@ -226,14 +244,17 @@ def near_duplicates(df: DataFrame, text: str = "text", words: int = WORDS, radiu
 
 
 #: For similar texts: FAMILIES fingerprints of FAMILY_BITS bits over pairs of words propose, and the
-#: similarity of five-word shingles decides. Their SKETCH smallest hashes only set aside the
-#: pairs that look less than FAR similar, six standard errors below; texts of at most SKETCH
-#: different shingles have their exact similarity from them, others from all shingles.
-FAMILIES, FAMILY_BITS, FAMILY_WORDS = 3, 48, 2
+#: similarity of five-word shingles decides. Their SKETCH smallest hashes set aside the pairs that
+#: look less than FAR similar, six standard errors below; texts of at most SKETCH different shingles
+#: have their exact similarity from them, others from all shingles. What the proposals miss,
+#: or a sketch sets aside, the exact search finds.
+FAMILIES, FAMILY_BITS, FAMILY_WORDS = 1, 48, 2
 SHINGLE_WORDS, SIMILAR, SKETCH, FAR = 5, 0.8, 256, 0.65
-#: Few shingles make fingerprints that differ widely at one edit, so pairs with a text of at most SHORT different
-#: shingles are searched exactly as well. Shingles that begin more than HOT of these texts are put last; BLOCK sets work per row.
-SHORT, HOT, BLOCK = 128, 32, 4096
+#: The exact search puts frequent shingles last: those that OFTEN groups of a sample of one text in SAMPLED have, the LISTED
+#: most frequent at most. The order has no influence on the result. BLOCK texts work per row of a shingle.
+SAMPLED, OFTEN, LISTED, BLOCK = 32, 3, 100_000, 4096
+#: Odd factors of the words of a shingle.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _SIGNATURE = pa.struct([*[(f"f{k}", pa.int64()) for k in range(FAMILIES)], ("sketch", pa.binary())])
 _SIGNATURE_SQL = "struct<" + ",".join([*[f"f{k}:long" for k in range(FAMILIES)], "sketch:binary"]) + ">"
 
@@ -248,9 +269,10 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def signature(text: bytes) -> dict:
     tokens = text.lower().split()
-    pairs = _shingles(tokens, FAMILY_WORDS)
+    hashes = _hashed(tokens)
+    pairs = _runs(tokens, hashes, FAMILY_WORDS)
     out = {f"f{k}": _majority(_mixed(pairs, k)) >> (BITS - FAMILY_BITS) for k in range(FAMILIES)}
-    out["sketch"] = np.unique(_shingles(tokens, SHINGLE_WORDS) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes()
+    out["sketch"] = np.unique(_runs(tokens, hashes, SHINGLE_WORDS) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes()
     return out
 
 
@@ -268,9 +290,14 @@ def exact_similarity(a: bytes, b: bytes) -> float:
     return common / (len(x) + len(y) - common) if len(x) or len(y) else 1.0
 
 
+def _set_of(text: bytes) -> np.ndarray:
+    tokens = text.lower().split()
+    return np.unique(_runs(tokens, _hashed(tokens), SHINGLE_WORDS))
+
+
 def all_shingles(text: bytes) -> bytes:
     """The different shingle hashes of a text, in order."""
-    return np.unique(_shingles(text.lower().split(), SHINGLE_WORDS)).astype("<u8").tobytes()
+    return _set_of(text).astype("<u8").tobytes()
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -291,15 +318,18 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
 
     Equal texts are one class from the start. Classes whose fingerprints of some family differ
     in at most RADIUS bits are compared, and linked if their five-word shingles are SIMILAR; so are
-    all pairs with a text of at most SHORT shingles that these links leave apart. Of
-    rows that repeat a doc_id and text, one stays. Null doc_ids come last; blank texts are alike.
+    all pairs that these links leave apart, found by an exact search, so a group is whatever SIMILAR pairs
+    connect. Of rows that repeat a doc_id and text, one stays. Null doc_ids come last; blank texts are alike.
     """
     spark_text = text_or_empty(text)
 
     @F.arrow_udf(_SIGNATURE_SQL)
     def signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield concat((pa.array([signature(t) for t in as_bytes(part)], _SIGNATURE) for part in slices(batch)), _SIGNATURE)
+        try:
+            for batch in batches:
+                yield concat((pa.array([signature(t) for t in as_bytes(part)], _SIGNATURE) for part in slices(batch)), _SIGNATURE)
+        finally:
+            released()
 
     copy = F.xxhash64(spark_text)
     with small_batches(documents.sparkSession):
@@ -317,60 +347,111 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
 
     both = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
     full = (F.octet_length("sketch_a") == 4 * SKETCH) | (F.octet_length("sketch_b") == 4 * SKETCH)
-    judged = durable(both.select("a", "b", full.alias("full"), alike("sketch_a", "sketch_b").alias("share")).where(F.col("share") >= FAR))
+    # a filter on a deterministic function would be computed a second time below the projection
+    share = alike.asNondeterministic()("sketch_a", "sketch_b")
+    judged = durable(both.select("a", "b", full.alias("full"), share.alias("share")).where(F.col("share") >= FAR))
     sure = judged.where(~F.col("full") & (F.col("share") >= SIMILAR)).select("a", "b")
-    roots = durable(components(sure.unionByName(_exactly_similar(documents.select(copy.alias("copy"), spark_text.alias("text")), judged.where("full")))))
-    size = F.octet_length("sketch") / 4
-    few = signed.where((size >= 1) & (size <= int(SHORT / SIMILAR))).groupBy("copy").agg(F.min("sketch").alias("sketch"))
-    grouped = few.join(roots, few["copy"] == roots["node"], "left").select("copy", "sketch", F.coalesce("root", "copy").alias("group"))
-    short = durable(grouped.withColumn("n", size.cast("int")))
-    apart = _short_pairs(short).join(short.select(F.col("copy").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-    apart = apart.join(short.select(F.col("copy").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    joined = components(apart.where(alike("sketch_a", "sketch_b") >= SIMILAR).select("group_a", "group_b"), "group_a", "group_b")
+    texts = documents.select(copy.alias("copy"), spark_text.alias("text"))
+    with small_batches(documents.sparkSession):
+        roots = durable(components(sure.unionByName(_exactly_similar(texts, judged.where("full")))))
+        apart = durable(_pairs_apart(texts, roots))
+        found = _exactly_similar(texts, apart).join(apart, ["a", "b"])
+        joined = components(found.select("group_a", "group_b"), "group_a", "group_b")
     first = classes.join(roots, classes["copy"] == roots["node"], "left").select(F.coalesce("root", "copy").alias("group"), "first")
     named = first.join(joined, first["group"] == joined["node"], "left")
     kept = named.groupBy(F.coalesce("root", "group")).agg(F.min("first").alias("first"))
     return _rows_of(documents, copy, kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.copy").alias("kept_copy")))
 
 
-def _short_pairs(short: DataFrame) -> DataFrame:
-    """(a, b, group_a, group_b): all pairs of ``copy`` from different groups that may be SIMILAR.
+_PREFIX_SQL = "struct<n:int,shingles:array<long>>"
+_PREFIX = pa.struct([("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+
+
+def _prefixes(texts: DataFrame, groups: DataFrame, late: np.ndarray | None) -> DataFrame:
+    """(copy, group, n, shingles) of each text: the first of its n shingles, those of ``late`` last; without ``late`` all.
 
-    Of two similar texts of at most n shingles each, the first n - ceil(SIMILAR n) + 1 in any one order
-    share a shingle. The order is that of the hashes, frequent shingles last. The texts outside
-    the largest group of a shingle meet all texts that have it, dealt into blocks; a group meets itself nowhere.
+    Of two SIMILAR texts of at most n shingles each, the first n - ceil(SIMILAR n) + 1 in any one order
+    share a shingle. The order is that of the hashes, then that of ``late``.
     """
+    hashes = np.sort(late) if late is not None else None
+    ranks = np.argsort(late) if late is not None else None
+    shared = texts.sparkSession.sparkContext.broadcast((hashes, ranks))  # LISTED at most
+
+    def prefix(text: bytes) -> dict:
+        own = _set_of(text).view(np.int64)
+        hashes, ranks = shared.value
+        if hashes is None:
+            return {"n": len(own), "shingles": own}
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            hot = hashes[at] == own
+            order = np.concatenate([own[~hot], own[hot][np.argsort(ranks[at[hot]])]])
+        else:
+            order = own
+        return {"n": len(own), "shingles": order[: _begins(len(own))]}
+
+    @F.arrow_udf(_PREFIX_SQL)
+    def prefixes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for batch in batches:
+                yield concat((pa.array([prefix(t) for t in as_bytes(part)], _PREFIX) for part in slices(batch)), _PREFIX)
+        finally:
+            released()
+
+    single = texts.select("copy", prefixes("text").alias("p")).groupBy("copy").agg(F.min("p").alias("p"))
+    grouped = single.join(groups, single["copy"] == groups["node"], "left")
+    return grouped.select("copy", F.coalesce("root", "copy").alias("group"), "p.n", "p.shingles")
+
+
+def _begins(n: int) -> int:
+    return n - math.ceil(SIMILAR * n - 1e-9) + 1
+
+
+def _late_shingles(texts: DataFrame, groups: DataFrame) -> np.ndarray:
+    """Hashes of the shingles that very many groups have, the rarest first, from a sample of the texts."""
+    some = _prefixes(texts.where(F.pmod("copy", F.lit(SAMPLED)) == 0), groups, None)
+    each = some.select("group", F.explode("shingles").alias("shingle")).distinct()
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") >= OFTEN)
+    listed = often.orderBy(F.col("often").desc(), "shingle").limit(LISTED)
+    return listed.toPandas()["shingle"].to_numpy(np.int64)[::-1]
+
+
+def _pairs_apart(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b, group_a, group_b): all pairs of ``copy`` from different groups that may be SIMILAR.
 
-    def piece(i: Column) -> Column:
-        return F.substring("sketch", 4 * i - 3, F.lit(4))
-
-    begins = F.floor(F.col("n") * F.lit(1 - SIMILAR) + F.lit(1e-9)).cast("int") + 1
-    own = ["copy", "group", "n"]
-    plain = short.select(*own, F.explode(F.transform(F.sequence(F.lit(1), begins), piece)).alias("shingle"))
-    hot = durable(plain.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") > HOT))
-    moved = durable(plain.join(hot, "shingle", "left_semi").select("copy").distinct())
-    every = short.join(moved, "copy", "left_semi").select(*own, F.explode(F.transform(F.sequence(F.lit(1), F.col("n")), piece)).alias("shingle"))
-    ranked = every.join(hot, "shingle", "left").groupBy(*own).agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "shingle"))).alias("order")
-    )
-    late = ranked.select(*own, F.explode(F.slice("order", F.lit(1), begins)).alias("x")).select(*own, "x.shingle")
-    prefix = durable(plain.join(moved, "copy", "left_anti").unionByName(late))
+    The texts outside the largest group of a shingle meet all texts that have it, dealt into blocks; a group
+    meets itself nowhere. Common shingles are in both beginnings or behind the longer rest of the
+    two, so a pair has to share so many shingles of its beginnings that SIMILAR is within reach.
+    """
+    rows = _prefixes(texts, groups, _late_shingles(texts, groups))
+    rows = rows.select("copy", "group", "n", F.explode("shingles").alias("shingle"))
+    one = Window.partitionBy("shingle")
+    several = F.min("group").over(one) != F.max("group").over(one)
+    prefix = durable(rows.select("*", several.alias("several")).where("several").drop("several"))
     sizes = prefix.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("m"))
-    most = F.max(F.struct("m", "group"))
-    mixed = sizes.groupBy("shingle").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("groups"), most.alias("most"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    mixed = mixed.where("groups > 1").select("shingle", blocks.alias("blocks"), F.col("most.group").alias("main"))
-    rows = prefix.join(mixed, "shingle")
-    strays = rows.where("group <> main").select(
+    mixed = sizes.groupBy("shingle").agg(F.sum("m").alias("m"), F.max(F.struct("m", "group")).alias("most"))
+    mixed = durable(mixed.select("shingle", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.col("most.group").alias("main")))
+    held = prefix.join(mixed, "shingle")
+    strays = held.where("group <> main").select(
         "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("copy").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
     )
-    others = rows.select(
-        "shingle", F.pmod(F.xxhash64("copy"), F.col("blocks")).cast("int").alias("block"), F.col("copy").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny")
+    others = held.select(
+        "shingle", F.pmod(F.xxhash64("copy"), F.col("blocks")).cast("int").alias("block"), F.col("copy").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"),
+        (F.col("group") == F.col("main")).alias("of_main"),
     )
-    may = (F.col("gx") != F.col("gy")) & (F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(SIMILAR - 1e-9))
-    swap = F.col("x") > F.col("y")
-    ends = {"a": ("y", "x"), "b": ("x", "y"), "group_a": ("gy", "gx"), "group_b": ("gx", "gy")}
-    return strays.join(others, ["shingle", "block"]).where(may).select(*[F.when(swap, F.col(i)).otherwise(F.col(j)).alias(c) for c, (i, j) in ends.items()]).distinct()
+    # two strays meet twice
+    once = (F.col("gx") != F.col("gy")) & (F.col("of_main") | (F.col("x") < F.col("y")))
+    may = F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(SIMILAR) - F.lit(1e-6)
+    met = strays.join(others, ["shingle", "block"]).where(once & may)
+    pairs = met.groupBy(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
+        F.when(F.col("x") < F.col("y"), F.col("gx")).otherwise(F.col("gy")).alias("group_a"),
+        F.when(F.col("x") < F.col("y"), F.col("gy")).otherwise(F.col("gx")).alias("group_b"),
+        (F.col("nx") + F.col("ny")).alias("total"), F.greatest("nx", "ny").alias("larger"),
+    ).agg(F.count(F.lit(1)).alias("common"))
+    behind = F.ceil(F.col("larger") * F.lit(SIMILAR) - F.lit(1e-9)) - 1
+    wanted = F.ceil(F.col("total") * F.lit(SIMILAR / (1 + SIMILAR)) - F.lit(1e-6))
+    return pairs.where(F.col("common") + behind >= wanted).select("a", "b", "group_a", "group_b")
 
 
 def _exactly_similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -378,8 +459,11 @@ def _exactly_similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     @F.arrow_udf("binary")
     def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield concat((pa.array([all_shingles(t) for t in as_bytes(part)], pa.binary()) for part in slices(batch)), pa.binary())
+        try:
+            for batch in batches:
+                yield concat((pa.array([all_shingles(t) for t in as_bytes(part)], pa.binary()) for part in slices(batch)), pa.binary())
+        finally:
+            released()
 
     @F.arrow_udf("double")
     def exact(a: pa.Array, b: pa.Array) -> pa.Array:

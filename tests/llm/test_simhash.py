@@ -149,3 +149,48 @@ def test_short_texts_against_all_pairs(spark):
     want = set(classes(close, range(len(rows))).values())
     got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
     assert got == want
+
+
+def test_edited_long_texts_are_found(spark):
+    """Edits all over a text flip many bits of its fingerprint; pairs just above and just below the line."""
+    draw, rows = random.Random(31), []
+    for words in (200, 400, 900):
+        for k in range(70):
+            a = [f"w{draw.randrange(10**6)}" for _ in range(words)]
+            b = list(a)
+            for at in draw.sample(range(2, words - 2, 5), round(words * (0.0215 if k % 2 else 0.0235))):
+                b[at] = f"v{draw.randrange(10**6)}"
+            rows += [" ".join(a), " ".join(b)]
+    rows += ["shared opening of very many texts " + " ".join(f"u{draw.randrange(10**6)}" for _ in range(150)) for _ in range(200)]
+    prints = [simhash.all_shingles(t.encode()) for t in rows]
+    close = [i for i in range(0, 420, 2) if simhash.exact_similarity(prints[i], prints[i + 1]) >= 0.8]
+    assert 80 < len(close) < 130
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert set(range(len(rows))) - kept == {i + 1 for i in close}
+
+
+def test_order_of_frequent_shingles_changes_nothing(spark, monkeypatch):
+    """Texts of one template with their own middles, some close, in any order of the shingles."""
+    draw = random.Random(37)
+    template = [f"t{i}" for i in range(150)]
+    rows = []
+    for _ in range(60):
+        own = [f"m{draw.randrange(10**6)}" for _ in range(draw.randrange(10, 60))]
+        rows.append(" ".join(template[:75] + own + template[75:]))
+        if draw.random() < 0.3:
+            rows.append(" ".join(template[:75] + own[:-2] + template[70:]))
+    prints = [simhash.all_shingles(t.encode()) for t in rows]
+    close = [(i, j) for i in range(len(rows)) for j in range(i) if simhash.exact_similarity(prints[i], prints[j]) >= 0.8]
+    want = set(classes(close, range(len(rows))).values())
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    for sampled, listed in ((1, 100_000), (1, 40), (2, 100_000)):
+        monkeypatch.setattr(simhash, "SAMPLED", sampled)
+        monkeypatch.setattr(simhash, "LISTED", listed)
+        assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
+    shared = set(rows[0].split())
+    texts = df.selectExpr("xxhash64(text) AS copy", "text")
+    groups = texts.select(F.col("copy").alias("node"), F.col("copy").alias("root"))
+    monkeypatch.setattr(simhash, "SAMPLED", 1)
+    monkeypatch.setattr(simhash, "LISTED", 100_000)
+    late = simhash._late_shingles(texts, groups)
+    assert len(late) >= 140 and len(shared) > 150
