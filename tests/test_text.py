@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from granary.functions import distance, text
 from granary.operators import fuzzy, relational
 from granary.operators import text as T
+from granary.plans import features
 
 
 def one(spark, value, expr, schema="x STRING"):
@@ -244,3 +245,14 @@ def test_all_pairs_within_three_edits(spark):
     far = distance.edit_distances(*(pd.Series(x) for x in zip(*grid)))
     got = {(r.word, r.term): r.distance for r in fuzzy.fuzzy_pairs(left, "word", right, "term", 3, whole=True).collect()}
     assert got == {pair: d for pair, d in zip(grid, far) if d <= 3} and {1, 2, 3} <= set(got.values())
+
+
+def test_words_of_one_file_are_made_in_many_tasks(spark, tmp_path):
+    rows = [(i, f"word{i} and an other word{i % 7} here") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "1L AS n_chars").coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    hashed = features.f01_hashed_ngrams(spark, str(tmp_path))
+    assert hashed.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert hashed.groupBy("doc_id").count().count() == 400
+    assert len(features._counts(spark, str(tmp_path)).inputFiles()) > 4
