@@ -19,6 +19,8 @@ BLOCK = 1024
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits needed for each value below 2**60."""
+    if int(values.max()) >> 53 == 0:
+        return np.frexp(values.astype(np.float64))[1]
     out = np.zeros(len(values), np.int64)
     some = values > 0
     out[some] = np.frexp(values[some].astype(np.float64))[1]
@@ -37,42 +39,35 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if int(values.max()) >> 60:
         raise ValueError("an id has more than 60 bits")
     blocks = -(-n // BLOCK)
-    ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, n)
-    width = _bits(values).astype(np.uint8)
-    selector = np.full(n, ESCAPE, np.int8)
-    small = np.int32 if n < 2**31 - 256 else np.int64
-    end_of = np.repeat(ends.astype(small), np.diff(np.concatenate([[0], ends])))
-    position = np.arange(n, dtype=small)
-    wide = np.zeros(n + 1, small)
-    for s in range(ESCAPE - 1, -1, -1):  # later ones pack more ids and overrule
-        np.cumsum(width > WIDTHS[s], out=wide[1:])
-        fits = wide[np.minimum(position + small(COUNTS[s]), end_of)] == wide[:-1]
+    # behind its last id a block has ids of no bits, as a word may promise more than there are
+    widest = np.zeros((blocks, BLOCK + int(COUNTS[0])), np.uint8)
+    width = np.zeros(blocks * BLOCK, np.uint8)
+    width[:n] = _bits(values)
+    widest[:, :BLOCK] = width.reshape(blocks, BLOCK)
+    selector, cover = np.full((blocks, BLOCK), ESCAPE, np.int8), 1
+    for s in range(ESCAPE - 1, -1, -1):  # where more ids fit, fewer do as well
+        step = int(COUNTS[s]) - cover  # at most what is covered
+        widest, cover = np.maximum(widest[:, :-step], widest[:, step:]), int(COUNTS[s])
+        fits = widest[:, :BLOCK] <= WIDTHS[s]
         if not fits.any():
             break
-        selector[fits] = s
-    at, open_blocks = np.concatenate([[0], ends[:-1]]), np.arange(blocks)
-    starts, owners = [], []
-    while len(open_blocks):
+        selector -= fits.view(np.int8)
+    selector = selector.reshape(-1)
+    done = blocks * BLOCK
+    follows = np.arange(done) + COUNTS[selector]
+    ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, n)
+    follows = np.append(np.where(follows < np.repeat(ends, BLOCK), follows, done), done)
+    at = np.arange(blocks) * BLOCK
+    starts = []
+    while (at < done).any():
         starts.append(at)
-        owners.append(open_blocks)
-        at = at + COUNTS[selector[at]]
-        more = at < ends[open_blocks]
-        at, open_blocks = at[more], open_blocks[more]
-    start, owner = np.concatenate(starts), np.concatenate(owners)
-    order = np.argsort(start)
-    start, owner = start[order], owner[order]
-    chosen = selector[start].astype(np.int64)
-    words = chosen.astype(np.uint64) << np.uint64(60)
-    padded = np.concatenate([values, np.zeros(int(COUNTS[0]), np.uint64)])
-    left = ends[owner] - start
-    for s in np.unique(chosen).tolist():
-        if WIDTHS[s] == 0:
-            continue
-        mine = np.flatnonzero(chosen == s)
-        for j in range(int(COUNTS[s])):
-            id_ = np.where(j < left[mine], padded[start[mine] + j], np.uint64(0))
-            words[mine] |= id_ << np.uint64(j * int(WIDTHS[s]))
-    return words, np.searchsorted(owner, np.arange(blocks)).astype(np.int64)
+        at = follows[at]
+    start = np.stack(starts, axis=1).reshape(-1)
+    start = start[start < done]
+    chosen, taken = selector[start].astype(np.int64), np.diff(np.append(start, n))
+    shift = (np.arange(n) - np.repeat(start, taken)) * np.repeat(WIDTHS[chosen], taken)
+    words = (chosen.astype(np.uint64) << np.uint64(60)) | np.bitwise_or.reduceat(values << shift.astype(np.uint64), start)
+    return words, np.searchsorted(start, np.arange(blocks) * BLOCK).astype(np.int64)
 
 
 def unpack(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:

@@ -44,7 +44,7 @@ CHUNK_IDS = 256 * BLOCK
 #: Ids that a reader holds at a time, besides those of one document.
 READ_IDS = 1 << 20
 #: How byte-level vocabularies write a space, and how many stretches are encoded as one text.
-SPACE, TOGETHER = "\u0120", 4096
+SPACE, TOGETHER = "\u0120", 256
 #: Stretches a worker remembers.
 REMEMBERED = 800_000
 #: Partitions of a reading job at most.

@@ -1,5 +1,6 @@
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -67,3 +68,33 @@ def test_ids_beyond_doubles_beside_a_null(spark):
     df = spark.createDataFrame([(2**60 + 1, "a"), (2**60 + 2, "b"), (None, "c"), (-(2**60) - 1, "d")], "doc_id long, text string").coalesce(1)
     got = sorted(tokenfiles.round_trip(df, PATH).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [None, -(2**60) - 1, 2**60 + 1, 2**60 + 2]
+
+
+def test_packing_is_greedy_and_costs_little_more_than_unpacking():
+    rng = np.random.default_rng(9)
+    ids = (rng.integers(0, 1 << 16, 3 * simple8b.BLOCK + 77) >> rng.integers(0, 17, 3 * simple8b.BLOCK + 77)).astype(np.uint64)
+    ids[1000:1700] = 0  # across the end of a block
+    words, first = simple8b.pack(ids)
+    want, begins = [], []
+    for block in range(0, len(ids), simple8b.BLOCK):
+        own, at = ids[block : block + simple8b.BLOCK].tolist(), 0
+        begins.append(len(want))
+        while at < len(own):
+            s = next(s for s in range(16) if all(x >> int(simple8b.WIDTHS[s]) == 0 for x in own[at : at + int(simple8b.COUNTS[s])]))
+            taken = own[at : at + int(simple8b.COUNTS[s])]
+            want.append(s << 60 | sum(x << j * int(simple8b.WIDTHS[s]) for j, x in enumerate(taken)))
+            at += len(taken)
+    assert words.tolist() == want and first.tolist() == begins
+
+    many = (rng.integers(0, 50_000, 1 << 18) >> rng.integers(0, 12, 1 << 18)).astype(np.uint64)
+
+    def seconds(work):
+        spent = []
+        for _ in range(5):
+            begun = time.process_time()
+            work()
+            spent.append(time.process_time() - begun)
+        return min(spent)
+
+    packed = simple8b.pack(many)
+    assert seconds(lambda: simple8b.pack(many)) < 6 * seconds(lambda: simple8b.unpack(*packed, len(many)))
