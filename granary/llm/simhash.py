@@ -20,6 +20,7 @@ of the input are left behind and can't clash.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from itertools import combinations
@@ -253,6 +254,13 @@ SHINGLE_WORDS, SIMILAR, SKETCH, FAR = 5, 0.8, 256, 0.65
 #: The exact search puts frequent shingles last: those that OFTEN groups of a sample of one text in SAMPLED have, the LISTED
 #: most frequent at most. The order has no influence on the result. BLOCK texts work per row of a shingle.
 SAMPLED, OFTEN, LISTED, BLOCK = 32, 3, 100_000, 4096
+#: Before it, texts whose shingles CROWD others or more have meet a few leaders of these shingles, up to TURNS times, so that a
+#: large group of near copies is one group when the exact search begins and few of it meet all. No influence on the result.
+CROWD, LEADERS, TURNS = 16, 12, 3
+#: Bits of the marks that tell most pairs that cannot be SIMILAR; a power of two.
+MARKS = 1024
+_MARKS = pa.struct([(f"m{k}", pa.int64()) for k in range(MARKS // 64)])
+_MARKS_SQL = "struct<" + ",".join(f"m{k}:long" for k in range(MARKS // 64)) + ">"
 #: Odd factors of the words of a shingle.
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _SIGNATURE = pa.struct([*[(f"f{k}", pa.int64()) for k in range(FAMILIES)], ("sketch", pa.binary())])
@@ -354,9 +362,19 @@ def keep_one(documents: DataFrame, text: str = "text") -> DataFrame:
     texts = documents.select(copy.alias("copy"), spark_text.alias("text"))
     with small_batches(documents.sparkSession):
         roots = durable(components(sure.unionByName(_exactly_similar(texts, judged.where("full")))))
-        apart = durable(_pairs_apart(texts, roots))
-        found = _exactly_similar(texts, apart).join(apart, ["a", "b"])
-        joined = components(found.select("group_a", "group_b"), "group_a", "group_b")
+        beginnings = durable(_marked(texts, durable(_beginnings(texts, roots))))
+        joined, links = roots.limit(0), []
+        crowd = durable(_crowds(beginnings))
+        for turn in range(TURNS):
+            near = durable(_leaders(crowd, joined, turn))
+            linked = durable(_exactly_similar(texts, near).join(near, ["a", "b"]).select("group_a", "group_b"))
+            if not linked.take(1):
+                break
+            links.append(linked)
+            joined = durable(components(_all(links), "group_a", "group_b"))
+        apart = durable(_pairs_apart(_regrouped(beginnings, joined)))
+        links.append(_exactly_similar(texts, apart).join(apart, ["a", "b"]).select("group_a", "group_b"))
+        joined = components(_all(links), "group_a", "group_b")
     first = classes.join(roots, classes["copy"] == roots["node"], "left").select(F.coalesce("root", "copy").alias("group"), "first")
     named = first.join(joined, first["group"] == joined["node"], "left")
     kept = named.groupBy(F.coalesce("root", "group")).agg(F.min("first").alias("first"))
@@ -416,39 +434,112 @@ def _late_shingles(texts: DataFrame, groups: DataFrame) -> np.ndarray:
     return listed.toPandas()["shingle"].to_numpy(np.int64)[::-1]
 
 
-def _pairs_apart(texts: DataFrame, groups: DataFrame) -> DataFrame:
+def _beginnings(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(copy, group, n, shingle) of the beginnings of all texts, where a shingle has several groups."""
+    rows = _prefixes(texts, groups, _late_shingles(texts, groups))
+    return _shared(rows.select("copy", "group", "n", F.explode("shingles").alias("shingle")))
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    one = Window.partitionBy("shingle")
+    several = F.min("group").over(one) != F.max("group").over(one)
+    return rows.select("*", several.alias("several")).where("several").drop("several")
+
+
+def _regrouped(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with the roots of their groups, (node, root) in ``joined``."""
+    names = [c for c in rows.columns if c != "group"]
+    return rows.join(joined, rows["group"] == joined["node"], "left").select(*names, F.coalesce("root", "group").alias("group"))
+
+
+def _crowds(beginnings: DataFrame) -> DataFrame:
+    """The rows of shingles that CROWD texts or more have outside their largest group."""
+    sizes = beginnings.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("m"))
+    crowded = sizes.groupBy("shingle").agg((F.sum("m") - F.max("m")).alias("strays")).where(F.col("strays") >= CROWD)
+    return beginnings.join(crowded, "shingle", "left_semi")
+
+
+def _leaders(crowd: DataFrame, joined: DataFrame, turn: int) -> DataFrame:
+    """(a, b, group_a, group_b): each text beside LEADERS leaders at most, drawn from those of its shingles."""
+    rows = _regrouped(crowd, joined)
+    drawn = F.xxhash64("copy", "shingle", F.lit(turn))
+    lead = rows.groupBy("shingle").agg(F.min(F.struct(drawn.alias("by"), "copy", "group", "n", "marks")).alias("lead"))
+    may = _may_be_similar(F.col("n"), F.col("lead.n"), F.col("marks"), F.col("lead.marks"))
+    others = rows.join(lead, "shingle").where((F.col("group") != F.col("lead.group")) & may)
+    chosen = [
+        F.min(F.struct(F.xxhash64("lead.copy", "copy", F.lit(k)).alias("by"), "lead.copy", "lead.group")).alias(f"l{k}") for k in range(LEADERS)
+    ]
+    each = others.groupBy("copy", "group").agg(*chosen)
+    one = F.explode(F.array_distinct(F.array(*[F.struct(f"l{k}.copy", f"l{k}.group") for k in range(LEADERS)]))).alias("lead")
+    met = each.select("copy", "group", one).select(F.col("copy").alias("x"), F.col("group").alias("gx"), F.col("lead.copy").alias("y"), F.col("lead.group").alias("gy"))
+    return _in_order(met).distinct()
+
+
+def _marked(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` with the marks of their texts: for each of MARKS bits whether an odd number of shingles falls on it."""
+
+    def mark(text: bytes) -> dict:
+        odd = np.bincount((_set_of(text) >> np.uint64(64 - (MARKS - 1).bit_length())).astype(np.int64), minlength=MARKS) & 1
+        return {f"m{k}": m for k, m in enumerate(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())}
+
+    @F.arrow_udf(_MARKS_SQL)
+    def marks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for batch in batches:
+                yield concat((pa.array([mark(t) for t in as_bytes(part)], _MARKS) for part in slices(batch)), _MARKS)
+        finally:
+            released()
+
+    wanted = texts.join(rows.select("copy").distinct(), "copy", "left_semi")
+    known = wanted.select("copy", marks("text").alias("marks")).groupBy("copy").agg(F.min("marks").alias("marks"))
+    return rows.join(known, "copy")
+
+
+def _may_be_similar(m: Column, n: Column, marks_m: Column, marks_n: Column) -> Column:
+    """By the numbers of shingles, and the marks: two texts differ in as many shingles as in bits, or more."""
+    size = F.least(m, n) >= F.greatest(m, n) * F.lit(SIMILAR) - F.lit(1e-6)
+    bits = functools.reduce(Column.__add__, [F.bit_count(marks_m[f"m{k}"].bitwiseXOR(marks_n[f"m{k}"])) for k in range(MARKS // 64)])
+    return size & (m + n - bits >= (m + n) * F.lit(2 * SIMILAR / (1 + SIMILAR)) - F.lit(1e-6))
+
+
+def _in_order(met: DataFrame, *more: Column) -> DataFrame:
+    x_first = F.col("x") < F.col("y")
+    return met.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
+        F.when(x_first, F.col("gx")).otherwise(F.col("gy")).alias("group_a"), F.when(x_first, F.col("gy")).otherwise(F.col("gx")).alias("group_b"),
+        *more,
+    )
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def _pairs_apart(beginnings: DataFrame) -> DataFrame:
     """(a, b, group_a, group_b): all pairs of ``copy`` from different groups that may be SIMILAR.
 
     The texts outside the largest group of a shingle meet all texts that have it, dealt into blocks; a group
     meets itself nowhere. Common shingles are in both beginnings or behind the longer rest of the
     two, so a pair has to share so many shingles of its beginnings that SIMILAR is within reach.
     """
-    rows = _prefixes(texts, groups, _late_shingles(texts, groups))
-    rows = rows.select("copy", "group", "n", F.explode("shingles").alias("shingle"))
-    one = Window.partitionBy("shingle")
-    several = F.min("group").over(one) != F.max("group").over(one)
-    prefix = durable(rows.select("*", several.alias("several")).where("several").drop("several"))
+    prefix = _shared(beginnings)
     sizes = prefix.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("shingle").agg(F.sum("m").alias("m"), F.max(F.struct("m", "group")).alias("most"))
     mixed = durable(mixed.select("shingle", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.col("most.group").alias("main")))
     held = prefix.join(mixed, "shingle")
     strays = held.where("group <> main").select(
-        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("copy").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("copy").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx"), F.col("marks").alias("mx")
     )
     others = held.select(
-        "shingle", F.pmod(F.xxhash64("copy"), F.col("blocks")).cast("int").alias("block"), F.col("copy").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"),
+        "shingle", F.pmod(F.xxhash64("copy"), F.col("blocks")).cast("int").alias("block"), F.col("copy").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"), F.col("marks").alias("my"),
         (F.col("group") == F.col("main")).alias("of_main"),
     )
     # two strays meet twice
     once = (F.col("gx") != F.col("gy")) & (F.col("of_main") | (F.col("x") < F.col("y")))
-    may = F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(SIMILAR) - F.lit(1e-6)
+    may = _may_be_similar(F.col("nx"), F.col("ny"), F.col("mx"), F.col("my"))
     met = strays.join(others, ["shingle", "block"]).where(once & may)
-    pairs = met.groupBy(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-        F.when(F.col("x") < F.col("y"), F.col("gx")).otherwise(F.col("gy")).alias("group_a"),
-        F.when(F.col("x") < F.col("y"), F.col("gy")).otherwise(F.col("gx")).alias("group_b"),
-        (F.col("nx") + F.col("ny")).alias("total"), F.greatest("nx", "ny").alias("larger"),
-    ).agg(F.count(F.lit(1)).alias("common"))
+    pairs = _in_order(met, (F.col("nx") + F.col("ny")).alias("total"), F.greatest("nx", "ny").alias("larger"))
+    pairs = pairs.groupBy("a", "b", "group_a", "group_b", "total", "larger").agg(F.count(F.lit(1)).alias("common"))
     behind = F.ceil(F.col("larger") * F.lit(SIMILAR) - F.lit(1e-9)) - 1
     wanted = F.ceil(F.col("total") * F.lit(SIMILAR / (1 + SIMILAR)) - F.lit(1e-6))
     return pairs.where(F.col("common") + behind >= wanted).select("a", "b", "group_a", "group_b")

@@ -194,3 +194,34 @@ def test_order_of_frequent_shingles_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(simhash, "LISTED", 100_000)
     late = simhash._late_shingles(texts, groups)
     assert len(late) >= 140 and len(shared) > 150
+
+
+def test_pairs_to_verify_grow_no_faster_than_a_group_of_near_copies(spark, monkeypatch):
+    draw = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word():
+        return "".join(draw.choice(letters) for _ in range(7))
+
+    def near(base, edits):
+        words = list(base)
+        for at in draw.sample(range(len(words)), edits):
+            words[at] = word()
+        return " ".join(words)
+
+    one, other = [word() for _ in range(240)], [word() for _ in range(240)]
+    # pairs of the first are about SIMILAR and of fingerprints far apart; the others share half their words and no more
+    texts = [near(one, 3) for _ in range(150)] + [" ".join(other[:120] + [word() for _ in range(120)]) for _ in range(150)]
+    verified, exactly = [], simhash._exactly_similar
+
+    def counted(rows, pairs):
+        verified.append(pairs.count())
+        return exactly(rows, pairs)
+
+    monkeypatch.setattr(simhash, "_exactly_similar", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(df).collect())
+    sets = [np.frombuffer(simhash.all_shingles(t.encode()), "<u8") for t in texts]
+    links = [(a, b) for a in range(300) for b in range(a + 1, 300) if simhash.exact_similarity(sets[a].tobytes(), sets[b].tobytes()) >= simhash.SIMILAR]
+    assert kept == sorted(set(classes(links, range(300)).values()))
+    assert len(kept) < 200 and sum(verified) < 20 * len(texts)
