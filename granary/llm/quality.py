@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -117,15 +117,21 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1)
 
 
-def fit(found: np.ndarray, labels: np.ndarray) -> Model:
-    """Weights by inverse document frequency, axes by the decomposition, and the labelled vectors."""
+def fit(found: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None) -> Model:
+    """Weights by inverse document frequency, axes by the decomposition, and the labelled vectors.
+
+    The weighted rows go to ``rows``, which may be ``found`` itself where the counts are needed no more.
+    """
     n = len(found)
     if n == 0:
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
-    weight = (np.log((1 + n) / (1 + (found > 0).sum(axis=0))) + 1).astype(np.float32)
-    rows = np.log1p(found)
-    rows *= weight
-    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    blocks = [slice(i, i + BLOCK) for i in range(0, n, BLOCK)]  # what is worked out beside the rows is of a block at a time
+    seen = sum((found[b] > 0).sum(axis=0) for b in blocks)
+    weight = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+    rows = np.empty_like(found) if rows is None else rows
+    for b in blocks:
+        rows[b] = np.log1p(found[b]) * weight
+        rows[b] /= np.maximum(np.linalg.norm(rows[b], axis=1, keepdims=True), 1e-12)
     axes = np.random.default_rng(0).standard_normal((FEATURES, min(DIMENSIONS, n))).astype(np.float32)
     for _ in range(ITERATIONS):  # subspace iteration for the leading right singular vectors
         axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
@@ -145,16 +151,17 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     @F.arrow_udf("binary")
     def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([counts(t).tobytes() for t in as_bytes(batch)], pa.binary())
+            yield pa.array([compress(counts(t).tobytes(), 1) for t in as_bytes(batch)], pa.binary())
 
     order = ("h", "doc_id", "quality", "t")
     kept = rows.select(*order[:3], F.xxhash64(text).alias("t"), text).orderBy(*order).limit(2 * SAMPLE)
     got = kept.select(*order, packed(F.col(text)).alias("counts")).collect()
     got.sort(key=lambda r: tuple(r[c] for c in order))
     known_labels = np.array([r.quality for r in got])
-    found = np.frombuffer(b"".join(r["counts"] for r in got), np.float32).reshape(len(got), FEATURES)
-    del got
-    return fit(found, known_labels)
+    found = np.empty((len(got), FEATURES), np.float32)
+    for i, r in enumerate(got):
+        found[i] = np.frombuffer(decompress(r["counts"]), np.float32)
+    return fit(found, known_labels, found)
 
 
 def score_column(df: DataFrame, model: Model, text: str = "text") -> Column:

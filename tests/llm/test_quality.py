@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -51,3 +52,28 @@ def test_odd_rows(spark):
     none = quality.classify(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5} and {r.predicted for r in none} == {1}
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_training_holds_the_sample_once_on_the_driver(spark):
+    docs = spark.range(1500).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 40), k -> sha2(string(id * k), 256))) as text")
+    labels = spark.range(1500).selectExpr("id as doc_id", "int(id % 2) as quality")
+    tracemalloc.start()
+    try:
+        model = quality.train(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    sample = len(model.labels) * quality.FEATURES * 4
+    assert len(model.labels) > 900 and peak < 2 * sample
+
+
+def test_rows_weighted_in_place_give_the_same_model():
+    rng = np.random.default_rng(0)
+    for n in (1, quality.BLOCK, 2 * quality.BLOCK + 1):
+        found, labels = rng.integers(0, 3, (n, quality.FEATURES)).astype(np.float32), rng.integers(0, 2, n)
+        found[0] = 0
+        kept = found.copy()
+        apart = quality.fit(found, labels)
+        assert (found == kept).all()
+        placed = quality.fit(found, labels, found)
+        assert all((getattr(apart, x) == getattr(placed, x)).all() for x in ("weight", "axes", "vectors", "labels")) and apart.prior == placed.prior
