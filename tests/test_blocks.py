@@ -1,9 +1,12 @@
 """Blocks of sparse rows and what is dealt, sorted or written first, on rows of the tests' own."""
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from granary import session
 from granary.operators import blocks, clusters, custom, decompose, listing, topics, windowing
 
 
@@ -65,3 +68,66 @@ def test_a_small_summary_deals_no_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Broadcast" in plan
     assert {(r.k, r.m) for r in out.collect()} == {(0, 499.5), (1, 499.0), (2, 500.0)}
+
+
+def _shuffled(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (found.apply(i) for i in range(found.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_what_a_written_table_shuffled_is_dropped(spark):
+    before = _shuffled(spark)
+    kept = session.durable(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    assert not _shuffled(spark) - before and session.is_durable(kept)
+    assert {r["count"] for r in kept.collect()} == {142, 143}
+    path = kept._granary_path.removeprefix("file:")
+    session.discard(kept, spark.range(1))
+    assert not os.path.exists(path)
+
+
+def test_passes_leave_no_tables_behind(spark):
+    rows = [(i, f"w{(i * j) % 11}", 1 + j) for i in range(30) for j in range(5)]
+    df = spark.createDataFrame(rows, "id LONG, term STRING, tf LONG").groupBy("id", "term").agg(F.sum("tf").alias("tf"))
+    folder = session.shared_dir(spark).removeprefix("file:")
+
+    def left(work):
+        before = set(os.listdir(folder))
+        work()
+        return len([x for x in set(os.listdir(folder)) - before if x.startswith("table-")])
+
+    assert left(lambda: topics.fit(df, "id", 2, 1, 1)) >= left(lambda: topics.fit(df, "id", 2, 4, 1))
+    cells = df.withColumnRenamed("tf", "weight")
+    assert left(lambda: decompose.truncated_svd(cells, "id", 2, passes=1)) >= left(lambda: decompose.truncated_svd(cells, "id", 2, passes=4))
+
+
+def test_rounds_of_blocks_add_up(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MOST", 20)
+    monkeypatch.setattr(blocks, "FEW", 4)
+    draw = np.random.default_rng(6)
+    matrix = np.where(draw.random((50, 14)) < 0.5, draw.integers(1, 90_000, (50, 14)) / 2, 0.0)  # some weights are whole and small
+    cells = [(int(i), f"t{j}", float(matrix[i, j])) for i, j in zip(*np.nonzero(matrix))]
+    made = blocks.packed(spark.createDataFrame(cells, "id LONG, term STRING, weight DOUBLE"), "id")
+    start = draw.random((14, 2))
+    vectors = made.terms.select("number", F.create_map(*[x for j in range(14) for x in (F.lit(f"t{j}"), F.array(*map(F.lit, start[j].tolist())))])[F.col("term")].alias("v"))
+    state = made.state(vectors, 2)
+    want = matrix.T @ matrix @ (2 * start) + 1
+    for least, rounds in ((10**9, 1), (1, made.count // spark.sparkContext.defaultParallelism)):
+        monkeypatch.setattr(blocks, "ROUND", least)
+        assert made.rounds() == rounds and len(made.sizes) > 1
+        out = made.there_and_back(state, lambda m: 2 * m, lambda b, v: (b.back(b.times(v)), len(b.ids)), 2, lambda m: m + 1)
+        got = {r.term: r.v for r in made.listed(out).join(made.terms, "number").collect()}
+        assert all(np.allclose(got[f"t{j}"], want[j]) for j in range(14)) and out.agg(F.sum("x")).first()[0] == 50
+
+
+def test_few_centres_are_spread_out_at_a_time(monkeypatch):
+    draw = np.random.default_rng(8)
+    starts = np.arange(0, 241, 6)
+    block = blocks.Block(pa.array(range(40)), starts, draw.integers(0, 30, 240).astype(np.int32), draw.random(240), np.arange(30))
+    place, at, value = draw.integers(0, 30, 200), draw.integers(0, 25, 200), draw.random(200)
+    centres = np.zeros((30, 25))
+    np.add.at(centres, (place, at), value)
+    whole = clusters._chosen(block, place, at, value, (centres**2).sum(axis=0), 10**6)
+    spread, plain = [], np.zeros
+    monkeypatch.setattr(np, "zeros", lambda shape, *a: spread.append(np.prod(shape)) or plain(shape, *a))
+    pieces = clusters._chosen(block, place, at, value, (centres**2).sum(axis=0), 90)
+    assert max(spread) <= 90 and all(np.allclose(a, b) for a, b in zip(whole, pieces))
