@@ -131,3 +131,11 @@ def test_few_centres_are_spread_out_at_a_time(monkeypatch):
     monkeypatch.setattr(np, "zeros", lambda shape, *a: spread.append(np.prod(shape)) or plain(shape, *a))
     pieces = clusters._chosen(block, place, at, value, (centres**2).sum(axis=0), 90)
     assert max(spread) <= 90 and all(np.allclose(a, b) for a, b in zip(whole, pieces))
+
+
+def test_clusters_of_repeated_cells(spark):
+    rows = [(i, f"t{i % 3}{j}", 0.5) for i in range(24) for j in range(4)]
+    df = spark.createDataFrame(rows + rows[:40], "id LONG, term STRING, weight DOUBLE")  # some rows come twice
+    centres = clusters.fit(df, "id", 3, seed=1, batches=2, passes=1)
+    got = {r.id: r.cluster for r in clusters.nearest(df, centres, "id").collect()}
+    assert len(got) == 24 and len({(i % 3, c) for i, c in got.items()}) == 3
